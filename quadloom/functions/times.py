@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # Fixed value: seconds of 0000-01-01 and 9999-12-31T23:59:59 relative to 1970.
 _MIN_SECONDS = -62_167_219_200
 _MAX_SECONDS = 253_402_300_799
+# Fixed value: an ISO-8601 instant. A cast alone would take words like "today".
+_INSTANT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?Z\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -61,4 +63,5 @@ def format_instant(ts: Column | str) -> Column:
 
 def parse_instant(text: Column | str) -> Column:
     """The instant of an ISO-8601 text in UTC; null when the text is not one."""
-    return _col(text).try_cast("timestamp_ntz")
+    text = _col(text)
+    return F.when(text.rlike(_INSTANT), text.try_cast("timestamp_ntz"))

@@ -25,6 +25,7 @@ def resolve(versions: DataFrame, requests: DataFrame, bucket_seconds: int = BUCK
         versions.select("identifier", "t", F.lit(1).alias("v"), F.lit(0).alias("r"))
         .unionAll(requests.select("identifier", "t", F.lit(0).alias("v"), F.lit(1).alias("r")))
         .withColumn("bucket", F.floor(F.col("t") / bucket_seconds))
+        .filter(F.col("identifier").isNotNull() & F.col("bucket").isNotNull())
         .groupBy("identifier", "bucket", "t")
         .agg(F.max("v").alias("v"), F.max("r").alias("r"))
         .withColumn("vt", F.when(F.col("v") == 1, F.col("t")))
@@ -34,16 +35,21 @@ def resolve(versions: DataFrame, requests: DataFrame, bucket_seconds: int = BUCK
     )
     asked = points.withColumn("same_bucket", F.max("vt").over(within)).filter("r = 1")
 
+    # This branch keeps ``r`` and the same filters as the one above, so that both
+    # read one shuffle of the points.
     earlier = Window.partitionBy("identifier").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     summary = (
         points.groupBy("identifier", "bucket")
-        .agg(F.min("vt").alias("low"), F.max("vt").alias("high"))
+        .agg(F.min("vt").alias("low"), F.max("vt").alias("high"), F.max("r").alias("r"))
         .select(
             "identifier",
             "bucket",
+            "r",
             F.max("high").over(earlier).alias("before"),
             F.min("low").over(Window.partitionBy("identifier")).alias("earliest"),
         )
+        .filter("r = 1")
+        .drop("r")
     )
     return asked.join(summary, ["identifier", "bucket"]).select(
         "identifier", "t", F.coalesce("same_bucket", "before", "earliest").alias("version_t")

@@ -8,7 +8,7 @@ one row. Nothing joins a large binary into one value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions import keys
@@ -76,17 +76,15 @@ def purge(chunks: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def layout(chunks: DataFrame) -> DataFrame:
-    """Per binary: chunkSize and lastIndex. Reads no payload."""
+    """Per binary: chunkSize, that of its first chunk, and lastIndex. Reads no payload."""
     return chunks.groupBy("identifier").agg(
-        F.max("chunkSize").alias("chunkSize"), F.max("chunkIndex").alias("lastIndex")
+        F.min_by("chunkSize", "chunkIndex").alias("chunkSize"), F.max("chunkIndex").alias("lastIndex")
     )
 
 
 def lookup_chunk_sizes(ids: DataFrame, chunks: DataFrame) -> DataFrame:
     """Chunk size of each binary asked for; ``error`` names one that is missing."""
-    joined = ids.select("identifier").join(
-        chunks.groupBy("identifier").agg(F.max("chunkSize").alias("chunkSize")), "identifier", "left"
-    )
+    joined = ids.select("identifier").join(layout(chunks).drop("lastIndex"), "identifier", "left")
     missing = F.concat(F.lit("missing binary "), F.col("identifier"))
     bad = F.concat(F.lit("chunk size below 1 for "), F.col("identifier"))
     error = F.when(F.col("chunkSize").isNull(), missing).when(F.col("chunkSize") < 1, bad)
@@ -94,13 +92,13 @@ def lookup_chunk_sizes(ids: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def _segments(pieces: DataFrame, by: list[str], segment_bytes: int) -> DataFrame:
-    """Join pieces (by, offset, piece) in order of offset, per segment.
+    """Join pieces (by, chunkIndex, offset, piece) in order of index, per segment of offsets.
 
     The grouping key is one struct so that no partitioning by part of it, left
     behind by a join, puts all segments of a large binary in one task.
     """
     segment = F.floor(F.col("offset") / segment_bytes).cast("int").alias("segment")
-    joined = F.expr("listagg(piece, X'') WITHIN GROUP (ORDER BY offset)")
+    joined = F.expr("listagg(piece, X'') WITHIN GROUP (ORDER BY chunkIndex)")
     grouped = pieces.groupBy(F.struct(*by, segment).alias("k")).agg(joined.alias("content"))
     return grouped.select("k.*", "content")
 
@@ -116,7 +114,7 @@ def read_all(chunks: DataFrame, ids: DataFrame | None = None, segment_bytes: int
         pieces = chunks.join(ids.select("identifier"), "identifier", "left_semi")
     # The empty chunk that ends an exact multiple must not start a segment.
     pieces = pieces.filter((F.col("chunkIndex") == 0) | (F.octet_length("chunk") > 0))
-    pieces = pieces.select("identifier", offset.alias("offset"), F.col("chunk").alias("piece"))
+    pieces = pieces.select("identifier", "chunkIndex", offset.alias("offset"), F.col("chunk").alias("piece"))
     whole = _segments(pieces, ["identifier"], segment_bytes)
     if ids is None:
         return whole
@@ -127,14 +125,17 @@ def read_all(chunks: DataFrame, ids: DataFrame | None = None, segment_bytes: int
     )
 
 
-def _positions(df: DataFrame, first: str, last: str, name: str) -> DataFrame:
+def _positions(df: DataFrame, first: str, last: str, name: str, also: Column | None = None) -> DataFrame:
     """A row for each position from ``first`` to ``last``, none when last < first.
 
-    Listed in two steps, so that no array grows with the range.
+    Listed in two steps, so that no array grows with the range. ``also`` is one
+    more position, below 0, that every row gets.
     """
     runs = F.when(F.col(first) <= F.col(last), F.sequence(F.col(first), F.col(last), F.lit(_RUN)))
+    if also is not None:
+        runs = F.concat(F.array(also.cast("bigint")), F.coalesce(runs, F.array().cast("array<bigint>")))
     stepped = df.select("*", F.explode(runs).alias("_from"))
-    end = F.least(F.col("_from") + (_RUN - 1), F.col(last))
+    end = F.when(F.col("_from") < 0, F.col("_from")).otherwise(F.least(F.col("_from") + (_RUN - 1), F.col(last)))
     return stepped.select("*", F.explode(F.sequence(F.col("_from"), end)).alias(name)).drop("_from")
 
 
@@ -157,35 +158,31 @@ def read_range(chunks: DataFrame, ranges: DataFrame, segment_bytes: int = SEGMEN
         "identifier",
         start,
         end,
+        "chunkSize",
         F.col("chunkSize").isNotNull().alias("found"),
         F.floor(start / c).alias("_first"),
         F.least(F.floor(end / c), F.col("lastIndex").cast("bigint")).alias("_last"),
     )
-    touched = _positions(placed.filter("found"), "_first", "_last", "_index")
+    # Every request also takes a position no chunk has, so that one without any
+    # chunk is answered too; there are many such positions, to keep them apart.
+    none = -1 - F.pmod("req", F.lit(_RUN))
+    touched = _positions(placed, "_first", "_last", "_index", also=none)
     touched = touched.withColumn("chunkIndex", F.col("_index").cast("int"))
-    met = touched.join(
-        chunks.select("identifier", "chunkIndex", "chunkSize", "chunk"), ["identifier", "chunkIndex"]
-    )
+    met = touched.join(chunks.select("identifier", "chunkIndex", "chunk"), ["identifier", "chunkIndex"], "left")
     base = F.col("chunkIndex").cast("bigint") * F.col("chunkSize")
     skip = F.greatest(start - base, F.lit(0))
     take = F.least(end - base, F.col("chunkSize").cast("bigint") - 1) - skip + 1
-    pieces = met.filter(F.octet_length("chunk") > skip).select(
+    cut = F.col("chunk").substr((skip + 1).cast("int"), take.cast("int"))
+    inside = F.col("chunk").isNotNull() & (F.octet_length("chunk") > skip)
+    pieces = met.filter(inside | (F.col("chunkIndex") < 0)).select(
         "req",
         "identifier",
         "found",
-        (base - F.col("_first") * F.col("chunkSize")).alias("offset"),
-        F.col("chunk").substr((skip + 1).cast("int"), take.cast("int")).alias("piece"),
-    )
-    # Every request also adds nothing at offset 0, or null if its binary is
-    # missing, so that it is answered without joining back.
-    nothing = placed.select(
-        "req",
-        "identifier",
-        "found",
-        F.lit(0).cast("bigint").alias("offset"),
-        F.when(F.col("found"), F.lit(b"")).alias("piece"),
+        "chunkIndex",
+        F.when(inside, base - F.col("_first") * F.col("chunkSize")).otherwise(0).alias("offset"),
+        F.when(inside, cut).when(F.col("found"), F.lit(b"")).alias("piece"),
     )
-    segments = _segments(pieces.unionByName(nothing), ["req", "identifier", "found"], segment_bytes)
+    segments = _segments(pieces, ["req", "identifier", "found"], segment_bytes)
     return segments.select("req", "identifier", "segment", "content", "found")
 
 
@@ -270,13 +267,10 @@ def digest(chunks: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """
     whole = _segments(
         chunks.filter(F.col("size") <= segment_bytes).select(
-            "identifier",
-            # Small enough for one segment: all offsets fall in segment 0.
-            (F.col("chunkIndex").cast("bigint") * F.col("chunkSize")).alias("offset"),
-            F.col("chunk").alias("piece"),
+            "identifier", "chunkIndex", F.lit(0).alias("offset"), F.col("chunk").alias("piece")
         ),
         ["identifier"],
-        segment_bytes + 1,
+        segment_bytes,
     ).select("identifier", F.md5("content").alias("md5"))
     leaves = chunks.select(
         "identifier",

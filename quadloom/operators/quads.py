@@ -17,6 +17,10 @@ from quadloom.vocab import DEFAULTS, RDF_TYPE, Settings
 
 # Most bytes of N-Quads put into one text value.
 TEXT_PART_BYTES = 64 * 1024 * 1024
+# Resources above a part's size number at most the table's bytes over that size.
+# From this size on, that is few enough to broadcast at two numbers each: 100 TB
+# holds no more than 1.6 million of them.
+_BROADCAST_PART_BYTES = 64 * 1024 * 1024
 
 
 def _line_terms(lines: DataFrame) -> DataFrame:
@@ -84,16 +88,23 @@ def emit(
     server = nq.iri_term(F.lit(settings.server_graph))
     kept = quads.filter(F.col("graph").isNull() | (F.col("graph") != server))
     lines = kept.select("identifier", nq.quad_line().alias("line"))
-    sizes = lines.groupBy("identifier").agg(F.sum(F.octet_length("line") + 1).alias("bytes"))
+    # Large resources are told by a hash of their identifier. Should two share
+    # one, the smaller is in more parts than it need be, and still whole.
+    sizes = lines.groupBy(F.xxhash64("identifier").alias("h")).agg(
+        F.sum(F.octet_length("line") + 1).alias("bytes")
+    )
     large = sizes.filter(F.col("bytes") > part_bytes).select(
-        "identifier", F.ceil(F.col("bytes") / part_bytes).alias("parts")
+        "h", F.ceil(F.col("bytes") / part_bytes).cast("int").alias("parts")
     )
-    spread = F.pmod(F.xxhash64("line"), F.coalesce("parts", F.lit(1)))
-    # Grouping by one struct: the partitioning the join may leave behind, by
+    if part_bytes >= _BROADCAST_PART_BYTES:
+        large = F.broadcast(large)
+    part = F.pmod(F.xxhash64("line"), F.coalesce("parts", F.lit(1))).cast("int")
+    # Grouping by one struct: a partitioning the join may leave behind, by
     # identifier alone, would otherwise be reused and put all parts in one task.
     texts = (
-        lines.join(large, "identifier", "left")
-        .groupBy(F.struct("identifier", spread.cast("int").alias("part")).alias("k"))
+        lines.withColumn("h", F.xxhash64("identifier"))
+        .join(large, "h", "left")
+        .groupBy(F.struct("identifier", part.alias("part")).alias("k"))
         .agg(F.array_join(F.array_sort(F.collect_set("line")), "\n").alias("quads"))
         .select("k.identifier", "k.part", "quads")
     )

@@ -42,11 +42,9 @@ def delete(state: DataFrame, ids: DataFrame) -> DataFrame:
     return state.join(ids.select("identifier"), "identifier", "left_anti")
 
 
-def touch(state: DataFrame, touches: DataFrame, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
-    """Set ``modified`` to the latest touch; touches of absent resources do nothing."""
-    last = touches.groupBy("identifier").agg(
-        F.max(F.struct(*order))["ts"].alias("touched")
-    )
+def touch(state: DataFrame, touches: DataFrame) -> DataFrame:
+    """Set ``modified`` to the latest ``ts`` of a touch; absent resources stay absent."""
+    last = touches.groupBy("identifier").agg(F.max("ts").alias("touched"))
     return (
         state.join(last, "identifier", "left")
         .withColumn("modified", F.coalesce("touched", "modified"))
@@ -70,8 +68,9 @@ def accumulate(ops: DataFrame, attrs: Sequence[str]) -> DataFrame:
     """What a log of create, replace, touch and delete ops comes to, per identifier.
 
     ``ops`` has op, identifier, ts, seq and the columns ``attrs``; other ops
-    are ignored. The result keeps the newest write, deletion and refresh
-    (write or touch) of each identifier, so accumulated logs can be combined.
+    are ignored. The result keeps the newest write and deletion of each
+    identifier and the time of its newest write or touch, so that accumulated
+    logs can be combined.
     """
     write = F.col("op").isin(*WRITE_OPS)
     remove = F.col("op") == DELETE_OP
@@ -83,7 +82,7 @@ def accumulate(ops: DataFrame, attrs: Sequence[str]) -> DataFrame:
         .agg(
             F.max_by(F.struct("ts", "seq", *attrs), F.when(write, key)).alias("written"),
             F.max(F.when(remove, key)).alias("removed"),
-            F.max(F.when(refresh, key)).alias("refreshed"),
+            F.max(F.when(refresh, F.col("ts"))).alias("refreshed"),
         )
     )
 
@@ -112,7 +111,7 @@ def live(accumulated: DataFrame, attrs: Sequence[str]) -> DataFrame:
     return accumulated.filter(stands).select(
         "identifier",
         *[F.col(f"written.{a}").alias(a) for a in attrs],
-        F.col("refreshed.ts").alias("modified"),
+        F.col("refreshed").alias("modified"),
         F.col("written.ts").alias("created"),
         F.col("written.seq").alias("seq"),
     )
