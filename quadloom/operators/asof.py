@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quadloom.operators.keyed import per_key
+
 BUCKET_SECONDS = 86_400
 
 
@@ -21,15 +23,14 @@ def resolve(versions: DataFrame, requests: DataFrame, bucket_seconds: int = BUCK
     buckets hold reaches later ones through one summary row per bucket, of
     which an identifier has as many as its time span has days.
     """
-    points = (
+    marked = (
         versions.select("identifier", "t", F.lit(1).alias("v"), F.lit(0).alias("r"))
         .unionAll(requests.select("identifier", "t", F.lit(0).alias("v"), F.lit(1).alias("r")))
         .withColumn("bucket", F.floor(F.col("t") / bucket_seconds))
         .filter(F.col("identifier").isNotNull() & F.col("bucket").isNotNull())
-        .groupBy("identifier", "bucket", "t")
-        .agg(F.max("v").alias("v"), F.max("r").alias("r"))
-        .withColumn("vt", F.when(F.col("v") == 1, F.col("t")))
     )
+    points = per_key(marked, ["identifier", "bucket", "t"], v=F.max("v"), r=F.max("r"))
+    points = points.withColumn("vt", F.when(F.col("v") == 1, F.col("t")))
     within = (
         Window.partitionBy("identifier", "bucket").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     )

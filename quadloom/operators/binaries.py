@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions import keys
+from quadloom.operators.keyed import distinct_keys, per_key
 from quadloom.vocab import DEFAULT_CHUNK_SIZE, DEFAULTS, Settings
 
 SEGMENT_BYTES = 64 * 1024 * 1024
+# Most chunks joined in one segment, however small they are.
+_SEGMENT_CHUNKS = 65_536
 # Positions listed at once when a range of positions becomes rows.
 _RUN = 4_096
 # Digests joined per node of a digest tree.
@@ -72,13 +75,16 @@ def set_content(chunks: DataFrame, binaries: DataFrame) -> DataFrame:
 
 def purge(chunks: DataFrame, ids: DataFrame) -> DataFrame:
     """Remove all chunks (or the object) of each identifier."""
-    return chunks.join(ids.select("identifier"), "identifier", "left_anti")
+    return chunks.join(distinct_keys(ids), "identifier", "left_anti")
 
 
 def layout(chunks: DataFrame) -> DataFrame:
     """Per binary: chunkSize, that of its first chunk, and lastIndex. Reads no payload."""
-    return chunks.groupBy("identifier").agg(
-        F.min_by("chunkSize", "chunkIndex").alias("chunkSize"), F.max("chunkIndex").alias("lastIndex")
+    return per_key(
+        chunks,
+        ["identifier"],
+        chunkSize=F.min_by("chunkSize", "chunkIndex"),
+        lastIndex=F.max("chunkIndex"),
     )
 
 
@@ -91,38 +97,48 @@ def lookup_chunk_sizes(ids: DataFrame, chunks: DataFrame) -> DataFrame:
     return joined.withColumn("error", error)
 
 
-def _segments(pieces: DataFrame, by: list[str], segment_bytes: int) -> DataFrame:
-    """Join pieces (by, chunkIndex, offset, piece) in order of index, per segment of offsets.
+def _per_segment(segment_bytes: int) -> Column:
+    """How many chunks make a segment."""
+    fit = F.floor(F.lit(segment_bytes) / F.col("chunkSize"))
+    return F.greatest(F.least(fit, F.lit(_SEGMENT_CHUNKS)), F.lit(1)).cast("int")
+
+
+def _segments(pieces: DataFrame, by: list[str]) -> DataFrame:
+    """Join pieces (by, segment, chunkIndex, piece) in order of index, per segment.
 
     The grouping key is one struct so that no partitioning by part of it, left
     behind by a join, puts all segments of a large binary in one task.
     """
-    segment = F.floor(F.col("offset") / segment_bytes).cast("int").alias("segment")
     joined = F.expr("listagg(piece, X'') WITHIN GROUP (ORDER BY chunkIndex)")
-    grouped = pieces.groupBy(F.struct(*by, segment).alias("k")).agg(joined.alias("content"))
+    grouped = pieces.groupBy(F.struct(*by, "segment").alias("k")).agg(joined.alias("content"))
     return grouped.select("k.*", "content")
 
 
 def read_all(chunks: DataFrame, ids: DataFrame | None = None, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """Content of binaries as (identifier, segment, content).
 
-    With ``ids`` given, each is answered, with ``found``.
+    With ``ids`` given, each of them is answered once, with ``found``.
     """
-    offset = F.col("chunkIndex").cast("bigint") * F.col("chunkSize")
     pieces = chunks
     if ids is not None:
-        pieces = chunks.join(ids.select("identifier"), "identifier", "left_semi")
+        ids = distinct_keys(ids)
+        pieces = chunks.join(ids, "identifier", "left_semi")
     # The empty chunk that ends an exact multiple must not start a segment.
     pieces = pieces.filter((F.col("chunkIndex") == 0) | (F.octet_length("chunk") > 0))
-    pieces = pieces.select("identifier", "chunkIndex", offset.alias("offset"), F.col("chunk").alias("piece"))
-    whole = _segments(pieces, ["identifier"], segment_bytes)
+    segment = F.floor(F.col("chunkIndex") / _per_segment(segment_bytes)).cast("int")
+    pieces = pieces.select("identifier", segment.alias("segment"), "chunkIndex", F.col("chunk").alias("piece"))
+    whole = _segments(pieces, ["identifier"])
     if ids is None:
         return whole
-    return (
-        ids.select("identifier")
-        .join(whole, "identifier", "left")
-        .select("identifier", "segment", "content", F.col("segment").isNotNull().alias("found"))
+    # Segments are not joined to ids: all of a large binary would meet in a task.
+    absent = ids.join(chunks.select("identifier").distinct(), "identifier", "left_anti")
+    absent = absent.select(
+        "identifier",
+        F.lit(None).cast("int").alias("segment"),
+        F.lit(None).cast("binary").alias("content"),
+        F.lit(False).alias("found"),
     )
+    return whole.withColumn("found", F.lit(True)).unionByName(absent)
 
 
 def _positions(df: DataFrame, first: str, last: str, name: str, also: Column | None = None) -> DataFrame:
@@ -174,15 +190,16 @@ def read_range(chunks: DataFrame, ranges: DataFrame, segment_bytes: int = SEGMEN
     take = F.least(end - base, F.col("chunkSize").cast("bigint") - 1) - skip + 1
     cut = F.col("chunk").substr((skip + 1).cast("int"), take.cast("int"))
     inside = F.col("chunk").isNotNull() & (F.octet_length("chunk") > skip)
+    segment = F.floor((F.col("chunkIndex") - F.col("_first")) / _per_segment(segment_bytes))
     pieces = met.filter(inside | (F.col("chunkIndex") < 0)).select(
         "req",
         "identifier",
         "found",
+        F.when(inside, segment).otherwise(0).cast("int").alias("segment"),
         "chunkIndex",
-        F.when(inside, base - F.col("_first") * F.col("chunkSize")).otherwise(0).alias("offset"),
         F.when(inside, cut).when(F.col("found"), F.lit(b"")).alias("piece"),
     )
-    segments = _segments(pieces, ["req", "identifier", "found"], segment_bytes)
+    segments = _segments(pieces, ["req", "identifier", "found"])
     return segments.select("req", "identifier", "segment", "content", "found")
 
 
@@ -265,13 +282,11 @@ def digest(chunks: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     exists for all of any size: hex digests of the chunks, in groups of 4,096
     in order, are joined and digested, and that result twice more likewise.
     """
-    whole = _segments(
-        chunks.filter(F.col("size") <= segment_bytes).select(
-            "identifier", "chunkIndex", F.lit(0).alias("offset"), F.col("chunk").alias("piece")
-        ),
-        ["identifier"],
-        segment_bytes,
-    ).select("identifier", F.md5("content").alias("md5"))
+    one = F.floor(F.col("size") / F.col("chunkSize")) < _per_segment(segment_bytes)
+    pieces = chunks.filter(one).select(
+        "identifier", F.lit(0).alias("segment"), "chunkIndex", F.col("chunk").alias("piece")
+    )
+    whole = _segments(pieces, ["identifier"]).select("identifier", F.md5("content").alias("md5"))
     leaves = chunks.select(
         "identifier",
         F.col("chunkIndex").cast("bigint").alias("position"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions import nquads as nq
+from quadloom.operators.keyed import distinct_keys
 from quadloom.schemas import QUAD_COLUMNS
 from quadloom.vocab import DEFAULTS, RDF_TYPE, Settings
 
@@ -64,7 +65,7 @@ def ingest(df: DataFrame, id_col="identifier", text_col="quads", distinct: bool
     ``distinct=False`` needs no shuffle; use it when a union and its distinct follow.
     """
     quads = quads_of_lines(_lines_of_texts(df, id_col, text_col))
-    return quads.distinct() if distinct else quads
+    return distinct_keys(quads, *QUAD_COLUMNS) if distinct else quads
 
 
 def quarantine(df: DataFrame, id_col="identifier", text_col="quads") -> DataFrame:
@@ -80,14 +81,19 @@ def emit(
 ) -> DataFrame:
     """N-Quads text per identifier as (identifier, part, quads).
 
-    Quads of the server-managed graph are dropped. With ``ids`` given, those
-    without quads get a null text. A resource of more than ``part_bytes`` is
-    spread by hash over several parts whose union it is, so no task or row
-    holds more than about that; any other is in part 0 alone.
+    Quads of the server-managed graph are dropped. With ``ids`` given, only
+    those are written, once each, and one without quads gets a null text. A
+    resource of more than ``part_bytes`` is spread by hash over several parts
+    whose union it is, so no task or row holds more than about that; any other
+    is in part 0 alone.
     """
     server = nq.iri_term(F.lit(settings.server_graph))
     kept = quads.filter(F.col("graph").isNull() | (F.col("graph") != server))
-    lines = kept.select("identifier", nq.quad_line().alias("line"))
+    asked = kept
+    if ids is not None:
+        ids = distinct_keys(ids)
+        asked = kept.join(ids, "identifier", "left_semi")
+    lines = asked.select("identifier", nq.quad_line().alias("line"))
     # Large resources are told by a hash of their identifier. Should two share
     # one, the smaller is in more parts than it need be, and still whole.
     sizes = lines.groupBy(F.xxhash64("identifier").alias("h")).agg(
@@ -110,11 +116,10 @@ def emit(
     )
     if ids is None:
         return texts
-    return (
-        ids.select("identifier")
-        .join(texts, "identifier", "left")
-        .select("identifier", F.coalesce("part", F.lit(0)).alias("part"), "quads")
-    )
+    # Texts are not joined to ids: all parts of a large one would meet in a task.
+    empty = ids.join(kept.select("identifier").distinct(), "identifier", "left_anti")
+    nothing = empty.select("identifier", F.lit(0).alias("part"), F.lit(None).cast("string").alias("quads"))
+    return texts.unionByName(nothing)
 
 
 def only_graphs(quads: DataFrame, graphs: Sequence[str]) -> DataFrame:

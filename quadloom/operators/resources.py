@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quadloom.functions import keys
 from quadloom.functions import nquads as nq
 from quadloom.operators import quads as q
+from quadloom.operators.keyed import distinct_keys
 from quadloom.schemas import QUAD_COLUMNS
 from quadloom.vocab import DEFAULTS, LDP_CONTAINS, PREFER_CONTAINMENT, STORABLE_MODELS, Settings
 
@@ -44,7 +45,7 @@ def metadata(resources: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 def immutable_quads(immutable: DataFrame, ids: DataFrame, distinct: bool = True) -> DataFrame:
     """Append-only quads of the identifiers asked for, over all their rows."""
-    asked = immutable.join(ids.select("identifier"), "identifier", "left_semi")
+    asked = immutable.join(distinct_keys(ids), "identifier", "left_semi")
     return q.ingest(asked, distinct=distinct)
 
 
@@ -90,17 +91,21 @@ def assemble(
     the answer; ``index`` is a saved containment index, if there is one.
     """
     index = children(resources) if index is None else index
-    found = resources
+    found, containers = resources, resources.filter(keys.is_container("interactionModel"))
+    standing = resources.select("identifier")
     if ids is not None:
-        found = resources.join(ids.select("identifier"), "identifier", "left_semi")
-    containers = found.filter(keys.is_container("interactionModel"))
+        asked = distinct_keys(ids)
+        found = resources.join(asked, "identifier", "left_semi")
+        standing = distinct_keys(found)
+        containers = distinct_keys(containers.join(asked, "identifier", "left_semi"))
     contained = containment_quads(index).join(containers.select("identifier"), "identifier", "left_semi")
+    audited = immutable.join(standing, "identifier", "left_semi")
     # The type quad goes through the parser with the text, which saves a scan.
     texts = found.select("identifier", F.concat_ws("\n", "quads", q.type_line(settings)).alias("quads"))
     whole = q.ingest(texts, distinct=False)
-    for part in (immutable_quads(immutable, found, distinct=False), contained):
+    for part in (q.ingest(audited, distinct=False), contained):
         whole = whole.unionByName(part.select(*QUAD_COLUMNS))
-    return whole.distinct()
+    return distinct_keys(whole, *QUAD_COLUMNS)
 
 
 def check_models(resources: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def upsert(state: DataFrame, changes: DataFrame) -> DataFrame:
 
 def delete(state: DataFrame, ids: DataFrame) -> DataFrame:
     """Remove current rows. Versions and append-only quads are other tables."""
-    return state.join(ids.select("identifier"), "identifier", "left_anti")
+    return state.join(ids.select("identifier").distinct(), "identifier", "left_anti")
 
 
 def touch(state: DataFrame, touches: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from quadloom.functions import nquads as nq
 from quadloom.operators import asof
 from quadloom.operators import quads as q
 from quadloom.operators.state import ORDER, newest
-from quadloom.schemas import MEMBERSHIP_COLUMNS
+from quadloom.schemas import MEMBERSHIP_COLUMNS, QUAD_COLUMNS
 from quadloom.vocab import DEFAULTS, Settings
 
 
@@ -35,10 +35,7 @@ def version_at(
 
     The exact second if there is one, else the latest before, else the earliest.
     """
-    held = versions.filter(F.lit(settings.versioning))
-    held = held.select("identifier", times.epoch_seconds("modified").alias("t"))
-    asked = requests.withColumn("t", times.epoch_seconds("at"))
-    resolved = asof.resolve(held, asked, bucket_seconds)
+    asked, resolved = _resolve(versions, requests, bucket_seconds, settings)
     # Requests join back by (identifier, t): one row on the right for each, so
     # a hot pair is on the left only, where the optimizer may divide it.
     return asked.join(resolved, ["identifier", "t"], "left").select(
@@ -48,6 +45,14 @@ def version_at(
     )
 
 
+def _resolve(versions, requests, bucket_seconds, settings) -> tuple[DataFrame, DataFrame]:
+    """Requests with their second ``t``, and the version of each (identifier, t)."""
+    held = versions.filter(F.lit(settings.versioning))
+    held = held.select("identifier", times.epoch_seconds("modified").alias("t"))
+    asked = requests.withColumn("t", times.epoch_seconds("at"))
+    return asked, asof.resolve(held, asked, bucket_seconds)
+
+
 def first_version(versions: DataFrame, which: str = "earliest") -> DataFrame:
     """One version row per identifier: ``earliest`` or ``latest`` created."""
     if which not in ("earliest", "latest"):
@@ -64,16 +69,29 @@ def version_dedup(versions: DataFrame, granularity: str = "second") -> DataFrame
 def version_quads(versions: DataFrame, requests: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Quads of the version each request gets: req and the quad columns.
 
-    Requests are matched on narrow rows first; texts join last, at one row per
-    (identifier, version), and are parsed only for versions that were chosen.
+    Requests are matched on narrow rows first. Texts are then cut down to the
+    versions chosen, and these go out to their requests by a key of its own, so
+    that a version many requests get can be divided among tasks.
     """
-    chosen = version_at(versions, requests, settings=settings).filter("found")
-    held = version_dedup(versions).select("identifier", "version", "interactionModel", "quads")
-    got = chosen.select("req", "identifier", "version").join(held, ["identifier", "version"])
-    text = F.concat_ws("\n", "quads", q.type_line(settings))
-    wanted = got.select(F.struct("req", "identifier").alias("identifier"), text.alias("quads"))
-    terms = ("graph", "subject", "predicate", "object")
-    return q.ingest(wanted, distinct=False).select("identifier.*", *terms).distinct()
+    asked, resolved = _resolve(versions, requests, asof.BUCKET_SECONDS, settings)
+    got = asked.select("req", "identifier", "t").join(resolved, ["identifier", "t"])
+    wanted = resolved.filter(F.col("version_t").isNotNull()).select("identifier", "version_t").distinct()
+    keyed = versions.select(
+        "identifier",
+        times.epoch_seconds("modified").alias("version_t"),
+        "interactionModel",
+        "quads",
+        *ORDER,
+    )
+    held = newest(keyed, ["identifier", "version_t"], ORDER).join(
+        wanted, ["identifier", "version_t"], "left_semi"
+    )
+    key = F.struct("identifier", "version_t").alias("k")
+    text = F.concat_ws("\n", "quads", q.type_line(settings)).alias("quads")
+    texts = got.select("req", key).join(held.select(key, text), "k")
+    texts = texts.select(F.struct("req", "k.identifier").alias("identifier"), "quads")
+    quads = q.ingest(texts, distinct=True)
+    return quads.select("identifier.*", *QUAD_COLUMNS[1:])
 
 
 def version_keys(versions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

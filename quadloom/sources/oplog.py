@@ -53,5 +53,8 @@ class OpLog:
         return state.live(self.accumulated(), self.attrs)
 
     def compact(self, through: int) -> None:
-        """Save what the log up to batch ``through`` comes to."""
+        """Save what the log up to batch ``through`` comes to, if it is not saved yet."""
+        newest = self._newest_snapshot()
+        if newest is not None and newest >= through:
+            return
         self.accumulated(through).write.mode("overwrite").parquet(f"{self._snapshots}/through={through}")

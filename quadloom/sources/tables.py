@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadloom.operators.keyed import distinct_keys
+
 BUCKET = "bucket"
 
 
@@ -46,7 +48,7 @@ def write_table(
 
 def rows_of_keys(table: DataFrame, ids: DataFrame, buckets: int, key: str = "identifier") -> DataFrame:
     """Rows of a bucketed table whose key is in ``ids``, opening only their buckets."""
-    asked = ids.select(key).distinct().withColumn(BUCKET, bucket_of(key, buckets))
+    asked = distinct_keys(ids, key).withColumn(BUCKET, bucket_of(key, buckets))
     return table.join(asked, [BUCKET, key], "left_semi")
 
 

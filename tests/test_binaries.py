@@ -146,7 +146,14 @@ def test_digests(spark):
             node = [hashlib.md5("".join(node).encode()).hexdigest()]
         assert got[name].tree_md5 == node[0]
     large = {r.identifier: r.md5 for r in binaries.digest(chunked(spark), segment_bytes=8).collect()}
-    assert large["b9"] is None and large["b8"] is not None
+    assert large["b8"] is None and large["b7"] is not None
+
+
+def test_small_chunks_do_not_make_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(binaries, "_SEGMENT_CHUNKS", 2)
+    content = bytes(range(20))
+    got = binaries.read_all(chunked(spark, held={"a": content})).orderBy("segment").collect()
+    assert [len(r.content) for r in got] == [8, 8, 4] and b"".join(bytes(r.content) for r in got) == content
 
 
 def test_the_digest_tree_groups_by_position(spark, monkeypatch):
