@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quadloom.operators.keyed import per_key
 
-BUCKET_SECONDS = 86_400
+# About twelve days, so at most about a million narrow rows are sorted together.
+BUCKET_SECONDS = 1_048_576
 
 
 def resolve(versions: DataFrame, requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
@@ -21,7 +22,8 @@ def resolve(versions: DataFrame, requests: DataFrame, bucket_seconds: int = BUCK
     identifier holds at most ``bucket_seconds`` rows however many versions and
     requests fall into it. Buckets are sorted on their own; what earlier
     buckets hold reaches later ones through one summary row per bucket, of
-    which an identifier has as many as its time span has days.
+    which an identifier has as many as its time span has buckets: some 3,000 in
+    a century.
     """
     marked = (
         versions.select("identifier", "t", F.lit(1).alias("v"), F.lit(0).alias("r"))

@@ -156,13 +156,24 @@ def root_type_quad(settings: Settings = DEFAULTS) -> Column:
     return nq.quad_line(*[nq.iri_term(F.lit(t)) for t in terms])
 
 
-def snapshot(resources: DataFrame, at: Column | None = None, granularity: str = "second") -> DataFrame:
-    """Version rows of current resources.
+def snapshot(
+    resources: DataFrame,
+    at: Column | None = None,
+    granularity: str = "second",
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """Version rows of current resources; none when versioning is off.
 
     ``modified`` stays whole, ``mementomodified`` is cut to the granularity.
     ``created`` is when the version row is made: ``at``, or the row's own.
     """
     made = F.col("created") if at is None else at
-    return resources.withColumn("created", made).withColumn(
-        "mementomodified", truncate_to("modified", granularity)
-    )
+    kept = resources.filter(F.lit(settings.versioning)).withColumn("created", made)
+    return kept.withColumn("mementomodified", truncate_to("modified", granularity))
+
+
+def versions_of_ops(ops: DataFrame, attrs: Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
+    """A version row for each write in a log, as ``snapshot`` after that write makes it."""
+    writes = ops.filter(F.col("op").isin(*WRITE_OPS))
+    columns = ["identifier", *attrs, F.col("ts").alias("modified"), F.col("ts").alias("created"), "seq"]
+    return snapshot(writes.select(*columns), settings=settings)

@@ -16,7 +16,7 @@ from quadloom.functions import nquads as nq
 from quadloom.operators import binaries, quads, resources, state, versions
 from quadloom.plans import fixtures as fx
 from quadloom.session import work_folder
-from quadloom.sources import tables
+from quadloom.sources import objects, tables
 from quadloom.sources.oplog import OpLog
 from quadloom.streaming import notifications as notes
 from quadloom.streaming import ops as stream_ops_job
@@ -62,6 +62,15 @@ def nquads_emit(spark, sf_dir):
     return quads.emit(fx.quads(spark, sf_dir), fx.ids(spark, sf_dir))
 
 
+@query
+def nquads_files(spark, sf_dir):
+    """All quads written as N-Quads files, and read from there."""
+    path = work_folder(spark, "nquads")
+    lines = fx.quads(spark, sf_dir).select("identifier", nq.quad_line().alias("line"))
+    objects.write_nquads(lines, path)
+    return objects.read_nquads(spark, path).select("graph", "subject", "predicate", "object")
+
+
 @query
 def graph_filter(spark, sf_dir):
     return quads.only_graphs(fx.quads(spark, sf_dir), [DEFAULTS.user_graph, DEFAULTS.acl_graph])
@@ -189,15 +198,20 @@ def touch_missed(spark, sf_dir):
     return state.missed_touches(fx.resources(spark, sf_dir), _touches(spark, sf_dir))
 
 
-@query
-def append_immutable(spark, sf_dir):
+def _with_text(ops):
+    """Ops with the N-Quads text that an ``add`` appends."""
     viewed = F.concat(
         nq.iri_term("identifier"),
         F.lit(f' <{fx.EX}viewed> "'),
         F.col("seq").cast("string"),
         F.lit(f'" <{DEFAULTS.audit_graph}> .'),
     )
-    log = fx.ops(spark, sf_dir).withColumn("text", viewed)
+    return ops.withColumn("text", viewed)
+
+
+@query
+def append_immutable(spark, sf_dir):
+    log = _with_text(fx.ops(spark, sf_dir))
     return state.append_immutable(fx.immutable(spark, sf_dir), state.additions_of_ops(log, "text"))
 
 
@@ -223,6 +237,12 @@ def snapshot_versions(spark, sf_dir):
     return made.select("identifier", "value", "modified", "mementomodified", "created", "seq")
 
 
+@query
+def snapshot_off(spark, sf_dir):
+    made = state.snapshot(fold_ops(spark, sf_dir), settings=UNVERSIONED)
+    return made.select("identifier", "value", "modified", "mementomodified", "created", "seq")
+
+
 @query
 def version_list(spark, sf_dir):
     return versions.version_list(fx.versions(spark, sf_dir))
@@ -498,13 +518,28 @@ def stream_notifications(spark, sf_dir):
     return spark.read.parquet(f"{folder}/topic").select("id", "message")
 
 
-@query
-def stream_ops(spark, sf_dir):
+def _streamed_log(spark, sf_dir) -> OpLog:
     folder = work_folder(spark, "ops")
     events = stream_table(spark, f"{sf_dir}/events.parquet")
-    log = OpLog(spark, f"{folder}/ops", ["value"])
-    stream_ops_job.append_ops(fx.ops_of(events), log, f"{folder}/checkpoint").awaitTermination()
-    return log.current()
+    log = OpLog(spark, f"{folder}/ops", ["value", "text"])
+    ops = _with_text(fx.ops_of(events))
+    stream_ops_job.append_ops(ops, log, f"{folder}/checkpoint", compact_every=1).awaitTermination()
+    return log
+
+
+@query
+def stream_ops(spark, sf_dir):
+    """Current state after a stream of ops, read from the compacted log."""
+    return _streamed_log(spark, sf_dir).current().drop("text")
+
+
+@query
+def stream_versions(spark, sf_dir):
+    """The versions and append-only rows which the same stream left."""
+    log = _streamed_log(spark, sf_dir)
+    made = log.versions().select("identifier", F.col("modified").alias("at"), F.lit("version").alias("kind"))
+    added = log.additions("text").select("identifier", F.col("created").alias("at"), F.lit("addition").alias("kind"))
+    return made.unionByName(added)
 
 
 @query

@@ -250,6 +250,7 @@ ORACLES: dict[str, str] = {
         "fx_ids",
         "fx_own_quads",
     ),
+    "nquads_files": _with("SELECT graph, subject, predicate, object FROM fx_quads", "fx_quads"),
     "graph_filter": _with(f"SELECT * FROM fx_quads WHERE graph IN ('<{U}>', '<{A}>')", "fx_quads"),
     "graph_exclude": _with(f"SELECT * FROM fx_quads WHERE graph IS NULL OR graph NOT IN ('<{U}>', '<{S}>')", "fx_quads"),
     "metadata_graphs": _with(
@@ -319,6 +320,9 @@ ORACLES: dict[str, str] = {
     "snapshot_versions": _with(
         "SELECT identifier, value, modified, date_trunc('second', modified) AS mementomodified, created, seq FROM fx_fold", "fx_fold"
     ),
+    "snapshot_off": _with(
+        "SELECT identifier, value, modified, modified AS mementomodified, created, seq FROM fx_fold WHERE false", "fx_fold"
+    ),
     "version_list": _with("SELECT DISTINCT identifier, version FROM fx_versions ORDER BY identifier, version", "fx_versions"),
     "version_at": _with("SELECT * FROM fx_version_at", "fx_version_at"),
     "version_dedup": _with(_NEWEST_PER.format(unit="version"), "fx_versions"),
@@ -499,6 +503,11 @@ ORACLES: dict[str, str] = {
                || {_ISO.format(ts="ts")} || '"}}' AS message
         FROM (SELECT *, unnest(range(0, CASE WHEN event_id % 20 = 0 THEN 2 ELSE 1 END)) FROM events)""",
     "stream_ops": _with("SELECT * FROM fx_fold", "fx_fold"),
+    "stream_versions": _with(
+        """SELECT identifier, ts AS "at", CASE WHEN op = 'add' THEN 'addition' ELSE 'version' END AS kind
+        FROM fx_ops WHERE op IN ('create', 'replace', 'add')""",
+        "fx_ops",
+    ),
     "stream_dedup": f"""
         SELECT 'event/' || event_id AS id, 'data:/user/' || user_id AS object, 'agent/' || user_id % 10 AS agents, event_type AS types,
                '{v.LDP_RDF_SOURCE}' AS "objectTypes", ts AS created FROM events""",

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadloom.operators import state
+from quadloom.vocab import DEFAULTS, Settings
 
 
 class OpLog:
@@ -52,6 +53,14 @@ class OpLog:
     def current(self) -> DataFrame:
         return state.live(self.accumulated(), self.attrs)
 
+    def additions(self, text_col: str) -> DataFrame:
+        """Append-only rows added by the log."""
+        return state.additions_of_ops(self.ops(), text_col)
+
+    def versions(self, settings: Settings = DEFAULTS) -> DataFrame:
+        """A version of each write in the log."""
+        return state.versions_of_ops(self.ops(), self.attrs, settings)
+
     def compact(self, through: int) -> None:
         """Save what the log up to batch ``through`` comes to, if it is not saved yet."""
         newest = self._newest_snapshot()

@@ -73,11 +73,20 @@ def ranges(spark, *asked):
 
 
 def test_known_ranges(spark):
-    text = b"This is only a short test, but it has meaning"
-    chunks = chunked(spark, held={"a": text, "j": b"onetwothreefourfivesix"})
-    asked = ranges(spark, ("a", 5, 11), ("j", 12, 10**12), ("a", 45, 60), ("none", 0, 5), ("a", 44, 44), ("a", 900, 10**15))
+    chunks = chunked(spark, held={"a": b"0123456789", "j": b"abcdefgh"})
+    asked = ranges(
+        spark, ("a", 3, 6), ("j", 5, 10**12), ("a", 10, 20), ("none", 0, 5), ("a", 9, 9), ("a", 900, 10**15), ("j", 0, 7)
+    )
     got = [(bytes(r.content) if r.content is not None else None, r.found) for r in binaries.read_range(chunks, asked).orderBy("req").collect()]
-    assert got == [(b"is only", True), (b"ourfivesix", True), (b"", True), (None, False), (b"g", True), (b"", True)]
+    assert got == [
+        (b"3456", True),
+        (b"fgh", True),
+        (b"", True),
+        (None, False),
+        (b"9", True),
+        (b"", True),
+        (b"abcdefgh", True),
+    ]
 
 
 @pytest.mark.parametrize("segment", [8, 1_000])
@@ -103,10 +112,10 @@ def test_long_ranges_are_listed_in_steps(spark, monkeypatch):
 
 
 def test_object_ranges(spark):
-    objects = spark.createDataFrame([("f", b"A sample binary file.\n")], "identifier STRING, content BINARY")
-    asked = ranges(spark, ("f", 5, 10), ("f", 100, 110), ("none", 0, 1), ("f", 18, 10**12))
+    objects = spark.createDataFrame([("f", b"0123456789")], "identifier STRING, content BINARY")
+    asked = ranges(spark, ("f", 5, 8), ("f", 100, 110), ("none", 0, 1), ("f", 7, 10**12))
     got = [r.content if r.content is None else bytes(r.content) for r in binaries.read_range_object(objects, asked).orderBy("req").collect()]
-    assert got == [b"ple bi", b"", None, b"le.\n"]
+    assert got == [b"5678", b"", None, b"789"]
 
 
 def test_replacing_drops_the_old_tail(spark, rows):
