@@ -12,9 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadloom.functions import nquads as nq
 from quadloom.functions.times import truncate_to
-from quadloom.vocab import DEFAULTS, LDP_BASIC_CONTAINER, RDF_TYPE, Settings
+from quadloom.vocab import DEFAULTS, LDP_BASIC_CONTAINER, Settings
 
 ORDER = ("created", "seq")
 
@@ -150,12 +149,6 @@ def ensure_root(state: DataFrame, at: Column, settings: Settings = DEFAULTS) ->
     return state.unionByName(row.join(present, "identifier", "left_anti"))
 
 
-def root_type_quad(settings: Settings = DEFAULTS) -> Column:
-    """The N-Quads line a new root container is created with."""
-    terms = (settings.data_prefix, RDF_TYPE, LDP_BASIC_CONTAINER, settings.server_graph)
-    return nq.quad_line(*[nq.iri_term(F.lit(t)) for t in terms])
-
-
 def snapshot(
     resources: DataFrame,
     at: Column | None = None,

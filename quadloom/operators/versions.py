@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,15 @@ from quadloom.schemas import MEMBERSHIP_COLUMNS, QUAD_COLUMNS
 from quadloom.vocab import DEFAULTS, Settings
 
 
-def version_list(versions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Distinct version times per identifier, in whole seconds, ascending."""
+def version_list(versions: DataFrame, time: str = "modified", settings: Settings = DEFAULTS) -> DataFrame:
+    """Distinct version times per identifier, in whole seconds, ascending.
+
+    ``time`` is the column a version's time is in: ``version``, from the key,
+    for decoded objects.
+    """
     return (
         versions.filter(F.lit(settings.versioning))
-        .select("identifier", times.truncate_seconds("modified").alias("version"))
+        .select("identifier", times.truncate_seconds(time).alias("version"))
         .distinct()
         .orderBy("identifier", "version")
     )
@@ -28,6 +34,7 @@ def version_list(versions: DataFrame, settings: Settings = DEFAULTS) -> DataFram
 def version_at(
     versions: DataFrame,
     requests: DataFrame,
+    time: str = "modified",
     bucket_seconds: int = asof.BUCKET_SECONDS,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
@@ -35,7 +42,7 @@ def version_at(
 
     The exact second if there is one, else the latest before, else the earliest.
     """
-    asked, resolved = _resolve(versions, requests, bucket_seconds, settings)
+    asked, resolved = _resolve(versions, requests, time, bucket_seconds, settings)
     # Requests join back by (identifier, t): one row on the right for each, so
     # a hot pair is on the left only, where the optimizer may divide it.
     return asked.join(resolved, ["identifier", "t"], "left").select(
@@ -45,10 +52,10 @@ def version_at(
     )
 
 
-def _resolve(versions, requests, bucket_seconds, settings) -> tuple[DataFrame, DataFrame]:
+def _resolve(versions, requests, time, bucket_seconds, settings) -> tuple[DataFrame, DataFrame]:
     """Requests with their second ``t``, and the version of each (identifier, t)."""
     held = versions.filter(F.lit(settings.versioning))
-    held = held.select("identifier", times.epoch_seconds("modified").alias("t"))
+    held = held.select("identifier", times.epoch_seconds(time).alias("t"))
     asked = requests.withColumn("t", times.epoch_seconds("at"))
     return asked, asof.resolve(held, asked, bucket_seconds)
 
@@ -66,24 +73,32 @@ def version_dedup(versions: DataFrame, granularity: str = "second") -> DataFrame
     return newest(keyed, ["identifier", "version"], ORDER)
 
 
-def version_quads(versions: DataFrame, requests: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def version_quads(
+    versions: DataFrame,
+    requests: DataFrame,
+    time: str = "modified",
+    order: Sequence[str] = ORDER,
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
     """Quads of the version each request gets: req and the quad columns.
 
+    Of versions with the same second the last in ``order`` counts.
+
     Requests are matched on narrow rows first. Texts are then cut down to the
     versions chosen, and these go out to their requests by a key of its own, so
     that a version many requests get can be divided among tasks.
     """
-    asked, resolved = _resolve(versions, requests, asof.BUCKET_SECONDS, settings)
+    asked, resolved = _resolve(versions, requests, time, asof.BUCKET_SECONDS, settings)
     got = asked.select("req", "identifier", "t").join(resolved, ["identifier", "t"])
     wanted = resolved.filter(F.col("version_t").isNotNull()).select("identifier", "version_t").distinct()
     keyed = versions.select(
         "identifier",
-        times.epoch_seconds("modified").alias("version_t"),
+        times.epoch_seconds(time).alias("version_t"),
         "interactionModel",
         "quads",
-        *ORDER,
+        *order,
     )
-    held = newest(keyed, ["identifier", "version_t"], ORDER).join(
+    held = newest(keyed, ["identifier", "version_t"], order).join(
         wanted, ["identifier", "version_t"], "left_semi"
     )
     key = F.struct("identifier", "version_t").alias("k")

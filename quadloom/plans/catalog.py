@@ -254,6 +254,25 @@ def version_at(spark, sf_dir):
     return got.select("req", "identifier", "version", "found")
 
 
+def _decoded(objects_df):
+    return versions.decode_meta(objects_df, KEYED).filter(F.col("version").isNotNull())
+
+
+@query
+def version_at_objects(spark, sf_dir):
+    """The same from the keys of version objects."""
+    held = _decoded(fx.version_objects(spark, sf_dir))
+    got = versions.version_at(held, fx.requests(spark, sf_dir), time="version")
+    return got.select("req", "identifier", "version", "found")
+
+
+@query
+def version_quads_objects(spark, sf_dir):
+    """Quads of chosen versions that were written as objects."""
+    held = _decoded(versions.encode_meta(fx.versions(spark, sf_dir), KEYED))
+    return versions.version_quads(held, fx.requests(spark, sf_dir), time="version", order=["modified"])
+
+
 _DEDUPED = ("identifier", "version", "modified", "seq", "container", "quads")
 
 
@@ -338,7 +357,7 @@ def versioning_off(spark, sf_dir):
 
 @query
 def versioning_off_list(spark, sf_dir):
-    return versions.version_list(fx.versions(spark, sf_dir), UNVERSIONED)
+    return versions.version_list(fx.versions(spark, sf_dir), settings=UNVERSIONED)
 
 
 # Binaries --------------------------------------------------------------------
@@ -508,6 +527,13 @@ def table_lookup(spark, sf_dir):
     return found.select("identifier", "interactionModel", "container", "modified")
 
 
+@query
+def chunk_files(spark, sf_dir):
+    """The files of the given tables themselves, chunked without being read whole."""
+    made = objects.chunk_files(spark, sf_dir, 64 * fx.CHUNK)
+    return made.select("identifier", "size", "chunkSize", "chunkIndex", F.md5("chunk").alias("md5"))
+
+
 @query
 def stream_notifications(spark, sf_dir):
     folder = work_folder(spark, "notifications")

@@ -118,6 +118,15 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                count(w.version) > 0 AS found
         FROM fx_requests r LEFT JOIN fx_versions w ON r.identifier = w.identifier GROUP BY r.req, r.identifier""",
     ),
+    "fx_version_at_objects": (
+        ("fx_versions", "fx_requests"),
+        """
+        SELECT r.req, r.identifier,
+               coalesce(max(w.version) FILTER (WHERE w.version <= date_trunc('second', r.asked)), min(w.version)) AS version,
+               count(w.version) > 0 AS found
+        FROM fx_requests r LEFT JOIN (SELECT * FROM fx_versions WHERE seq % 10 NOT IN (0, 1)) w ON r.identifier = w.identifier
+        GROUP BY r.req, r.identifier""",
+    ),
     "fx_objects": (
         (),
         """
@@ -325,6 +334,7 @@ ORACLES: dict[str, str] = {
     ),
     "version_list": _with("SELECT DISTINCT identifier, version FROM fx_versions ORDER BY identifier, version", "fx_versions"),
     "version_at": _with("SELECT * FROM fx_version_at", "fx_version_at"),
+    "version_at_objects": _with("SELECT * FROM fx_version_at_objects", "fx_version_at_objects"),
     "version_dedup": _with(_NEWEST_PER.format(unit="version"), "fx_versions"),
     "version_dedup_day": _with(
         _NEWEST_PER.format(unit="CAST(date_trunc('day', modified) AS TIMESTAMP)"), "fx_versions"
@@ -512,3 +522,6 @@ ORACLES: dict[str, str] = {
         SELECT 'event/' || event_id AS id, 'data:/user/' || user_id AS object, 'agent/' || user_id % 10 AS agents, event_type AS types,
                '{v.LDP_RDF_SOURCE}' AS "objectTypes", ts AS created FROM events""",
 }
+
+# The same quads, whichever store the versions come from.
+ORACLES["version_quads_objects"] = ORACLES["version_quads"]

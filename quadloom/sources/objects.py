@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadloom.operators.quads import bad_lines, quads_of_lines
+from quadloom.schemas import CHUNKS
+from quadloom.vocab import DEFAULT_CHUNK_SIZE
 
 
 def _key_of_path(path: Column, root: str) -> Column:
@@ -23,6 +27,66 @@ def read_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(key.alias("key"), "content", F.col("modificationTime").alias("modified"))
 
 
+# Chunks read by one row of work, when a file is read in pieces.
+_RUN = 64
+
+
+def chunk_files(
+    spark: SparkSession, root: str, chunk_size: int = DEFAULT_CHUNK_SIZE, partitions: int | None = None
+) -> DataFrame:
+    """All files below a folder as chunks, a file's key being its identifier.
+
+    Files may be of any size, also beyond what one value can hold: they are
+    listed without their content, and ranges of each are read by many tasks.
+    Spark has no reader for ranges of a file, so those tasks read with Arrow.
+    The number of them is fixed, as what they are given is too small for Spark
+    to tell how much they will read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    last = F.floor(F.col("length") / chunk_size).cast("bigint")
+    runs = files.select(
+        _key_of_path(F.col("path"), root).alias("identifier"),
+        "path",
+        F.col("length").alias("size"),
+        last.alias("last"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(_RUN).cast("bigint"))).alias("first"),
+    )
+    tasks = partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    spread = runs.repartition(tasks, "path", "first")
+    return spread.mapInArrow(_range_reader(chunk_size, _RUN), CHUNKS)
+
+
+def _range_reader(chunk_size: int, run: int):
+    """Rows (identifier, path, size, last, first) to the chunks of the run each names."""
+
+    def read(batches):
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                uri = re.sub(r"^file:/+", "file:///", quote(row["path"], safe=":/@"))
+                system, path = fs.FileSystem.from_uri(uri)
+                with system.open_input_file(path) as file:
+                    for index in range(row["first"], min(row["first"] + run - 1, row["last"]) + 1):
+                        chunk = file.read_at(max(min(chunk_size, row["size"] - index * chunk_size), 0), index * chunk_size)
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "identifier": pa.array([row["identifier"]], pa.string()),
+                                "size": pa.array([row["size"]], pa.int64()),
+                                "chunkSize": pa.array([chunk_size], pa.int32()),
+                                "chunkIndex": pa.array([index], pa.int32()),
+                                "chunk": pa.array([chunk], pa.binary()),
+                            }
+                        )
+
+    return read
+
+
 def write_objects(objects: DataFrame, path: str) -> None:
     """Append objects (key, content, mimeType) to a table of objects."""
     objects.select("key", "content", "mimeType").write.mode("append").parquet(path)
@@ -34,7 +98,9 @@ def nquads_lines(spark: SparkSession, root: str) -> DataFrame:
     The identifier is the file's key, as a graph's blank nodes are its file's own.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(root)
-    key = _key_of_path(F.col("_metadata.file_path"), root)
+    # This path is shown URL-encoded, but for the plus sign, which stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    key = _key_of_path(path, root)
     return lines.select(key.alias("identifier"), F.col("value").alias("line"))
 
 

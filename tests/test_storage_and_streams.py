@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quadloom import schemas, session
-from quadloom.operators import quads, state
+from quadloom.operators import binaries, quads, state
 from quadloom.sources import objects, tables
 from quadloom.sources.oplog import OpLog
 from quadloom.streaming import notifications, ops
@@ -37,21 +37,34 @@ def test_files_of_quads(spark, rows, tmp_path):
     folder = tmp_path / "in"
     (folder / "a").mkdir(parents=True)
     (folder / "a" / "x.nq").write_bytes('<s> <p> "é" .\r\n# note\r\nbad\r\n'.encode())
-    (folder / "y.nq").write_text("<s> <p> <o> <g> .\n")
+    (folder / "y +%41.nq").write_text("<s> <p> <o> <g> .\n")
     root = str(folder)
     assert rows(objects.read_nquads(spark, root)) == [
         ("a/x.nq", None, "<s>", "<p>", '"é"'),
-        ("y.nq", "<g>", "<s>", "<p>", "<o>"),
+        ("y +%41.nq", "<g>", "<s>", "<p>", "<o>"),
     ]
     assert rows(objects.read_bad_lines(spark, root)) == [("a/x.nq", "bad")]
     read = objects.read_files(spark, root)
-    assert rows(read, "key", F.length("content")) == [("a/x.nq", (folder / "a" / "x.nq").stat().st_size), ("y.nq", 18)]
+    assert rows(read, "key", F.length("content")) == [("a/x.nq", (folder / "a" / "x.nq").stat().st_size), ("y +%41.nq", 18)]
     out = str(tmp_path / "out")
     lines = objects.read_nquads(spark, root).withColumn("line", quads.nq.quad_line())
     objects.write_nquads(lines.select("identifier", "line"), out)
     assert {r.value for r in spark.read.text(out).collect()} == {"<s> <p> <o> <g> .", '<s> <p> "é" .'}
 
 
+@pytest.mark.parametrize("run", [1, 3, 64])
+def test_files_are_chunked_like_values(spark, rows, tmp_path, monkeypatch, run):
+    monkeypatch.setattr(objects, "_RUN", run)
+    for n in (0, 3, 4, 41):
+        (tmp_path / f"f {n}+%41").write_bytes(bytes(range(n)))
+    root = str(tmp_path)
+    got = objects.chunk_files(spark, root, 4)
+    values = objects.read_files(spark, root).select(F.col("key").alias("identifier"), "content", F.lit(4).alias("chunkSize"))
+    assert rows(got) == rows(binaries.chunk(values))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("FileScan")[-1].split("ReadSchema")[-1]
+
+
 def test_objects_append(spark, rows, tmp_path):
     df = spark.createDataFrame([("k", b"1", None)], schemas.BINARY_OBJECTS)
     for _ in range(2):
