@@ -11,6 +11,8 @@ from quadloom.vocab import CONTAINER_MODELS, DEFAULTS, VERSION_MARK, Settings
 # Fixed value: a scheme, a colon, then none of the characters an IRI may not hold.
 IRI_PATTERN = r"\A[A-Za-z][A-Za-z0-9+.-]*:[^\x00-\x20\x7F<>\"{}|\\^`]*\z"
 
+VERSION_PATTERN = r"(?s)\A(?:(?!\?version=).)*+\?version=([+-]?0*[0-9]{1,11})\z"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -65,10 +67,12 @@ def version_text_of_key(key: Column | str) -> Column:
 
 
 def version_of_key(key: Column | str) -> Column:
-    """Version time in a key; null when there is none or it is not a whole number."""
-    text = version_text_of_key(key)
-    number = F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
-    return from_epoch_seconds(number)
+    """Version time in a key; null when there is none or it is not a whole number.
+
+    What counts is all that follows the first mark. Numbers of more than eleven
+    digits, past the year 5138, are taken for errors.
+    """
+    return from_epoch_seconds(F.regexp_extract(_col(key), VERSION_PATTERN, 1).try_cast("bigint"))
 
 
 def iri_or_null(text: Column | str) -> Column:

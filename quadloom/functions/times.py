@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: seconds of 0000-01-01 and 9999-12-31T23:59:59 relative to 1970.
-_MIN_SECONDS = -62_167_219_200
-_MAX_SECONDS = 253_402_300_799
+# Fixed value: days from 0000-01-01 to 1970-01-01.
+_DAYS_BEFORE_1970 = 719_528
 # Fixed value: an ISO-8601 instant. A cast alone would take words like "today".
 _INSTANT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?Z\z"
 
@@ -21,24 +20,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def truncate_seconds(ts: Column | str) -> Column:
-    """The instant cut down to a whole second (towards the past)."""
-    ts = _col(ts)
-    fraction = F.extract(F.lit("SECOND"), ts) % 1
-    return ts - F.make_dt_interval(secs=fraction)
+# Each expression below refers to its argument once: the optimizer puts argument
+# expressions in the place of columns, and repeated ones would multiply.
 
 
 def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970, rounded towards the past."""
-    return F.unix_timestamp(truncate_seconds(ts))
+    """Whole seconds since 1970, rounded towards the past, from the year 0 on.
+
+    ``unix_timestamp`` rounds towards 1970, so it is given a later instant.
+    """
+    later = F.timestamp_add("DAY", F.lit(_DAYS_BEFORE_1970), _col(ts))
+    return F.unix_timestamp(later) - _DAYS_BEFORE_1970 * 86_400
 
 
 def from_epoch_seconds(seconds: Column | str) -> Column:
-    """The instant of a count of seconds; null outside the years 0 to 9999."""
-    seconds = _col(seconds)
-    inside = seconds.between(_MIN_SECONDS, _MAX_SECONDS)
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return F.when(inside, epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
+    """The instant of a count of seconds."""
+    return F.timestamp_add("SECOND", _col(seconds), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+
+
+def truncate_seconds(ts: Column | str) -> Column:
+    """The instant cut down to a whole second (towards the past)."""
+    return from_epoch_seconds(epoch_seconds(ts))
 
 
 def truncate_to(ts: Column | str, granularity: str) -> Column:

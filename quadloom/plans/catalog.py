@@ -268,8 +268,10 @@ def version_at_objects(spark, sf_dir):
 
 @query
 def version_quads_objects(spark, sf_dir):
-    """Quads of chosen versions that were written as objects."""
-    held = _decoded(versions.encode_meta(fx.versions(spark, sf_dir), KEYED))
+    """Quads of chosen versions, which are written as objects and read from there."""
+    path = work_folder(spark, "versions")
+    versions.encode_meta(fx.versions(spark, sf_dir), KEYED).write.parquet(path)
+    held = _decoded(spark.read.parquet(path))
     return versions.version_quads(held, fx.requests(spark, sf_dir), time="version", order=["modified"])
 
 

@@ -155,7 +155,7 @@ def test_version_quads(spark, rows):
     assert got == sorted(
         [(0, '"1"'), (0, typed), (1, '"2"'), (1, typed), (2, '"2"'), (2, typed), (3, typed)], key=repr
     )
-    plain = versions.version_quads(held, asked, Settings(add_type_quad=False))
+    plain = versions.version_quads(held, asked, settings=Settings(add_type_quad=False))
     assert plain.count() == 3
 
 
