@@ -73,38 +73,52 @@ def version_dedup(versions: DataFrame, granularity: str = "second") -> DataFrame
     return newest(keyed, ["identifier", "version"], ORDER)
 
 
-def version_quads(
+def version_rows(
     versions: DataFrame,
     requests: DataFrame,
+    columns: Sequence[str],
     time: str = "modified",
     order: Sequence[str] = ORDER,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Quads of the version each request gets: req and the quad columns.
+    """The version each request gets: req, identifier, version and its ``columns``.
 
-    Of versions with the same second the last in ``order`` counts.
+    Of versions with the same second the last in ``order`` counts. A request
+    for a resource without versions gets nulls.
 
-    Requests are matched on narrow rows first. Texts are then cut down to the
-    versions chosen, and these go out to their requests by a key of its own, so
+    Requests are matched on narrow rows first. Version rows are then cut down
+    to those chosen, and these go out to their requests by a key of its own, so
     that a version many requests get can be divided among tasks.
     """
     asked, resolved = _resolve(versions, requests, time, asof.BUCKET_SECONDS, settings)
-    got = asked.select("req", "identifier", "t").join(resolved, ["identifier", "t"])
-    wanted = resolved.filter(F.col("version_t").isNotNull()).select("identifier", "version_t").distinct()
-    keyed = versions.select(
-        "identifier",
-        times.epoch_seconds(time).alias("version_t"),
-        "interactionModel",
-        "quads",
-        *order,
-    )
-    held = newest(keyed, ["identifier", "version_t"], order).join(
-        wanted, ["identifier", "version_t"], "left_semi"
+    got = asked.select("req", "identifier", "t").join(resolved, ["identifier", "t"], "left")
+    by = ["identifier", "version_t"]
+    wanted = resolved.filter(F.col("version_t").isNotNull()).select(*by).distinct()
+    named = [F.col(c).alias(f"_{n}") for n, c in enumerate(columns)]
+    ranked = [F.col(c).alias(f"_order{n}") for n, c in enumerate(order)]
+    keyed = versions.select("identifier", times.epoch_seconds(time).alias("version_t"), *named, *ranked)
+    held = newest(keyed, by, [f"_order{n}" for n, _ in enumerate(order)]).join(wanted, by, "left_semi")
+    key = F.struct(*by).alias("k")
+    rows = got.select("req", key).join(held.select(key, *[f"_{n}" for n, _ in enumerate(columns)]), "k", "left")
+    return rows.select(
+        "req",
+        "k.identifier",
+        times.from_epoch_seconds("k.version_t").alias("version"),
+        *[F.col(f"_{n}").alias(c) for n, c in enumerate(columns)],
     )
-    key = F.struct("identifier", "version_t").alias("k")
+
+
+def version_quads(
+    versions: DataFrame,
+    requests: DataFrame,
+    time: str = "modified",
+    order: Sequence[str] = ORDER,
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """Quads of the version each request gets: req and the quad columns."""
+    rows = version_rows(versions, requests, ["interactionModel", "quads"], time, order, settings)
     text = F.concat_ws("\n", "quads", q.type_line(settings)).alias("quads")
-    texts = got.select("req", key).join(held.select(key, text), "k")
-    texts = texts.select(F.struct("req", "k.identifier").alias("identifier"), "quads")
+    texts = rows.select(F.struct("req", "identifier").alias("identifier"), text)
     quads = q.ingest(texts, distinct=True)
     return quads.select("identifier.*", *QUAD_COLUMNS[1:])
 

@@ -306,6 +306,13 @@ def version_quads(spark, sf_dir):
     return versions.version_quads(fx.versions(spark, sf_dir), fx.requests(spark, sf_dir))
 
 
+@query
+def version_rows(spark, sf_dir):
+    """All a request learns of its version but for the quads as rows."""
+    columns = ["interactionModel", "container", "binaryIdentifier", "modified", "quads", "membershipResource"]
+    return versions.version_rows(fx.versions(spark, sf_dir), fx.requests(spark, sf_dir), columns)
+
+
 @query
 def version_keys(spark, sf_dir):
     return versions.version_keys(fx.versions(spark, sf_dir), KEYED)

@@ -353,6 +353,14 @@ ORACLES: dict[str, str] = {
         UNION SELECT req, identifier, '<{S}>', '<' || identifier || '>', '<{v.RDF_TYPE}>', '<' || interactionModel || '>' FROM chosen""",
         "fx_version_at",
     ),
+    "version_rows": _with(
+        f"""SELECT a.req, a.identifier, a.version, w.interactionModel, w.container, w.binaryIdentifier, w.modified, w.quads,
+               CASE WHEN w.user_id % 5 = 0 THEN '{EX}membershipResource' END AS membershipResource
+        FROM fx_version_at a
+        LEFT JOIN (SELECT * FROM fx_versions QUALIFY row_number() OVER (PARTITION BY identifier, version ORDER BY modified DESC, seq DESC) = 1) w
+        ON a.identifier = w.identifier AND a.version = w.version""",
+        "fx_version_at",
+    ),
     "version_keys": _with(f"SELECT identifier, modified, {_VERSION_KEY} AS key FROM fx_versions", "fx_versions"),
     "version_catalog": """
         SELECT DISTINCT 'data:/user/' || user_id AS identifier, date_trunc('second', ts) AS version

@@ -155,6 +155,9 @@ def test_version_quads(spark, rows):
     assert got == sorted(
         [(0, '"1"'), (0, typed), (1, '"2"'), (1, typed), (2, '"2"'), (2, typed), (3, typed)], key=repr
     )
+    found = rows(versions.version_rows(held, asked, ["modified", "quads"]), "req", "version", "modified", "quads")
+    second = T.replace(microsecond=0)
+    assert found[0] == (0, second, T, '<a> <p> "1" .') and found[3:] == [(3, second, T, None), (4, None, None, None)]
     plain = versions.version_quads(held, asked, settings=Settings(add_type_quad=False))
     assert plain.count() == 3
 
