@@ -30,13 +30,12 @@ def chunk_sizes(binaries: DataFrame, default: int = DEFAULT_CHUNK_SIZE) -> DataF
     No hints: the default. One hint: its number, at least 1. Anything else is
     an error and leaves the size null.
     """
-    hints = F.col("hints")
-    number = F.when(hints[0].rlike(r"\A[+-]?[0-9]+\z"), hints[0].try_cast("int"))
+    hints, hint = F.col("hints"), F.get("hints", F.lit(0))
+    number = F.when(hint.rlike(r"\A[+-]?[0-9]+\z"), hint.try_cast("int"))
     error = (
         F.when(hints.isNull(), F.lit(None))
         .when(F.size(hints) > 1, F.lit("too many chunk sizes"))
         .when(F.size(hints) == 0, F.lit("no chunk size"))
-        .when(F.coalesce(F.get(hints, F.lit(0)), F.lit("")) == "", F.lit("not a number"))
         .when(number.isNull(), F.lit("not a number"))
         .when(number < 1, F.lit("chunk size below 1"))
     )

@@ -1,8 +1,8 @@
 """Tables hashed by key into bucket folders, and their key lookups.
 
-Rows of a key are in one bucket folder, in files sorted by key. A lookup joins
-on the bucket as well, which lets Spark skip all other folders, and the file
-statistics of sorted keys let it skip most row groups of the ones it opens.
+Rows of a key are in one bucket folder, in files sorted by key. A lookup names
+its buckets, which lets Spark skip all other folders, and the file statistics
+of sorted keys let it skip most row groups of the ones it opens for one key.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from quadloom.operators.keyed import distinct_keys
 
 BUCKET = "bucket"
+# Most bytes of keys sent to all executors, and what a key takes beside its text.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_BYTES = 64
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:
@@ -46,10 +49,21 @@ def write_table(
     ranged.sortWithinPartitions(*by).write.mode(mode).partitionBy(BUCKET).parquet(path)
 
 
-def rows_of_keys(table: DataFrame, ids: DataFrame, buckets: int, key: str = "identifier") -> DataFrame:
-    """Rows of a bucketed table whose key is in ``ids``, opening only their buckets."""
+def rows_of_keys(
+    table: DataFrame, ids: DataFrame, buckets: int, key: str = "identifier", broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows of a bucketed table whose key is in ``ids``, opening only their buckets.
+
+    A first job measures the keys and tells their buckets, a number each. Keys
+    of no more than ``broadcast_bytes`` are then broadcast, which moves no row
+    of the table; more are joined by a shuffle.
+    """
     asked = distinct_keys(ids, key).withColumn(BUCKET, bucket_of(key, buckets))
-    return table.join(asked, [BUCKET, key], "left_semi")
+    sizes = asked.groupBy(BUCKET).agg(F.sum(F.octet_length(key)).alias("bytes"), F.count("*").alias("keys")).collect()
+    kept = table.filter(F.col(BUCKET).isin([s[BUCKET] for s in sizes]))
+    if sum(s["bytes"] + _ROW_BYTES * s["keys"] for s in sizes) <= broadcast_bytes:
+        asked = F.broadcast(asked)
+    return kept.join(asked, [BUCKET, key], "left_semi")
 
 
 def row_of_key(table: DataFrame, value: str, buckets: int, key: str = "identifier") -> DataFrame:

@@ -26,7 +26,12 @@ def test_bucketed_tables_split_hot_keys_and_prune(spark, tmp_path):
     hot_files = table.filter("identifier = 'hot'").select(F.input_file_name()).distinct().count()
     assert hot_files > 1
     ids = spark.createDataFrame([("hot",), ("k1",), ("none",)], "identifier STRING")
-    assert tables.rows_of_keys(table, ids, 4).count() == 1_001
+    for limit, join in ((tables.BROADCAST_BYTES, "BroadcastHashJoin"), (10, "SortMergeJoin")):
+        found = tables.rows_of_keys(table, ids, 4, broadcast_bytes=limit)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert found.count() == 1_001
+    assert tables.rows_of_keys(table, ids.filter("false"), 4).count() == 0
     one = tables.row_of_key(table, "k1", 4)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(identifier,k1)" in plan
