@@ -139,11 +139,8 @@ def metadata_graphs(quads: DataFrame, ignored: Sequence[str] | None = None) -> D
     ignored = DEFAULTS.table_ignored_graphs if ignored is None else ignored
     named = quads.filter(F.col("graph").startswith("<"))
     name = F.expr("substring(graph, 2, length(graph) - 2)")
-    return (
-        named.select("identifier", name.alias("graph"))
-        .filter(~F.col("graph").isin(*ignored))
-        .distinct()
-    )
+    kept = named.select("identifier", name.alias("graph")).filter(~F.col("graph").isin(*ignored))
+    return distinct_keys(kept, "identifier", "graph")
 
 
 def type_line(settings: Settings = DEFAULTS, identifier="identifier", model="interactionModel") -> Column:

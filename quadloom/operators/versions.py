@@ -12,6 +12,7 @@ from quadloom.functions import keys, times
 from quadloom.functions import nquads as nq
 from quadloom.operators import asof
 from quadloom.operators import quads as q
+from quadloom.operators.keyed import distinct_keys
 from quadloom.operators.state import ORDER, newest
 from quadloom.schemas import MEMBERSHIP_COLUMNS, QUAD_COLUMNS
 from quadloom.vocab import DEFAULTS, Settings
@@ -23,12 +24,9 @@ def version_list(versions: DataFrame, time: str = "modified", settings: Settings
     ``time`` is the column a version's time is in: ``version``, from the key,
     for decoded objects.
     """
-    return (
-        versions.filter(F.lit(settings.versioning))
-        .select("identifier", times.truncate_seconds(time).alias("version"))
-        .distinct()
-        .orderBy("identifier", "version")
-    )
+    held = versions.filter(F.lit(settings.versioning))
+    held = held.select("identifier", times.truncate_seconds(time).alias("version"))
+    return distinct_keys(held, "identifier", "version").orderBy("identifier", "version")
 
 
 def version_at(
@@ -140,7 +138,7 @@ def catalog(objects: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         keys.identifier_of_version_key("key", settings).alias("identifier"),
         keys.version_of_key("key").alias("version"),
     )
-    return listed.filter(F.col("version").isNotNull()).distinct()
+    return distinct_keys(listed.filter(F.col("version").isNotNull()), "identifier", "version")
 
 
 def catalog_rejects(objects: DataFrame) -> DataFrame:

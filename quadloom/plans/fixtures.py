@@ -43,52 +43,31 @@ def _ex(name: str) -> Column:
     return F.lit(f"<{EX}{name}>")
 
 
-def _quad(graph: Column | None, subject: Column, predicate: Column, obj: Column) -> Column:
-    return F.struct(
-        (F.lit(None).cast("string") if graph is None else graph).alias("graph"),
-        subject.alias("subject"),
-        predicate.alias("predicate"),
-        obj.alias("object"),
-    )
-
-
-def _order_quads(server: bool) -> Column:
-    """The quads of an order, as an array."""
+def _order_quads(server: bool) -> list[tuple[Column, Column, Column, Column, Column]]:
+    """The quads an order may have: condition, graph, subject, predicate, object."""
+    always, default = F.lit(True), F.lit(None).cast("string")
     user, acl = F.lit(f"<{DEFAULTS.user_graph}>"), F.lit(f"<{DEFAULTS.acl_graph}>")
     subject = nq.iri_term(_id("order", "o_orderkey"))
-    key = F.col("o_orderkey").cast("string")
+    key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
     priority = F.col("o_orderpriority")
-    said = F.concat(F.lit('said "hi" to \\ customer '), F.col("o_custkey").cast("string"))
+    said = nq.literal_term(F.concat(F.lit('said "hi" to \\ customer '), customer), lang=F.lit("en"))
+    blank, blank_graph = F.concat(F.lit("_:b"), key), F.concat(F.lit("_:g"), key)
     quads = [
-        _quad(user, subject, _ex("status"), nq.literal_term("o_orderstatus")),
-        _quad(user, subject, _ex("priority"), nq.literal_term("o_orderpriority")),
-        F.when(priority == "1-URGENT", _quad(acl, subject, F.lit(f"<{ACL_MODE}>"), F.lit(f"<{ACL_READ}>"))),
-        F.when(
-            priority == "2-HIGH",
-            _quad(None, subject, _ex("customer"), nq.literal_term(F.col("o_custkey").cast("string"), datatype=XSD_INTEGER)),
-        ),
-        F.when(
-            priority == "4-NOT SPECIFIED",
-            _quad(
-                F.concat(F.lit("_:g"), key),
-                F.concat(F.lit("_:b"), key),
-                _ex("note"),
-                nq.literal_term(said, lang=F.lit("en")),
-            ),
-        ),
+        (always, user, subject, _ex("status"), nq.literal_term("o_orderstatus")),
+        (always, user, subject, _ex("priority"), nq.literal_term("o_orderpriority")),
+        (priority == "1-URGENT", acl, subject, F.lit(f"<{ACL_MODE}>"), F.lit(f"<{ACL_READ}>")),
+        (priority == "2-HIGH", default, subject, _ex("customer"), nq.literal_term(customer, datatype=XSD_INTEGER)),
+        (priority == "4-NOT SPECIFIED", blank_graph, blank, _ex("note"), said),
     ]
     if server:
         graph, model = F.lit(f"<{DEFAULTS.server_graph}>"), F.lit(f"<{v.LDP_RDF_SOURCE}>")
-        quads.append(_quad(graph, subject, F.lit(f"<{v.RDF_TYPE}>"), model))
-    return F.filter(F.array(*quads), lambda q: q.isNotNull())
-
-
-def _line(q: Column) -> Column:
-    return F.concat_ws(" ", q["subject"], q["predicate"], q["object"], q["graph"], F.lit("."))
+        quads.append((always, graph, subject, F.lit(f"<{v.RDF_TYPE}>"), model))
+    return quads
 
 
 def _order_text() -> Column:
-    return F.array_join(F.transform(_order_quads(server=False), _line), "\n")
+    lines = [F.when(when, nq.quad_line(s, p, o, g)) for when, g, s, p, o in _order_quads(server=False)]
+    return F.concat_ws("\n", *lines)
 
 
 def _document_text() -> Column:
@@ -168,8 +147,14 @@ def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quads of all orders, the server-managed ones included."""
+    names = ("graph", "subject", "predicate", "object")
+    made = [
+        F.when(when, F.struct(*[term.alias(name) for name, term in zip(names, terms)]))
+        for when, *terms in _order_quads(server=True)
+    ]
     orders = table(spark, sf_dir, "orders")
-    return orders.select(_id("order", "o_orderkey").alias("identifier"), F.inline(_order_quads(server=True)))
+    rows = orders.select(_id("order", "o_orderkey").alias("identifier"), F.inline(F.array(*made)))
+    return rows.filter("subject IS NOT NULL")
 
 
 def nquads(spark: SparkSession, sf_dir: str) -> DataFrame:
