@@ -3,9 +3,10 @@
 Layout below the root:
   log/batch=<n>/         ops of one batch; writing a batch again replaces it
   snapshot/through=<n>/  accumulated batches up to and with n
+  finished/              one row (through) per snapshot that is whole
 
 Nothing that may be being read is written over: a compaction makes a new
-snapshot, and readers use the newest with the batches after it.
+snapshot, and readers use the newest finished one with the batches after it.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ class OpLog:
         self.attrs = list(attrs)
         self._log = root.rstrip("/") + "/log"
         self._snapshots = root.rstrip("/") + "/snapshot"
+        self._finished = root.rstrip("/") + "/finished"
 
     def append(self, ops: DataFrame, batch: int) -> None:
         """Write a batch. Doing so again with the same number changes nothing."""
@@ -37,17 +39,17 @@ class OpLog:
 
     def _newest_snapshot(self) -> int | None:
         try:
-            saved = self.spark.read.parquet(self._snapshots)
-        except AnalysisException:
+            finished = self.spark.read.schema("through BIGINT").parquet(self._finished)
+        except AnalysisException:  # there is no such folder yet
             return None
-        return saved.agg(F.max("through")).first()[0]
+        return finished.agg(F.max("through")).first()[0]
 
     def accumulated(self, through: int | None = None) -> DataFrame:
         ops = self.ops() if through is None else self.ops().filter(F.col("batch") <= through)
         base = self._newest_snapshot()
         if base is None or (through is not None and base > through):
             return state.accumulate(ops, self.attrs)
-        saved = self.spark.read.parquet(self._snapshots).filter(F.col("through") == base).drop("through")
+        saved = self.spark.read.parquet(f"{self._snapshots}/through={base}")
         return state.combine(saved, state.accumulate(ops.filter(F.col("batch") > base), self.attrs))
 
     def current(self) -> DataFrame:
@@ -67,3 +69,5 @@ class OpLog:
         if newest is not None and newest >= through:
             return
         self.accumulated(through).write.mode("overwrite").parquet(f"{self._snapshots}/through={through}")
+        done = self.spark.range(1).select(F.lit(through).cast("bigint").alias("through"))
+        done.write.mode("append").parquet(self._finished)

@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -158,3 +160,19 @@ def test_models_and_probe(spark, rows):
     assert [i for i, ok in checked if not ok] == ["data:/c/d"]
     assert resources.is_ready(sample(spark)).first()[0] is True
     assert resources.is_ready(sample(spark).filter("false")).first()[0] is False
+
+
+def test_any_text_survives_as_a_literal(spark):
+    """Random texts, hard characters among them, become lines, quads and texts again."""
+    pick = random.Random(9)
+    hard = ['"', "\\", "\n", "\r", "\t", " ", ".", "<", ">", "#", "@", "^", "é", "😀", " ", "\x85", "\x01", "u0041", "_:"]
+    sent = [(f"r{n}", "".join(pick.choice([*hard, "a", "b"]) for _ in range(pick.randrange(30)))) for n in range(400)]
+    df = spark.createDataFrame(sent, "identifier STRING, text STRING")
+    line = quads.nq.quad_line(F.lit("<s>"), F.lit("<p>"), quads.nq.literal_term("text"), F.lit("<g>"))
+    read = quads.ingest(df.select("identifier", line.alias("quads")))
+    assert quads.quarantine(df.select("identifier", line.alias("quads"))).count() == 0
+    marks = {"n": "\n", "r": "\r", '"': '"', "\\": "\\"}
+    plain = {r.identifier: re.sub(r"\\(.)", lambda m: marks[m[1]], r.object[1:-1]) for r in read.collect()}
+    assert plain == dict(sent)
+    again = quads.ingest(quads.emit(read).select("identifier", "quads"))
+    assert again.exceptAll(read).count() == 0 and again.count() == len(sent)

@@ -88,6 +88,12 @@ def test_the_log_survives_repeats_and_compaction(spark, rows, tmp_path):
             log.compact(batch)
     want = sorted(fold(all_ops), key=repr)
     assert rows(log.current()) == want
+    log.compact(3)  # saved already
+    # A snapshot that was not finished is not used.
+    spark.createDataFrame([(1,)], "x INT").write.parquet(str(tmp_path / "log" / "snapshot" / "through=5"))
+    assert rows(log.current()) == want
+    log.compact(5)
+    assert rows(log.current()) == want
     assert rows(state.live(log.accumulated(1), ["value"])) == sorted(fold(all_ops[0::6] + all_ops[1::6]), key=repr)
 
 
