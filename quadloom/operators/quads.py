@@ -26,9 +26,7 @@ _BROADCAST_PART_BYTES = 64 * 1024 * 1024
 
 def _line_terms(lines: DataFrame) -> DataFrame:
     """identifier, line -> those with a statement, plus its ``terms``."""
-    lines = lines.filter(nq.is_statement("line")).withColumn("terms", nq.line_terms("line"))
-    resolved = F.when(nq.has_code_escape("line"), F.transform("terms", nq.resolve_code_escapes))
-    return lines.withColumn("terms", resolved.otherwise(F.col("terms")))
+    return lines.filter(nq.is_statement("line")).withColumn("terms", nq.line_terms("line"))
 
 
 def _lines_of_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -43,6 +41,8 @@ def quads_of_lines(lines: DataFrame) -> DataFrame:
     The terms leave through a generator and not through a filter, because a
     filter on them would be pushed down and match every line twice.
     """
+    resolved = F.when(nq.has_code_escape("line"), F.transform("terms", nq.resolve_code_escapes))
+    parsed = _line_terms(lines).withColumn("terms", resolved.otherwise(F.col("terms")))
     t = F.col("terms")
     quad = F.struct(
         F.nullif(t[3], F.lit("")).alias("graph"),
@@ -51,7 +51,7 @@ def quads_of_lines(lines: DataFrame) -> DataFrame:
         t[2].alias("object"),
     )
     good = F.when(F.size(t) == 4, F.array(quad))
-    return _line_terms(lines).select("identifier", F.inline(good)).select(*QUAD_COLUMNS)
+    return parsed.select("identifier", F.inline(good)).select(*QUAD_COLUMNS)
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:
