@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,13 +22,9 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder named in ``spark.checkpoint.dir``.
+    """A new path below the shared folder: ``spark.checkpoint.dir``, else ``spark.sql.warehouse.dir``.
 
-    Only a local session without that setting gets a folder of this machine.
+    Both are folders that the driver and all executors share.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="quadloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/quadloom-work/{name}-{uuid.uuid4().hex}"
