@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quadloom.llm import codes, counts, pieces
+from quadloom.llm import codes, counts, pieces, simhash
 from quadloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def op2_token_counts(spark, sf_dir):
 @query
 def op7_token_codes(spark, sf_dir):
     return codes.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    return simhash.digests(documents(spark, sf_dir))
