@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quadloom.llm import codes, counts, pieces, repetition, simhash
+from quadloom.llm import codes, counts, pieces, repetition, sharding, simhash
 from quadloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op9_simhash(spark, sf_dir):
 @query
 def op4_repetition(spark, sf_dir):
     return repetition.judged(documents(spark, sf_dir))
+
+
+@query
+def op8_sharding(spark, sf_dir):
+    return sharding.digests(documents(spark, sf_dir))
