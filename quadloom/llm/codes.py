@@ -22,6 +22,7 @@ table gives no segment.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quadloom.llm.common import chunked, lists, slices
+from quadloom.llm.common import Known, chunked, lists, slices
 from quadloom.llm.counts import Cutter
 from quadloom.session import work_folder
 
@@ -104,29 +105,27 @@ def token_at(codes: bytes, i: int) -> int:
 
 
 class Encoder:
-    """The library's ids of chunks; words are given to the library once and kept."""
+    """The library's ids of distinct chunks; those of words are kept, up to a fixed number of them."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.cutter = Cutter([t.content for t in self.library.get_added_tokens_decoder().values()])
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.most = most
+        self.words, self.chunks = Known(), Known()
 
     def ids(self, chunks: list[str]) -> list[bytes]:
-        if len(self.chunks) > self.most:
-            self.chunks.clear()
-        if len(self.words) > self.most:
-            self.words.clear()
-        known, words, cut = self.chunks, self.words, self.cutter.cut
-        new = {c: cut(c) for c in chunks if c not in known}
-        unknown = list({w for own in new.values() for w in own if w not in words})
-        coded = self.library.encode_batch_fast(unknown, add_special_tokens=False)
-        words.update((w, np.array(e.ids, np.int32).tobytes()) for w, e in zip(unknown, coded, strict=True))
-        known.update((c, b"".join([words[w] for w in own])) for c, own in new.items())
-        return [known[c] for c in chunks]
+        words, known = self.words, self.chunks
+        found = {c: known.peek(c) for c in chunks}
+        cuts = {c: self.cutter.cut(c) for c, v in found.items() if v is None}
+        own = {w: words.peek(w) for cut in cuts.values() for w in cut}
+        new = [w for w, v in own.items() if v is None]
+        coded = self.library.encode_batch_fast(new, add_special_tokens=False)
+        own.update((w, array("i", e.ids).tobytes()) for w, e in zip(new, coded, strict=True))
+        found.update((c, b"".join([own[w] for w in cut])) for c, cut in cuts.items())
+        words.add(own)
+        known.add(found)
+        return list(found.values())
 
 
 @cache

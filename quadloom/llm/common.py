@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from quadloom.session import work_folder
 
 # Bytes of text that a Python worker takes up at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -108,18 +108,38 @@ def chunked(texts: pa.Array, joined: str, split: Callable[[str], list[str]]) ->
 
 
 class Known(dict):
-    """Results by key, computed when first asked for; emptied when it holds ``most`` of them."""
+    """Results by key, computed when first asked for.
 
-    def __init__(self, compute: Callable, most: int = 1_000_000):
+    Holds ``most`` of them at most: when half of that are new, those not asked
+    for since the last time are forgotten.
+    """
+
+    def __init__(self, compute: Callable | None = None, most: int = 500_000):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.half, self.old = compute, most // 2, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        self[key] = value
         return value
 
+    def peek(self, key):
+        """The result if it is held, else None."""
+        value = self.get(key)
+        return self.old.get(key) if value is None else value
+
+    def add(self, results: dict) -> None:
+        """Take results that were computed elsewhere."""
+        if len(self) + len(results) > self.half:
+            self.old = dict(self)
+            self.clear()
+        self.update(results)
+
 
 def lists(values: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     """For each text the int32 lists of its chunks, joined; ``values`` has the bytes of each distinct chunk's list."""

@@ -73,7 +73,7 @@ class Pieces:
         self.singles = known
         self.single_bytes = set(self.byte.values())
         self.spaced = {i for p, i in self.id.items() if p[0] == SPACE}
-        self.fits = Known(self.compatible, 1_000_000)
+        self.fits = Known(self.compatible)
 
     def merged(self, text: str) -> list[str]:
         """``text`` by merging: the best-scored pair first, the leftmost of equals."""
@@ -224,7 +224,7 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, _ = load(model)
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             column = batch.column(ids)
             ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
             flat = column.flatten().to_numpy(zero_copy_only=False)
