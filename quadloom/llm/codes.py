@@ -112,7 +112,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.cutter = Cutter([t.content for t in self.library.get_added_tokens_decoder().values()])
-        self.words, self.chunks = Known(), Known()
+        self.words, self.chunks = Known(most=1_000_000), Known(most=1_000_000)
 
     def ids(self, chunks: list[str]) -> list[bytes]:
         words, known = self.words, self.chunks

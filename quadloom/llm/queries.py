@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quadloom.llm import codes, counts, pieces, repetition, sharding, simhash
+from quadloom.llm import codes, counts, neighbours, pieces, repetition, sharding, simhash
 from quadloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,9 @@ def op4_repetition(spark, sf_dir):
 @query
 def op8_sharding(spark, sf_dir):
     return sharding.digests(documents(spark, sf_dir))
+
+
+@query
+def op10_learned_partitions(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.search(vectors, F.col("vec_id") % 50 == 0)
