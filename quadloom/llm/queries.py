@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.llm import codes, counts, neighbours, pieces, repetition, sharding, simhash
+from quadloom.llm import codes, counts, neighbours, pieces, quality, repetition, sharding, simhash
 from quadloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def op8_sharding(spark, sf_dir):
 def op10_learned_partitions(spark, sf_dir):
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return neighbours.search(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op6_ordinal_quality(spark, sf_dir):
+    return quality.digests(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
