@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.llm import codes, counts, neighbours, pieces, quality, repetition, sharding, simhash
+from quadloom.llm import codes, counts, mixing, neighbours, pieces, quality, repetition, sharding, simhash
 from quadloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,11 @@ def op10_learned_partitions(spark, sf_dir):
 @query
 def op6_ordinal_quality(spark, sf_dir):
     return quality.digests(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op3_raked_mixing(spark, sf_dir):
+    return mixing.digests(documents(spark, sf_dir))
+
+
+ORACLES["op3_raked_mixing"] = mixing.oracle()
