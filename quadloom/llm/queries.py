@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.llm import codes, counts, mixing, neighbours, pieces, quality, repetition, sharding, simhash
+from quadloom.llm import codes, counts, mixing, neighbours, pieces, quality, repetition, sharding, simhash, substrings
 from quadloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op3_raked_mixing(spark, sf_dir):
 
 
 ORACLES["op3_raked_mixing"] = mixing.oracle()
+
+
+@query
+def op5_substring_dedup(spark, sf_dir):
+    return substrings.digests(documents(spark, sf_dir))
