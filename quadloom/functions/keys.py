@@ -11,7 +11,10 @@ from quadloom.vocab import CONTAINER_MODELS, DEFAULTS, VERSION_MARK, Settings
 # Fixed value: a scheme, a colon, then none of the characters an IRI may not hold.
 IRI_PATTERN = r"\A[A-Za-z][A-Za-z0-9+.-]*:[^\x00-\x20\x7F<>\"{}|\\^`]*\z"
 
-VERSION_PATTERN = r"(?s)\A(?:(?!\?version=).)*+\?version=([+-]?0*[0-9]{1,11})\z"
+VERSION_PATTERN = r"(?s)\A(?:(?!\?version=).)*+\?version=([+-]?[0-9]+)\z"
+
+# Most seconds from 1970 that an instant can be away.
+_MOST_SECONDS = 9_223_372_036_854
 
 
 def _col(c: Column | str) -> Column:
@@ -69,10 +72,11 @@ def version_text_of_key(key: Column | str) -> Column:
 def version_of_key(key: Column | str) -> Column:
     """Version time in a key; null when there is none or it is not a whole number.
 
-    What counts is all that follows the first mark. Numbers of more than eleven
-    digits, past the year 5138, are taken for errors.
+    What counts is all that follows the first mark. Numbers that no instant
+    can hold, of 13 digits or more, give null too.
     """
-    return from_epoch_seconds(F.regexp_extract(_col(key), VERSION_PATTERN, 1).try_cast("bigint"))
+    seconds = F.regexp_extract(_col(key), VERSION_PATTERN, 1).try_cast("bigint")
+    return from_epoch_seconds(F.when(seconds.between(-_MOST_SECONDS, _MOST_SECONDS), seconds))
 
 
 def iri_or_null(text: Column | str) -> Column:

@@ -119,9 +119,13 @@ def quad_line(subject="subject", predicate="predicate", obj="object", graph="gra
 
 
 def graph_names(text: Column | str, ignored: tuple[str, ...] = ()) -> Column:
-    """Sorted distinct graph IRIs named in one N-Quads text, without ``ignored``."""
+    """Sorted distinct graph IRIs named in one N-Quads text, without ``ignored``.
+
+    Escapes are resolved as they are in quads, so that both name a graph alike.
+    """
     terms = F.regexp_extract_all(_col(text), F.lit(rf"(?<![^\n\r]){LINE_PATTERN}(?![^\n\r])"), F.lit(4))
     iris = F.filter(terms, lambda t: t.startswith("<"))
+    iris = F.transform(iris, lambda t: F.when(has_code_escape(t), resolve_code_escapes(t)).otherwise(t))
     names = F.transform(iris, lambda t: t.substr(F.lit(2), F.length(t) - 2))
     names = F.array_sort(F.array_distinct(names))
     return F.array_except(names, F.array(*map(F.lit, ignored))) if ignored else names

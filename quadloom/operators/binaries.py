@@ -8,6 +8,8 @@ one row. Nothing joins a large binary into one value.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,9 +69,35 @@ def chunk(binaries: DataFrame) -> DataFrame:
     )
 
 
-def set_content(chunks: DataFrame, binaries: DataFrame) -> DataFrame:
-    """Replace all chunks of the binaries given, old tails included."""
-    return purge(chunks, binaries).unionByName(chunk(binaries))
+def _writable() -> Column:
+    return F.col("identifier").isNotNull() & F.col("content").isNotNull() & (F.col("chunkSize") >= 1)
+
+
+def set_content(chunks: DataFrame, binaries: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Replace all chunks of the binaries given, old tails included.
+
+    A binary without content or a usable chunk size replaces nothing: what is
+    there stays, and ``unset_content`` has it. Of several with one identifier
+    the newest by the columns ``order`` is written; without ``order`` they
+    must differ.
+    """
+    usable = binaries.filter(F.coalesce(_writable(), F.lit(False)))
+    if order:
+        at = [F.col(c).alias(f"_at{n}") for n, c in enumerate(order)]
+        last = usable.groupBy("identifier").agg(F.max(F.struct(*at)).alias("_last"))
+        same = F.struct(*at) == F.col("_last")
+        usable = usable.join(last, "identifier").filter(same).drop("_last")
+    return purge(chunks, usable).unionByName(chunk(usable))
+
+
+def unset_content(binaries: DataFrame) -> DataFrame:
+    """(identifier, reason) of the binaries that ``set_content`` does not write."""
+    reason = (
+        F.when(F.col("identifier").isNull(), "no identifier")
+        .when(F.col("content").isNull(), "no content")
+        .when(F.col("chunkSize").isNull() | (F.col("chunkSize") < 1), "no usable chunk size")
+    )
+    return binaries.select("identifier", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def purge(chunks: DataFrame, ids: DataFrame) -> DataFrame:
@@ -226,6 +254,17 @@ def audit(chunks: DataFrame) -> DataFrame:
     of another length than they should have; ``stale`` rows past its end or
     left over from another write.
     """
+    return _current_writes(chunks).select(
+        "identifier",
+        "chunks",
+        (F.col("w.last") + 1 - F.col("w.inside")).alias("missing"),
+        F.col("w.wrong").alias("wrong_size"),
+        (F.col("chunks") - F.col("w.inside")).alias("stale"),
+    )
+
+
+def _current_writes(chunks: DataFrame) -> DataFrame:
+    """Per binary: how many chunks there are, and ``w``, counts of its current write."""
     end = F.floor(F.col("size") / F.col("chunkSize"))
     rest = F.col("size") - end * F.col("chunkSize")
     due = F.when(F.col("chunkIndex") < end, F.col("chunkSize")).otherwise(rest)
@@ -248,44 +287,40 @@ def audit(chunks: DataFrame) -> DataFrame:
             F.max((F.col("chunkIndex") == 0).cast("int")).alias("first"),
         )
     )
-    current = F.max(F.struct("first", "inside", "last", "wrong")).alias("w")
-    return (
-        writes.groupBy("identifier")
-        .agg(F.sum("rows").alias("chunks"), current)
-        .select(
-            "identifier",
-            "chunks",
-            (F.col("w.last") + 1 - F.col("w.inside")).alias("missing"),
-            F.col("w.wrong").alias("wrong_size"),
-            (F.col("chunks") - F.col("w.inside")).alias("stale"),
-        )
-    )
+    current = F.max(F.struct("first", "inside", "last", "wrong", "size", "chunkSize")).alias("w")
+    return writes.groupBy("identifier").agg(F.sum("rows").alias("chunks"), current)
 
 
 def missing_chunks(chunks: DataFrame) -> DataFrame:
-    """(identifier, chunkIndex) of every gap below the last chunk a binary should have."""
-    end = F.floor(F.col("size") / F.col("chunkSize")).cast("bigint")
-    spans = chunks.groupBy("identifier").agg(
-        F.max_by(end, F.struct(-F.col("chunkIndex"), end)).alias("last")
+    """(identifier, chunkIndex) of every gap in the current write of a binary, its last chunk included.
+
+    A chunk that another write left at an index does not fill it.
+    """
+    spans = _current_writes(chunks).select(
+        "identifier",
+        "w.size",
+        "w.chunkSize",
+        F.lit(0).cast("bigint").alias("first"),
+        F.col("w.last").cast("bigint").alias("last"),
     )
-    due = _positions(spans.withColumn("first", F.lit(0).cast("bigint")), "first", "last", "position")
-    due = due.select("identifier", F.col("position").cast("int").alias("chunkIndex"))
-    return due.join(chunks.select("identifier", "chunkIndex"), ["identifier", "chunkIndex"], "left_anti")
+    by = ["identifier", "size", "chunkSize", "chunkIndex"]
+    due = _positions(spans, "first", "last", "position").withColumn("chunkIndex", F.col("position").cast("int"))
+    return due.select(*by).join(chunks.select(*by), by, "left_anti").select("identifier", "chunkIndex")
+
+
+def object_digest(objects: DataFrame) -> DataFrame:
+    """(identifier, bytes, md5) of whole objects, whose content is one value. No shuffle."""
+    size = F.octet_length("content").cast("bigint")
+    return objects.select("identifier", size.alias("bytes"), F.md5("content").alias("md5"))
 
 
-def digest(chunks: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """Digests per binary: (identifier, bytes, md5, tree_md5).
+def digest(chunks: DataFrame) -> DataFrame:
+    """Digest per binary of any size: (identifier, bytes, tree_md5).
 
-    ``md5`` is that of the joined content, which needs the content in one
-    value: it is null for a binary of more than one segment. ``tree_md5``
-    exists for all of any size: hex digests of the chunks, in groups of 4,096
-    in order, are joined and digested, and that result twice more likewise.
+    Hex digests of the chunks, in groups of 4,096 in order, are joined and
+    digested, and that result twice more likewise. No binary is joined whole;
+    ``object_digest`` has the plain md5 of content that is one value.
     """
-    one = F.floor(F.col("size") / F.col("chunkSize")) < _per_segment(segment_bytes)
-    pieces = chunks.filter(one).select(
-        "identifier", F.lit(0).alias("segment"), "chunkIndex", F.col("chunk").alias("piece")
-    )
-    whole = _segments(pieces, ["identifier"]).select("identifier", F.md5("content").alias("md5"))
     leaves = chunks.select(
         "identifier",
         F.col("chunkIndex").cast("bigint").alias("position"),
@@ -295,9 +330,7 @@ def digest(chunks: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     # An index is an INT: three levels of 4,096 cover all there can be.
     for _ in range(3):
         leaves = _digest_level(leaves)
-    return leaves.select("identifier", "bytes", F.col("digest").alias("tree_md5")).join(
-        whole, "identifier", "left"
-    )
+    return leaves.select("identifier", "bytes", F.col("digest").alias("tree_md5"))
 
 
 def _digest_level(nodes: DataFrame) -> DataFrame:

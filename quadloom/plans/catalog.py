@@ -157,15 +157,12 @@ def ready_probe(spark, sf_dir):
 # State -----------------------------------------------------------------------
 
 
-def _written(spark, sf_dir, op):
-    made = fx.ops(spark, sf_dir).filter(F.col("op") == op)
-    return made.select("identifier", "value", F.col("ts").alias("created"), "seq")
-
-
 @query
 def upsert_state(spark, sf_dir):
-    before = state.newest(_written(spark, sf_dir, "create"), ["identifier"], state.ORDER)
-    return state.upsert(before, _written(spark, sf_dir, "replace"))
+    """The state that ops of even numbers leave, with those of odd numbers written over it."""
+    rows = fx.ops(spark, sf_dir).select("identifier", "value", F.col("ts").alias("created"), "seq")
+    before = state.newest(rows.filter("seq % 2 = 0"), ["identifier"], state.ORDER)
+    return state.upsert(before, rows.filter("seq % 2 = 1"))
 
 
 @query
@@ -237,12 +234,6 @@ def snapshot_versions(spark, sf_dir):
     return made.select("identifier", "value", "modified", "mementomodified", "created", "seq")
 
 
-@query
-def snapshot_off(spark, sf_dir):
-    made = state.snapshot(fold_ops(spark, sf_dir), settings=UNVERSIONED)
-    return made.select("identifier", "value", "modified", "mementomodified", "created", "seq")
-
-
 @query
 def version_list(spark, sf_dir):
     return versions.version_list(fx.versions(spark, sf_dir))
@@ -364,11 +355,6 @@ def versioning_off(spark, sf_dir):
     return got.select("req", "identifier", "version", "found")
 
 
-@query
-def versioning_off_list(spark, sf_dir):
-    return versions.version_list(fx.versions(spark, sf_dir), settings=UNVERSIONED)
-
-
 # Binaries --------------------------------------------------------------------
 
 
@@ -395,12 +381,18 @@ def chunk_size_lookup(spark, sf_dir):
 
 @query
 def set_content(spark, sf_dir):
-    """Binaries with a usable hint written over others of the same identifiers."""
+    """Binaries written over others of the same identifiers; those with a bad hint leave what is there."""
     sized = binaries.chunk_sizes(fx.hinted_binaries(spark, sf_dir), default=2 * fx.CHUNK)
-    written = binaries.set_content(fx.chunks(spark, sf_dir), sized.filter("error is null"))
+    written = binaries.set_content(fx.chunks(spark, sf_dir), sized)
     return written.withColumn("chunk", _hex("chunk"))
 
 
+@query
+def set_content_rejects(spark, sf_dir):
+    sized = binaries.chunk_sizes(fx.hinted_binaries(spark, sf_dir), default=2 * fx.CHUNK)
+    return binaries.unset_content(sized)
+
+
 @query
 def read_all(spark, sf_dir):
     read = binaries.read_all(fx.chunks(spark, sf_dir), fx.binary_ids(spark, sf_dir))
@@ -419,6 +411,11 @@ def binary_digest(spark, sf_dir):
     return binaries.digest(fx.chunks(spark, sf_dir))
 
 
+@query
+def object_digest(spark, sf_dir):
+    return binaries.object_digest(fx.binary_contents(spark, sf_dir))
+
+
 @query
 def read_range(spark, sf_dir):
     read = binaries.read_range(fx.chunks(spark, sf_dir), fx.ranges(spark, sf_dir))
@@ -461,11 +458,14 @@ def missing_chunks(spark, sf_dir):
 
 @query
 def object_put(spark, sf_dir):
-    """Documents put as objects and read from the table of objects."""
+    """Documents put as objects, some of them twice, and read from the table of objects."""
     path = work_folder(spark, "objects")
-    made = binaries.put_objects(fx.binary_contents(spark, sf_dir), Settings(binary_key_prefix="store/"))
-    made.write.mode("append").parquet(path)
-    return spark.read.parquet(path).withColumn("content", _hex("content"))
+    first = fx.binary_contents(spark, sf_dir)
+    again = first.filter("source IN ('src1', 'src2')").withColumn("content", F.concat("content", F.lit(b"2")))
+    for at, put in enumerate((again, first.filter("source <> 'src1'"), again.filter("source = 'src1'"))):
+        made = binaries.put_objects(put, Settings(binary_key_prefix="store/"))
+        objects.write_objects(made.withColumn("put", F.lit(at).cast("bigint")), path)
+    return objects.read_objects(spark, path).select("key", _hex("content"), "mimeType")
 
 
 # Keys and values -------------------------------------------------------------
@@ -506,20 +506,26 @@ def instants(spark, sf_dir):
     )
 
 
+MINTED = r"\As3://[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z"
+
+
+def _minted(spark, sf_dir):
+    return fx.resources(spark, sf_dir).select("identifier", keys.mint_identifier("s3://").alias("minted"))
+
+
 @query
 def minted_ids(spark, sf_dir):
-    ids = fx.resources(spark, sf_dir).select("identifier", keys.mint_identifier("s3://").alias("minted"))
-    return ids
+    """Each resource, and whether the id minted for it looks as it should."""
+    return _minted(spark, sf_dir).select("identifier", F.col("minted").rlike(MINTED).alias("well_formed"))
 
 
 @query
 def minted_ids_check(spark, sf_dir):
     """How many ids were minted, how many differ, and how many look as they should."""
-    form = r"\As3://[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z"
-    return minted_ids(spark, sf_dir).groupBy("minted").agg(F.count("*").alias("n")).agg(
+    return _minted(spark, sf_dir).groupBy("minted").agg(F.count("*").alias("n")).agg(
         F.sum("n").alias("minted"),
         F.count("*").alias("distinct_ids"),
-        F.count_if(F.col("minted").rlike(form)).alias("well_formed"),
+        F.count_if(F.col("minted").rlike(MINTED)).alias("well_formed"),
     )
 
 
@@ -538,27 +544,51 @@ def table_lookup(spark, sf_dir):
 
 @query
 def chunk_files(spark, sf_dir):
-    """The files of the given tables themselves, chunked without being read whole."""
-    made = objects.chunk_files(spark, sf_dir, 64 * fx.CHUNK)
-    return made.select("identifier", "size", "chunkSize", "chunkIndex", F.md5("chunk").alias("md5"))
+    """Documents written as text files by source, chunked without being read whole; what the chunks hold."""
+    path = work_folder(spark, "files")
+    fx.table(spark, sf_dir, "documents").select("source", "text").write.partitionBy("source").text(path)
+    made = objects.chunk_files(spark, path, 64 * fx.CHUNK)
+    hexed = F.regexp_replace(F.hex("chunk"), "(..)", "$1 ")
+
+    def counted(byte: str):
+        """How many bytes of a chunk are ``byte``."""
+        return F.sum((F.length(hexed) - F.length(F.replace(hexed, F.lit(f"{byte} "), F.lit("")))) / 3).cast("bigint")
+
+    data = made.filter(F.col("identifier").endswith(".txt"))
+    return data.groupBy(F.regexp_extract("identifier", "source=([^/]*)/", 1).alias("source")).agg(
+        F.sum(F.octet_length("chunk")).alias("bytes"), counted("0A").alias("line_ends"), counted("65").alias("letters_e")
+    )
+
+
+BATCHES = 5
+
+
+def _event_stream(spark, sf_dir):
+    """Events as a stream of several batches, in no order of time."""
+    path = work_folder(spark, "events")
+    fx.table(spark, sf_dir, "events").repartition(BATCHES, F.col("event_id") % 101).write.parquet(path)
+    return stream_table(spark, path, files_per_trigger=1)
 
 
 @query
 def stream_notifications(spark, sf_dir):
+    """A stream of several batches to a topic that refuses some messages."""
     folder = work_folder(spark, "notifications")
-    events = stream_table(spark, f"{sf_dir}/events.parquet")
-    publish = notes.topic_writer(f"{folder}/topic")
-    job = notes.emit(fx.notifications_of(events), publish, f"{folder}/errors", f"{folder}/checkpoint")
+
+    def publish(messages):
+        refused = F.when(F.col("id").endswith("7"), F.lit("refused by the topic"))
+        return messages.withColumn("reason", F.coalesce("reason", refused))
+
+    job = notes.emit(fx.notifications_of(_event_stream(spark, sf_dir)), f"{folder}/out", f"{folder}/checkpoint", publish)
     job.awaitTermination()
-    return spark.read.parquet(f"{folder}/topic").select("id", "message")
+    return spark.read.parquet(f"{folder}/out").select("id", "message", "reason")
 
 
 def _streamed_log(spark, sf_dir) -> OpLog:
     folder = work_folder(spark, "ops")
-    events = stream_table(spark, f"{sf_dir}/events.parquet")
     log = OpLog(spark, f"{folder}/ops", ["value", "text"])
-    ops = _with_text(fx.ops_of(events))
-    stream_ops_job.append_ops(ops, log, f"{folder}/checkpoint", compact_every=1).awaitTermination()
+    ops = _with_text(fx.ops_of(_event_stream(spark, sf_dir)))
+    stream_ops_job.append_ops(ops, log, f"{folder}/checkpoint", compact_every=2).awaitTermination()
     return log
 
 
@@ -579,10 +609,12 @@ def stream_versions(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
+    """Notifications of several batches, in which each copy is some batches from the first."""
     folder = work_folder(spark, "dedup")
-    events = stream_table(spark, f"{sf_dir}/events.parquet")
-    unique = notes.dedup(fx.notifications_of(events))
-    out = unique.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
-    out.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    path = work_folder(spark, "events")
+    sent = fx.notifications_of(fx.table(spark, sf_dir, "events"))
+    sent.repartition(BATCHES).write.parquet(path)
+    stream = stream_table(spark, path, files_per_trigger=1)
+    notes.dedup(stream, f"{folder}/out", f"{folder}/checkpoint", BUCKETS).awaitTermination()
     read = spark.read.parquet(f"{folder}/out")
     return read.select("id", "object", _joined("agents"), _joined("types"), _joined("objectTypes"), "created")

@@ -22,6 +22,9 @@ EX = "http://example.com/ns#"
 ACL_READ = "http://www.w3.org/ns/auth/acl#Read"
 ACL_MODE = "http://www.w3.org/ns/auth/acl#mode"
 XSD_INTEGER = "http://www.w3.org/2001/XMLSchema#integer"
+AUDIT_ESCAPED = DEFAULTS.audit_graph.replace("a", "\\u0061", 1)
+# Seconds that put a version's number of them at twelve digits.
+FAR = 100_000_000_000
 START = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
 CHUNK = 1_024
 SMALL_CHUNK = 16
@@ -213,7 +216,7 @@ def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A version of a user resource for every event but errors."""
+    """A version of a user resource for every event."""
     user = F.col("user_id")
     null = F.lit(None).cast("string")
 
@@ -226,13 +229,15 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     identifier = _id("user", "user_id")
     term = nq.iri_term(identifier)
     event = F.col("event_id").cast("string")
+    # some name the graph by an escape
+    audit = F.when(user % 9 == 0, F.lit(f"<{AUDIT_ESCAPED}>")).otherwise(F.lit(f"<{DEFAULTS.audit_graph}>"))
     lines = [
         nq.quad_line(term, _ex("event"), nq.literal_term(event), F.lit(f"<{DEFAULTS.user_graph}>")),
         F.when(user % 7 == 0, nq.quad_line(term, F.lit(f"<{ACL_MODE}>"), F.lit(f"<{ACL_READ}>"), F.lit(f"<{DEFAULTS.acl_graph}>"))),
-        F.when(user % 3 == 0, nq.quad_line(term, _ex("audited"), nq.literal_term(F.col("event_type")), F.lit(f"<{DEFAULTS.audit_graph}>"))),
+        F.when(user % 3 == 0, nq.quad_line(term, _ex("audited"), nq.literal_term(F.col("event_type")), audit)),
     ]
     text = F.when(user % 11 != 0, F.concat_ws("\n", *lines))
-    return table(spark, sf_dir, "events").filter(F.col("event_type") != "error").select(
+    return table(spark, sf_dir, "events").select(
         identifier.alias("identifier"),
         F.when(user % 3 == 0, F.lit(v.LDP_NON_RDF_SOURCE)).otherwise(F.lit(v.LDP_RDF_SOURCE)).alias("interactionModel"),
         every(2, F.lit("data:/")).alias("container"),
@@ -251,9 +256,8 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What stood three days before each error; and per nation a user who never was."""
-    errors = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
-    asked = errors.select(
+    """What stood three days before each event; and per nation a user who never was."""
+    asked = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("req"),
         _id("user", "user_id").alias("identifier"),
         (F.col("ts") - F.expr("INTERVAL '3' DAY")).alias("at"),
@@ -272,10 +276,11 @@ VERSION_PREFIX = "mementos/"
 def version_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version objects (key, meta, body) with every sort of key and missing attribute."""
     user, event = F.col("user_id"), F.col("event_id")
+    far = F.when(event % 10 == 2, F.lit(FAR)).otherwise(F.lit(0))
     mark = (
         F.when(event % 10 == 0, F.lit("?version"))
         .when(event % 10 == 1, F.lit("?version=latest"))
-        .otherwise(F.concat(F.lit("?version="), F.unix_timestamp("ts").cast("string")))
+        .otherwise(F.concat(F.lit("?version="), (F.unix_timestamp("ts") + far).cast("string")))
     )
     pairs = {
         v.META_MODEL: F.when(user % 4 != 0, F.lit(v.LDP_RDF_SOURCE)),
@@ -293,7 +298,7 @@ def version_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     }
     flat = [x for name, value in pairs.items() for x in (F.lit(name), value)]
-    return table(spark, sf_dir, "events").filter(F.col("event_type") != "error").select(
+    return table(spark, sf_dir, "events").select(
         F.concat(F.lit(VERSION_PREFIX + "user/"), user.cast("string"), mark).alias("key"),
         F.map_filter(F.create_map(*flat), lambda _, value: value.isNotNull()).alias("meta"),
         F.lit(None).cast("string").alias("body"),
@@ -334,7 +339,7 @@ def chunks(spark: SparkSession, sf_dir: str, chunk_size: int = CHUNK) -> DataFra
 
 
 def damaged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks with a gap (src3), no last one (src4), an old tail (src5) or a short first one (src6)."""
+    """Chunks with a gap (src3), no last one (src4), an old tail (src5), a short first one (src6), or one of an older write (src7)."""
     whole = binary_contents(spark, sf_dir)
     source = F.col("source")
     marked = binaries.chunk(whole.withColumn("identifier", F.struct("identifier", "source")))
@@ -344,6 +349,8 @@ def damaged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ~((source == "src3") & (F.col("chunkIndex") == 1)) & ~((source == "src4") & (F.col("chunkIndex") == last))
     )
     cut = F.when((source == "src6") & (F.col("chunkIndex") == 0), F.col("chunk").substr(F.lit(1), F.lit(5)))
+    old = (source == "src7") & (F.col("chunkIndex") == 1)
+    kept = kept.withColumn("size", F.when(old, F.col("size") + 7).otherwise(F.col("size")))
     kept = kept.withColumn("chunk", F.coalesce(cut, "chunk")).drop("source")
     size = F.octet_length("content")
     tail = whole.filter(source == "src5").select(

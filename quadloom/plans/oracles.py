@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quadloom import vocab as v
-from quadloom.plans.fixtures import ACL_MODE, ACL_READ, EX, XSD_INTEGER
+from quadloom.plans.fixtures import ACL_MODE, ACL_READ, AUDIT_ESCAPED, EX, XSD_INTEGER
 from quadloom.vocab import DEFAULTS
 
 U, S, A, AUDIT = DEFAULTS.user_graph, DEFAULTS.server_graph, DEFAULTS.acl_graph, DEFAULTS.audit_graph
@@ -98,16 +98,17 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN user_id % 11 <> 0 THEN concat_ws(chr(10),
                     '<data:/user/' || user_id || '> <{EX}event> "' || event_id || '" <{U}> .',
                     CASE WHEN user_id % 7 = 0 THEN '<data:/user/' || user_id || '> <{ACL_MODE}> <{ACL_READ}> <{A}> .' END,
-                    CASE WHEN user_id % 3 = 0 THEN '<data:/user/' || user_id || '> <{EX}audited> "' || event_type || '" <{AUDIT}> .' END
+                    CASE WHEN user_id % 3 = 0 THEN '<data:/user/' || user_id || '> <{EX}audited> "' || event_type || '" <' ||
+                         CASE WHEN user_id % 9 = 0 THEN '{AUDIT_ESCAPED}' ELSE '{AUDIT}' END || '> .' END
                ) END AS quads,
                CASE WHEN user_id % 11 <> 0 THEN concat_ws(',', CASE WHEN user_id % 7 = 0 THEN '{A}' END,
                     CASE WHEN user_id % 3 = 0 THEN '{AUDIT}' END) ELSE '' END AS graphs
-        FROM events WHERE event_type <> 'error'""",
+        FROM events""",
     ),
     "fx_requests": (
         (),
         f"""
-        SELECT event_id AS req, 'data:/user/' || user_id AS identifier, ts - INTERVAL 3 DAY AS asked FROM events WHERE event_type = 'error'
+        SELECT event_id AS req, 'data:/user/' || user_id AS identifier, ts - INTERVAL 3 DAY AS asked FROM events
         UNION ALL SELECT -1 - n_nationkey, 'data:/user/absent/' || n_nationkey, {START} FROM nation""",
     ),
     "fx_version_at": (
@@ -124,15 +125,17 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT r.req, r.identifier,
                coalesce(max(w.version) FILTER (WHERE w.version <= date_trunc('second', r.asked)), min(w.version)) AS version,
                count(w.version) > 0 AS found
-        FROM fx_requests r LEFT JOIN (SELECT * FROM fx_versions WHERE seq % 10 NOT IN (0, 1)) w ON r.identifier = w.identifier
+        FROM fx_requests r LEFT JOIN (SELECT identifier, CASE WHEN seq % 10 = 2 THEN version + INTERVAL 100000000000 SECOND ELSE version END AS version
+            FROM fx_versions WHERE seq % 10 NOT IN (0, 1)) w ON r.identifier = w.identifier
         GROUP BY r.req, r.identifier""",
     ),
     "fx_objects": (
         (),
         """
         SELECT user_id, event_id, ts, 'mementos/user/' || user_id || CASE event_id % 10 WHEN 0 THEN '?version' WHEN 1 THEN '?version=latest'
+               WHEN 2 THEN '?version=' || (CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 100000000000)
                ELSE '?version=' || CAST(epoch(date_trunc('second', ts)) AS BIGINT) END AS key
-        FROM events WHERE event_type <> 'error'""",
+        FROM events""",
     ),
     "fx_ops": (
         (),
@@ -302,8 +305,8 @@ ORACLES: dict[str, str] = {
     "containment_index": _with("SELECT container, identifier, interactionModel FROM fx_resources WHERE container IS NOT NULL", "fx_resources"),
     "ready_probe": "SELECT count(*) > 0 AS ready FROM (SELECT 1 FROM orders UNION ALL SELECT 1 FROM documents UNION ALL SELECT 1)",
     "upsert_state": _with(
-        """SELECT identifier, arg_max(value, ts) AS value, max(ts) AS created, arg_max(seq, ts) AS seq
-        FROM fx_ops WHERE op IN ('create', 'replace') GROUP BY identifier""",
+        """SELECT identifier, value, ts AS created, seq FROM fx_ops
+        QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY ts DESC, seq DESC) = 1""",
         "fx_ops",
     ),
     "delete_state": _with(
@@ -329,9 +332,6 @@ ORACLES: dict[str, str] = {
     "snapshot_versions": _with(
         "SELECT identifier, value, modified, date_trunc('second', modified) AS mementomodified, created, seq FROM fx_fold", "fx_fold"
     ),
-    "snapshot_off": _with(
-        "SELECT identifier, value, modified, modified AS mementomodified, created, seq FROM fx_fold WHERE false", "fx_fold"
-    ),
     "version_list": _with("SELECT DISTINCT identifier, version FROM fx_versions ORDER BY identifier, version", "fx_versions"),
     "version_at": _with("SELECT * FROM fx_version_at", "fx_version_at"),
     "version_at_objects": _with("SELECT * FROM fx_version_at_objects", "fx_version_at_objects"),
@@ -363,9 +363,10 @@ ORACLES: dict[str, str] = {
     ),
     "version_keys": _with(f"SELECT identifier, modified, {_VERSION_KEY} AS key FROM fx_versions", "fx_versions"),
     "version_catalog": """
-        SELECT DISTINCT 'data:/user/' || user_id AS identifier, date_trunc('second', ts) AS version
-        FROM events WHERE event_type <> 'error' AND event_id % 10 NOT IN (0, 1)""",
-    "version_catalog_rejects": "SELECT 'mementos/user/' || user_id || '?version=latest' AS key FROM events WHERE event_type <> 'error' AND event_id % 10 = 1",
+        SELECT DISTINCT 'data:/user/' || user_id AS identifier,
+               date_trunc('second', ts) + CASE WHEN event_id % 10 = 2 THEN INTERVAL 100000000000 SECOND ELSE INTERVAL 0 SECOND END AS version
+        FROM events WHERE event_id % 10 NOT IN (0, 1)""",
+    "version_catalog_rejects": "SELECT 'mementos/user/' || user_id || '?version=latest' AS key FROM events WHERE event_id % 10 = 1",
     "version_meta_encode": _with(
         f"""SELECT {_VERSION_KEY} AS key, concat_ws('|',
                'binaryLocation=' || binaryIdentifier,
@@ -383,7 +384,8 @@ ORACLES: dict[str, str] = {
     ),
     "version_meta_decode": _with(
         f"""SELECT 'data:/user/' || user_id || CASE WHEN event_id % 10 = 0 THEN '?version' ELSE '' END AS identifier,
-               CASE WHEN event_id % 10 NOT IN (0, 1) THEN date_trunc('second', ts) END AS version,
+               CASE WHEN event_id % 10 = 2 THEN date_trunc('second', ts) + INTERVAL 100000000000 SECOND
+                    WHEN event_id % 10 NOT IN (0, 1) THEN date_trunc('second', ts) END AS version,
                CASE WHEN user_id % 4 <> 0 THEN '{v.LDP_RDF_SOURCE}' ELSE '{v.LDP_RESOURCE}' END AS interactionModel,
                CASE WHEN user_id % 13 <> 0 THEN ts END AS modified,
                CASE WHEN user_id % 2 = 0 THEN 'data:/' END AS container,
@@ -407,7 +409,6 @@ ORACLES: dict[str, str] = {
     "versioning_off": _with(
         "SELECT req, identifier, CAST(NULL AS TIMESTAMP) AS version, false AS found FROM fx_requests", "fx_requests"
     ),
-    "versioning_off_list": _with("SELECT identifier, version FROM fx_versions WHERE false", "fx_versions"),
     "chunk_binary": _with(_chunks(1024), "fx_binaries"),
     "chunk_binary_small": _with(_chunks(16), "fx_binaries"),
     "chunk_size_hint": _with(
@@ -430,6 +431,16 @@ ORACLES: dict[str, str] = {
               WHEN lang = 'de' THEN 4096 ELSE 2048 END AS c FROM fx_binaries))""",
         "fx_binaries",
     ),
+    "set_content_rejects": _with(
+        "SELECT identifier, 'no usable chunk size' AS reason FROM fx_binaries WHERE source IN ('src0', 'src1', 'src2', 'src3')",
+        "fx_binaries",
+    ),
+    "object_digest": _with("SELECT identifier, CAST(n AS BIGINT) AS bytes, md5(text) AS md5 FROM fx_binaries", "fx_binaries"),
+    "chunk_files": """
+        SELECT source, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes,
+               CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS line_ends,
+               CAST(sum(length(text) - length(replace(text, 'e', ''))) AS BIGINT) AS letters_e
+        FROM documents GROUP BY source""",
     "read_all": _with(
         """SELECT i.identifier, CAST(CASE WHEN b.h IS NOT NULL THEN 0 END AS INTEGER) AS segment, b.h AS content, b.h IS NOT NULL AS found
         FROM fx_binary_ids i LEFT JOIN fx_binaries b ON i.identifier = b.identifier""",
@@ -445,7 +456,7 @@ ORACLES: dict[str, str] = {
         """, leaves AS (SELECT identifier, any_value(n) AS n, any_value(text) AS text,
                string_agg(md5(unhex(substr(h, 2048 * i + 1, 2048))), '' ORDER BY i) AS joined
                FROM (SELECT *, unnest(range(0, n // 1024 + 1)) AS i FROM fx_binaries) GROUP BY identifier)
-        SELECT identifier, CAST(n AS BIGINT) AS bytes, md5(text) AS md5, md5(md5(md5(joined))) AS tree_md5 FROM leaves""",
+        SELECT identifier, CAST(n AS BIGINT) AS bytes, md5(md5(md5(joined))) AS tree_md5 FROM leaves""",
         "fx_binaries",
     ),
     "read_range": _with(
@@ -477,19 +488,20 @@ ORACLES: dict[str, str] = {
         """SELECT identifier,
                CAST(n // 1024 + 1 - CASE WHEN source = 'src3' AND n >= 1024 THEN 1 WHEN source = 'src4' THEN 1 ELSE 0 END
                     + CASE WHEN source = 'src5' THEN 1 ELSE 0 END AS BIGINT) AS chunks,
-               CAST(CASE WHEN source = 'src3' AND n >= 1024 THEN 1 WHEN source = 'src4' THEN 1 ELSE 0 END AS BIGINT) AS missing,
+               CAST(CASE WHEN source IN ('src3', 'src7') AND n >= 1024 THEN 1 WHEN source = 'src4' THEN 1 ELSE 0 END AS BIGINT) AS missing,
                CAST(CASE WHEN source = 'src6' AND n > 5 THEN 1 ELSE 0 END AS BIGINT) AS wrong_size,
-               CAST(CASE WHEN source = 'src5' THEN 1 ELSE 0 END AS BIGINT) AS stale
+               CAST(CASE WHEN source = 'src5' OR source = 'src7' AND n >= 1024 THEN 1 ELSE 0 END AS BIGINT) AS stale
         FROM fx_binaries WHERE NOT (source = 'src4' AND n < 1024)""",
         "fx_binaries",
     ),
     "missing_chunks": _with(
-        """SELECT identifier, 1 AS chunkIndex FROM fx_binaries WHERE source = 'src3' AND n >= 1024
+        """SELECT identifier, 1 AS chunkIndex FROM fx_binaries WHERE source IN ('src3', 'src7') AND n >= 1024
         UNION ALL SELECT identifier, CAST(n // 1024 AS INTEGER) FROM fx_binaries WHERE source = 'src4' AND n >= 1024""",
         "fx_binaries",
     ),
     "object_put": _with(
-        "SELECT 'store/' || substr(identifier, 6) AS key, h AS content, 'text/plain' AS mimeType FROM fx_binaries", "fx_binaries"
+        "SELECT 'store/' || substr(identifier, 6) AS key, h || CASE WHEN source = 'src1' THEN '32' ELSE '' END AS content, 'text/plain' AS mimeType FROM fx_binaries",
+        "fx_binaries",
     ),
     "binary_keys": _with(
         """SELECT page_id, CASE WHEN starts_with(iri, 's3://') THEN 'store/' || substr(iri, 6) END AS key,
@@ -505,6 +517,7 @@ ORACLES: dict[str, str] = {
     "instants": f"""
         SELECT event_id, date_trunc('second', ts) AS truncated, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch,
                date_trunc('second', ts) AS from_epoch, {_ISO.format(ts="ts")} AS text, ts AS parsed FROM events""",
+    "minted_ids": _with("SELECT identifier, true AS well_formed FROM fx_resources", "fx_resources"),
     "minted_ids_check": _with(
         "SELECT count(*) AS minted, count(*) AS distinct_ids, count(*) AS well_formed FROM fx_resources", "fx_resources"
     ),
@@ -518,7 +531,8 @@ ORACLES: dict[str, str] = {
         SELECT 'event/' || event_id AS id,
                '{{"id":"event/' || event_id || '","object":"data:/user/' || user_id || '","agents":["agent/' || user_id % 10
                || '"],"types":["' || event_type || '"],"objectTypes":["{v.LDP_RDF_SOURCE}"],"created":"'
-               || {_ISO.format(ts="ts")} || '"}}' AS message
+               || {_ISO.format(ts="ts")} || '"}}' AS message,
+               CASE WHEN event_id % 10 = 7 THEN 'refused by the topic' END AS reason
         FROM (SELECT *, unnest(range(0, CASE WHEN event_id % 20 = 0 THEN 2 ELSE 1 END)) FROM events)""",
     "stream_ops": _with("SELECT * FROM fx_fold", "fx_fold"),
     "stream_versions": _with(

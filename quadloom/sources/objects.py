@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from typing import BinaryIO
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +29,15 @@ def read_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(key.alias("key"), "content", F.col("modificationTime").alias("modified"))
 
 
+ARROW_SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
 # Chunks read by one row of work, when a file is read in pieces.
 _RUN = 64
 
 
 def chunk_files(
-    spark: SparkSession, root: str, chunk_size: int = DEFAULT_CHUNK_SIZE, partitions: int | None = None
-) -> DataFrame:
+    spark: SparkSession, root: str, chunk_size: int = DEFAULT_CHUNK_SIZE, partitions: int | None = None,
+    open_file: Callable[[str], BinaryIO] | None = None,
+) -> DataFrame:
     """All files below a folder as chunks, a file's key being its identifier.
 
     Files may be of any size, also beyond what one value can hold: they are
@@ -41,7 +45,15 @@ def chunk_files(
     Spark has no reader for ranges of a file, so those tasks read with Arrow.
     The number of them is fixed, as what they are given is too small for Spark
     to tell how much they will read.
+
+    Without ``open_file`` the folder must be a plain path or one with a scheme
+    in ``ARROW_SCHEMES``, whose clients and credentials Arrow has of its own;
+    others fail here, before any task. ``open_file(path)`` gives a seekable
+    binary file in a task for any other store.
     """
+    scheme = root.split("://")[0].split(":/")[0] if ":/" in root else "file"
+    if open_file is None and scheme not in ARROW_SCHEMES:
+        raise ValueError(f"Arrow reads no files of scheme {scheme!r}: give open_file")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     last = F.floor(F.col("length") / chunk_size).cast("bigint")
     runs = files.select(
@@ -55,10 +67,15 @@ def chunk_files(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
     spread = runs.repartition(tasks, "path", "first")
-    return spread.mapInArrow(_range_reader(chunk_size, _RUN), CHUNKS)
+    return spread.mapInArrow(_range_reader(chunk_size, _RUN, open_file), CHUNKS)
+
+
+def _read_at(file, start: int, size: int) -> bytes:
+    file.seek(start)
+    return file.read(size)
 
 
-def _range_reader(chunk_size: int, run: int):
+def _range_reader(chunk_size: int, run: int, open_file: Callable[[str], BinaryIO] | None):
     """Rows (identifier, path, size, last, first) to the chunks of the run each names."""
 
     def read(batches):
@@ -67,13 +84,16 @@ def _range_reader(chunk_size: int, run: int):
         import pyarrow as pa
         from pyarrow import fs
 
+        def by_arrow(name):
+            uri = re.sub(r"^file:/+", "file:///", quote(name, safe=":/@"))
+            system, path = fs.FileSystem.from_uri(uri)
+            return system.open_input_file(path)
+
         for batch in batches:
             for row in batch.to_pylist():
-                uri = re.sub(r"^file:/+", "file:///", quote(row["path"], safe=":/@"))
-                system, path = fs.FileSystem.from_uri(uri)
-                with system.open_input_file(path) as file:
+                with (open_file or by_arrow)(row["path"]) as file:
                     for index in range(row["first"], min(row["first"] + run - 1, row["last"]) + 1):
-                        chunk = file.read_at(max(min(chunk_size, row["size"] - index * chunk_size), 0), index * chunk_size)
+                        chunk = _read_at(file, index * chunk_size, max(min(chunk_size, row["size"] - index * chunk_size), 0))
                         yield pa.RecordBatch.from_pydict(
                             {
                                 "identifier": pa.array([row["identifier"]], pa.string()),
@@ -88,8 +108,22 @@ def _range_reader(chunk_size: int, run: int):
 
 
 def write_objects(objects: DataFrame, path: str) -> None:
-    """Append objects (key, content, mimeType) to a table of objects."""
-    objects.select("key", "content", "mimeType").write.mode("append").parquet(path)
+    """Append objects (key, content, mimeType, put) to a table of objects.
+
+    ``put`` orders the puts of a key: a number of the write, or an instant.
+    """
+    objects.select("key", "content", "mimeType", "put").write.mode("append").parquet(path)
+
+
+def read_objects(spark: SparkSession, path: str) -> DataFrame:
+    """The table of objects with the last put of each key only.
+
+    The choice is made on keys and ``put``; contents are joined to it. Puts of
+    one key must differ in ``put``.
+    """
+    table = spark.read.parquet(path)
+    last = table.groupBy("key").agg(F.max("put").alias("put"))
+    return table.join(last, ["key", "put"], "left_semi")
 
 
 def nquads_lines(spark: SparkSession, root: str) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quadloom.functions.times import format_instant
+from quadloom.operators.state import newest
 
 FIELDS = ("id", "object", "agents", "types", "objectTypes", "created")
+MESSAGES = "id STRING, message STRING, reason STRING"
 
 
 def serialize(notifications: DataFrame) -> DataFrame:
@@ -19,55 +23,85 @@ def serialize(notifications: DataFrame) -> DataFrame:
     return notifications.select("id", F.to_json(F.struct(*fields)).alias("message"))
 
 
-def _is_null() -> Column:
-    return F.col("id").isNull()
+Publisher = Callable[[DataFrame], DataFrame]
 
 
-def topic_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """A publisher that stands in for a topic: one folder of text per batch."""
+def per_message(send: Callable[[str, str], None]) -> Publisher:
+    """A publisher that calls ``send(id, message)`` in tasks; what it raises is the reason of that message alone."""
 
-    def publish(messages: DataFrame, batch: int) -> None:
-        messages.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    def attempt(id_: str, message: str) -> str | None:
+        try:
+            send(id_, message)
+        except Exception as problem:  # one message must not end the others
+            return str(problem)
+        return None
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = zip(part["id"], part["message"], part["reason"], strict=True)
+            yield part.assign(reason=[r if isinstance(r, str) else attempt(i, m) for i, m, r in rows])
 
-    return publish
+    return lambda messages: messages.mapInPandas(run, MESSAGES)
 
 
 def emit(
     notifications: DataFrame,
-    publish: Callable[[DataFrame, int], None],
-    errors: str,
+    out: str,
     checkpoint: str,
+    publish: Publisher | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Publish a stream of notifications.
+    """Publish a stream of notifications, each batch in one pass.
+
+    ``publish`` takes (id, message, reason) and gives the same rows back, with
+    a reason for each it could not send; rows that have one already it must
+    not send. Null notifications have one from the start. Without ``publish``
+    the folder ``out`` itself is the topic.
 
-    Null notifications are refused, and a batch that cannot be published is
-    kept with the reason: both go to ``errors/batch=<n>``, and the stream goes
-    on. Every folder is named by its batch, so a batch run again after a
-    failure replaces what it wrote before.
+    All rows go to ``out/batch=<n>``, those without a reason as published. A
+    batch that fails as a whole is kept with the reason, and the stream goes
+    on. Folders are named by their batch, so a batch run again after a failure
+    replaces what it wrote before.
     """
 
-    def write_errors(rows: DataFrame, batch: int, kind: str, reason: str) -> None:
-        out = rows.withColumn("reason", F.lit(reason))
-        out.write.mode("overwrite").parquet(f"{errors}/kind={kind}/batch={batch}")
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.select("id", "message", "reason").write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
     def run(rows: DataFrame, batch: int) -> None:
-        write_errors(serialize(rows.filter(_is_null())), batch, "refused", "null notification")
-        messages = serialize(rows.filter(~_is_null()))
+        refused = F.when(F.col("id").isNull(), F.lit("null notification"))
+        messages = serialize(rows).withColumn("reason", refused.cast("string"))
         try:
-            publish(messages, batch)
+            keep(publish(messages) if publish else messages, batch)
         except Exception as problem:  # publishing must never end the stream
-            write_errors(messages, batch, "unpublished", str(problem)[:1000])
+            keep(messages.withColumn("reason", F.coalesce("reason", F.lit(str(problem)))), batch)
 
     writer = notifications.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def dedup(notifications: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop a notification whose id came before, within ``delay`` of event time.
+def dedup(notifications: DataFrame, out: str, checkpoint: str, buckets: int = 64, **trigger) -> StreamingQuery:
+    """Write each notification once to ``out``, however late or far apart its copies come.
 
-    State holds ids of the last ``delay`` only. ``created`` stays as it is; the
-    watermark runs on a TIMESTAMP copy of it.
+    A batch keeps the earliest created of each id in it, less the ids that
+    earlier batches wrote. Those are read from ``out`` itself, the column of
+    ids alone and only from the hashed buckets that the batch has ids in. A
+    batch run again replaces what it wrote before and looks at earlier ones
+    only. Null ids are kept as they come.
     """
-    timed = notifications.withColumn("_event_time", F.col("created").cast("timestamp"))
-    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(["id"]).drop("_event_time")
+
+    def run(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        once = newest(rows.filter("id IS NOT NULL"), ["id"], ["created"], oldest=True)
+        placed = once.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+        try:
+            seen = spark.read.schema("id STRING, batch BIGINT, bucket INT").parquet(out)
+        except AnalysisException:  # nothing is written yet
+            seen = None
+        if seen is not None:
+            placed = placed.join(seen.filter(F.col("batch") < batch).select("bucket", "id"), ["bucket", "id"], "left_anti")
+        nulls = rows.filter("id IS NULL").withColumn("bucket", F.lit(-1))
+        all_rows = placed.select(*nulls.columns).unionByName(nulls)
+        all_rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/batch={batch}")
+
+    writer = notifications.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

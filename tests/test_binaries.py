@@ -123,6 +123,13 @@ def test_replacing_drops_the_old_tail(spark, rows):
     new = spark.createDataFrame([("a", b"short", 4)], SOURCE)
     after = binaries.set_content(before, new)
     assert rows(after, "identifier", "chunkIndex", "chunk") == [("a", 0, b"shor"), ("a", 1, b"t"), ("b", 0, b"bb")]
+    # A hint or content that can't be used leaves what is there, and is told.
+    bad = spark.createDataFrame([("a", b"new", 0), ("b", None, 4), ("b", b"x", None)], SOURCE)
+    assert rows(binaries.set_content(before, bad)) == rows(before)
+    assert rows(binaries.unset_content(bad)) == [("a", "no usable chunk size"), ("b", "no content"), ("b", "no usable chunk size")]
+    twice = spark.createDataFrame([("a", b"1st", 4, 1), ("a", b"2nd", 4, 2)], SOURCE + ", at INT")
+    newest = binaries.set_content(before.filter("identifier = 'a'"), twice, order=["at"])
+    assert rows(newest, "chunkIndex", "chunk") == [(0, b"2nd")]
     gone = spark.createDataFrame([("a",)], "identifier STRING")
     assert rows(binaries.purge(after, gone), "identifier") == [("b",)]
 
@@ -144,18 +151,24 @@ def test_audit(spark, rows):
         ("tail", 8, 0, 0, 6),
     ]
     assert rows(binaries.missing_chunks(damaged)) == [("gap", 1), ("headless", 0), ("last", 2)]
+    # A chunk of an older write does not fill the gap of the current one.
+    old = chunked(spark, held={"gap": bytes(11)}).filter("chunkIndex = 1")
+    mixed = damaged.filter("identifier = 'gap'").unionByName(old)
+    assert rows(binaries.missing_chunks(mixed)) == [("gap", 1)]
+    assert rows(binaries.audit(mixed)) == [("gap", 3, 1, 0, 1)]
 
 
 def test_digests(spark):
     got = {r.identifier: r for r in binaries.digest(chunked(spark)).collect()}
     for name, content in contents().items():
-        assert got[name].md5 == hashlib.md5(content).hexdigest() and got[name].bytes == len(content)
+        assert got[name].bytes == len(content)
         node = [hashlib.md5(content[i : i + 4]).hexdigest() for i in range(0, len(content) // 4 * 4 + 1, 4)]
         for _ in range(3):
             node = [hashlib.md5("".join(node).encode()).hexdigest()]
         assert got[name].tree_md5 == node[0]
-    large = {r.identifier: r.md5 for r in binaries.digest(chunked(spark), segment_bytes=8).collect()}
-    assert large["b8"] is None and large["b7"] is not None
+    whole = spark.createDataFrame(list(contents().items()), "identifier STRING, content BINARY")
+    for r in binaries.object_digest(whole).collect():
+        assert (r.bytes, r.md5) == (len(contents()[r.identifier]), hashlib.md5(contents()[r.identifier]).hexdigest())
 
 
 def test_small_chunks_do_not_make_large_groups(spark, monkeypatch):

@@ -76,6 +76,9 @@ def test_binary_key(spark):
         ("a/b?version= 1600000000", None),
         ("a/\nb?version=1600000000", datetime(2020, 9, 13, 12, 26, 40)),
         ("a/b?version=12/other", None),
+        ("a/b?version=100000000000", datetime(5138, 11, 16, 9, 46, 40)),
+        ("a/b?version=99999999999999", None),
+        ("a/b?version=99999999999999999999", None),
         ("a/b", None),
     ],
 )
@@ -176,6 +179,9 @@ def test_graph_names(spark):
     text = f"{S} {P} {O} {G} .\n{S} {P} {O} .\n{S} {P} {O} _:b .\r\n{S} {P} {O} <http://a> .\n# {S} {P} {O} <http://c> ."
     assert one(spark, nq.graph_names(F.lit(text))) == ["http://a", "http://g"]
     assert one(spark, nq.graph_names(F.lit(text), ("http://g",))) == ["http://a"]
+    # Escapes are resolved before names are compared, as in quads.
+    text = f"{S} {P} {O} <http://\\u0067> .\n{S} {P} {O} <http://x/\\U0000e9> .\n{S} {P} {O} <http://\\u0061> ."
+    assert one(spark, nq.graph_names(F.lit(text), ("http://g",))) == ["http://a"]
 
 
 def test_literals_round_trip(spark):

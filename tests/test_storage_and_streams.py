@@ -70,11 +70,20 @@ def test_files_are_chunked_like_values(spark, rows, tmp_path, monkeypatch, run):
     assert "content" not in plan.split("FileScan")[-1].split("ReadSchema")[-1]
 
 
-def test_objects_append(spark, rows, tmp_path):
-    df = spark.createDataFrame([("k", b"1", None)], schemas.BINARY_OBJECTS)
-    for _ in range(2):
-        objects.write_objects(df, str(tmp_path / "o"))
+def test_a_second_put_replaces(spark, rows, tmp_path):
+    for n, content in enumerate((b"1", b"2")):
+        df = spark.createDataFrame([("k", content, None)], schemas.BINARY_OBJECTS)
+        objects.write_objects(df.withColumn("put", F.lit(n)), str(tmp_path / "o"))
     assert spark.read.parquet(str(tmp_path / "o")).count() == 2
+    assert rows(objects.read_objects(spark, str(tmp_path / "o")), "key", "content") == [("k", b"2")]
+
+
+def test_files_of_unknown_stores_fail_before_any_task(spark, tmp_path):
+    with pytest.raises(ValueError, match="open_file"):
+        objects.chunk_files(spark, "odd://store/x", 4)
+    (tmp_path / "f").write_bytes(b"12345")
+    opened = objects.chunk_files(spark, str(tmp_path), 4, open_file=lambda path: open(path.removeprefix("file:"), "rb"))
+    assert sorted(bytes(r.chunk) for r in opened.collect()) == [b"1234", b"5"]
 
 
 def test_the_log_survives_repeats_and_compaction(spark, rows, tmp_path):
@@ -116,45 +125,53 @@ def note(n, created, id="x"):
     return (id and f"{id}{n}", "data:/a", ["agent"], ["create"], ["type"], created)
 
 
-def notes_stream(spark, tmp_path, rows_):
+def notes_stream(spark, tmp_path, rows_, files=1):
     path = str(tmp_path / "notes")
-    spark.createDataFrame(rows_, schemas.NOTIFICATIONS).coalesce(1).write.parquet(path)
-    return stream_table(spark, path)
+    for n in range(files):
+        spark.createDataFrame(rows_[n::files], schemas.NOTIFICATIONS).coalesce(1).write.mode("append").parquet(path)
+    return stream_table(spark, path, files_per_trigger=1)
 
 
 def test_notifications_are_published(spark, rows, tmp_path):
-    stream = notes_stream(spark, tmp_path, [note(1, T), note(2, T, id=None)])
-    topic, errors = str(tmp_path / "topic"), str(tmp_path / "errors")
-    notifications.emit(stream, notifications.topic_writer(topic), errors, str(tmp_path / "c")).awaitTermination()
+    stream = notes_stream(spark, tmp_path, [note(1, T), note(2, T, id=None), note(2, T)], files=3)
+    out = str(tmp_path / "out")
+
+    def refuse_two(id_, message):
+        if id_ == "x2":
+            raise OSError("no " * 1000)
+
+    notifications.emit(stream, out, str(tmp_path / "c"), notifications.per_message(refuse_two)).awaitTermination()
     message = (
         '{"id":"x1","object":"data:/a","agents":["agent"],"types":["create"],'
         '"objectTypes":["type"],"created":"2024-01-01T00:00:00Z"}'
     )
-    assert rows(spark.read.parquet(topic), "id", "message") == [("x1", message)]
-    refused = rows(spark.read.parquet(errors), "id", "kind", "reason")
-    assert refused == [(None, "refused", "null notification")]
+    found = spark.read.parquet(out)
+    assert rows(found.filter("reason IS NULL"), "id", "message") == [("x1", message)]
+    # One message fails with its whole reason, and its batch goes on.
+    assert rows(found.filter("reason IS NOT NULL"), "id", "reason") == [("x2", "no " * 1000), (None, "null notification")]
+    assert found.select("batch").distinct().count() == 3
 
 
 def test_a_failing_publisher_does_not_end_the_stream(spark, rows, tmp_path):
     stream = notes_stream(spark, tmp_path, [note(1, T)])
-    errors = str(tmp_path / "errors")
 
-    def publish(messages, batch):
+    def publish(messages):
         raise OSError("no topic")
 
-    job = notifications.emit(stream, publish, errors, str(tmp_path / "c"))
+    job = notifications.emit(stream, str(tmp_path / "out"), str(tmp_path / "c"), publish)
     job.awaitTermination()
     assert job.exception() is None
-    assert rows(spark.read.parquet(errors), "id", "kind", "reason") == [("x1", "unpublished", "no topic")]
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "id", "reason") == [("x1", "no topic")]
 
 
-def test_dedup_keeps_one_of_each_id(spark, tmp_path):
-    sent = [note(n % 40, T + timedelta(minutes=n % 40)) for n in range(100)]
-    unique = notifications.dedup(notes_stream(spark, tmp_path, sent))
-    out = unique.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
-    out.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
-    got = [r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
-    assert len(got) == 40 and len(set(got)) == 40
+def test_dedup_keeps_one_of_each_id_in_any_order_of_time(spark, tmp_path):
+    # Five batches, the copies of an id in different ones and days apart.
+    sent = [note(n % 41, T + timedelta(days=(n * 7) % 41)) for n in range(123)] + [note(0, T, id=None)] * 2
+    out = str(tmp_path / "out")
+    stream = notes_stream(spark, tmp_path, sent, files=5)
+    notifications.dedup(stream, out, str(tmp_path / "c"), buckets=4).awaitTermination()
+    got = [r.id for r in spark.read.parquet(out).collect()]
+    assert sorted(x for x in got if x) == sorted({f"x{n}" for n in range(41)}) and got.count(None) == 2
 
 
 def test_work_folder_is_shared_and_new(spark, monkeypatch):
