@@ -116,16 +116,22 @@ class Encoder:
 
     def ids(self, chunks: list[str]) -> list[bytes]:
         words, known = self.words, self.chunks
-        found = {c: known.peek(c) for c in chunks}
-        cuts = {c: self.cutter.cut(c) for c, v in found.items() if v is None}
-        own = {w: words.peek(w) for cut in cuts.values() for w in cut}
+        values = list(map(known.get, chunks))
+        missing = [i for i, v in enumerate(values) if v is None]
+        made = {chunks[i]: known.old.get(chunks[i]) for i in missing}
+        cuts = {c: self.cutter.cut(c) for c, v in made.items() if v is None}
+        own = {w: None for cut in cuts.values() for w in cut}
+        own = {w: words.peek(w) for w in own}
         new = [w for w, v in own.items() if v is None]
         coded = self.library.encode_batch_fast(new, add_special_tokens=False)
-        own.update((w, array("i", e.ids).tobytes()) for w, e in zip(new, coded, strict=True))
-        found.update((c, b"".join([own[w] for w in cut])) for c, cut in cuts.items())
+        own.update(zip(new, [array("i", e.ids).tobytes() for e in coded], strict=True))
+        for c, cut in cuts.items():
+            made[c] = own[cut[0]] if len(cut) == 1 else b"".join([own[w] for w in cut])
+        for i in missing:
+            values[i] = made[chunks[i]]
         words.add(own)
-        known.add(found)
-        return list(found.values())
+        known.add(made)
+        return values
 
 
 @cache
@@ -159,7 +165,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
             return pa.RecordBatch.from_arrays(row, names=[f.split()[0] for f in SEGMENTS.split(", ")])
 
         for batch in batches:
-            for cut in slices(batch, "text", 2 << 20):
+            for cut in slices(batch, "text"):
                 offsets, codes, chunks = chunked(cut.column("text"), encoder.cutter.joined, encoder.cutter.cut)
                 found = lists(encoder.ids(chunks), codes, offsets)
                 ends = found.offsets.to_numpy().astype(np.int64)

@@ -47,7 +47,7 @@ class Cutter:
         self.joined = f"{_WHITE} (?:{after})"
 
     def cut(self, text: str) -> list[str]:
-        if self.specials is None or self.specials.search(text) is None:
+        if not any(s in text for s in self.special):
             return self.words.findall(text)
         parts = self.specials.split(text)
         return [w for p in parts for w in ([p] if p in self.special else self.words.findall(p))]
@@ -125,7 +125,7 @@ def load(path: str) -> tuple[Merges, Known]:
 
 def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", n_tokens: str = "n_tokens") -> DataFrame:
     """``df`` with the number of tokens of its column ``text``."""
-    kept = [f for f in df.schema if f.name != n_tokens]
+    kept = [f for f in df.schema if f.name.lower() != n_tokens.lower()]
     names = [*(f.name for f in kept), n_tokens]
 
     def make():
@@ -135,7 +135,7 @@ def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", n_tokens: s
             offsets, codes, chunks = chunked(batch.column(text), merges.cutter.joined, merges.cutter.cut)
             each = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
             sums = np.concatenate([[0], np.cumsum(each[codes])])
-            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != n_tokens]
+            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() != n_tokens.lower()]
             return pa.RecordBatch.from_arrays([*own, pa.array(np.diff(sums[offsets]))], names=names)
 
         return one

@@ -152,7 +152,7 @@ class Pieces:
     def text(self, ids: list[int]) -> str:
         """The text of ids, without the space before the first word."""
         raw = b"".join(map(self.bytes.__getitem__, ids))
-        raw = raw[1:] if ids and ids[0] in self.spaced else raw
+        raw = raw[1:] if self.starts_spaced(ids) else raw
         try:
             return raw.decode()
         except UnicodeDecodeError:
@@ -167,7 +167,11 @@ class Pieces:
                 continue
             out, run = out + replaced(run) + self.bytes[i].decode(), b""
         out += replaced(run)
-        return out[1:] if ids[0] in self.spaced else out
+        return out[1:] if self.starts_spaced(ids) else out
+
+    def starts_spaced(self, ids: list[int]) -> bool:
+        """Whether the first piece that shows starts with the space put before a text."""
+        return next((i for i in ids if self.bytes[i]), None) in self.spaced
 
 
 def replaced(raw: bytes) -> str:
@@ -207,19 +211,19 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
             # spaces next to spaces, and the sign that stands for them, may share a token
             offsets, codes, chunks = chunked(batch.column(text), rf"^ |  |{SPACE}", _split)
             values = [known[c if c[:1] in (" ", SPACE) else f" {c}"] for c in chunks]
-            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != ids]
+            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() != ids.lower()]
             return pa.RecordBatch.from_arrays([*kept, lists(values, codes, offsets)], names=names)
 
         return one
 
-    kept = [f for f in df.schema if f.name != ids]
+    kept = [f for f in df.schema if f.name.lower() != ids.lower()]
     names = [*(f.name for f in kept), ids]
     return on_slices(df, text, make, StructType([*kept, StructField(ids, ArrayType(IntegerType()))]))
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of its column of token ids."""
-    kept = [f for f in df.schema if f.name != text]
+    kept = [f for f in df.schema if f.name.lower() != text.lower()]
     names = [*(f.name for f in kept), text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +233,7 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
             ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
             flat = column.flatten().to_numpy(zero_copy_only=False)
             texts = [pieces.text(flat[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)]
-            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != text]
+            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() != text.lower()]
             yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string())], names=names)
 
     return df.mapInArrow(run, StructType([*kept, StructField(text, StringType())]))

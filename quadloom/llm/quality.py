@@ -190,13 +190,14 @@ RATED = ("expected_grade", "tail_probability", "kept")
 
 def rate(df: DataFrame, model: Model, accept: float, text: str = "text", names: tuple[str, ...] = RATED) -> DataFrame:
     """``df`` with expected grade, probability of the highest grade, and whether that reaches ``accept``."""
-    own = [f for f in df.schema if f.name not in names]
+    taken = {n.lower() for n in names}
+    own = [f for f in df.schema if f.name.lower() not in taken]
     all_names = [*(f.name for f in own), *names]
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             above = tails(score(model, batch.column(text)), model.thresholds)
-            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n not in names]
+            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() not in taken]
             found = [above.sum(axis=1), above[:, -1], above[:, -1] >= accept]
             return pa.RecordBatch.from_arrays([*kept, *map(pa.array, found)], names=all_names)
 

@@ -139,12 +139,12 @@ def measures(texts: pa.Array, min_words: int) -> list[np.ndarray]:
 
 def measure(df: DataFrame, text: str = "text", min_words: int = Limits.min_words) -> DataFrame:
     """``df`` with the measures of its column ``text``."""
-    kept = [f for f in df.schema if f.name not in MEASURES]
+    kept = [f for f in df.schema if f.name.lower() not in MEASURES]
     names = [*(f.name for f in kept), *MEASURES]
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n not in MEASURES]
+            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() not in MEASURES]
             found = measures(batch.column(text), min_words)
             return pa.RecordBatch.from_arrays([*own, *(pa.array(x.astype(np.int64)) for x in found)], names=names)
 

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadloom.llm.common import checkpointed, on_slices
+from quadloom.llm.common import checkpointed, fresh, on_slices
 from quadloom.llm.components import components
 
 SEED = 42
@@ -313,8 +313,9 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
     asked = links.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     roots = components(similar(links, texts, words, similarity))
-    kept = nodes.select("node").join(roots, F.col("node") == F.col("u"), "left_anti").select("node")
-    return docs.join(kept, F.col("doc_id") == F.col("node"), "left_semi").unionByName(docs.where("doc_id is null"))
+    (own,) = fresh(docs, "node")
+    kept = nodes.select("node").join(roots, F.col("node") == F.col("u"), "left_anti").select(F.col("node").alias(own))
+    return docs.join(kept, F.col("doc_id") == F.col(own), "left_semi").unionByName(docs.where("doc_id is null"))
 
 
 def digests(docs: DataFrame) -> DataFrame:

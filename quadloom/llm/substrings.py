@@ -41,9 +41,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from quadloom.llm.common import fresh, slices
+from quadloom.llm.common import slices
 from quadloom.llm.suffixes import Hashes, order
 
 LENGTH = 100
@@ -269,25 +269,27 @@ def _characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, in
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``spans``, the maximal runs of bytes of the text to remove (arrays begin, finish).
+    """text, row (the other columns of ``docs``) and spans (begin, finish) of bytes to remove, of each row.
 
-    Columns named d, o, first or spans are added; those of ``docs`` keep their
-    names, and callers pick what they need.
+    All three uses of the texts take all their columns, as one exchange then
+    serves them all.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.coalesce(F.col(text), F.lit(""))
     # a document is its id and the high half of a hash of its text
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     o = F.shiftright(F.xxhash64(own), 32)
-    rows = docs.select(d.alias("d"), o.alias("o"), own.alias("text"), F.struct(*docs.columns).alias("row"))
+    others = F.struct("doc_id", *(c for c in docs.columns if c not in ("doc_id", text))).alias("others")
+    rows = docs.select(d.alias("d"), o.alias("o"), own.alias("text"), F.struct(F.col(text).isNull().alias("none"), others).alias("row"))
     texts = rows.repartition(n, "d", "o")
     copies = docs.select(F.md5(own.cast("binary")).alias("digest"), F.struct(d.alias("d"), o.alias("o")).alias("doc"))
     first = copies.groupBy("digest").agg(F.min("doc").alias("doc")).select("doc.d", "doc.o").distinct()
-    unique = texts.join(first.hint("shuffle_hash"), ["d", "o"], "left_semi").select("d", "o", "text")
+    # an inner join: a semi join would be moved below the exchange, and need one of its own
+    unique = texts.join(first.hint("shuffle_hash"), ["d", "o"])
     places = unique.mapInArrow(_positions, "key long, d long, o long, place long")
     again = places.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_repeated, places.schema)
     asked = again.groupBy("d", "o").agg(F.collect_list(F.struct("key", "place")).alias("asked"))
-    wanted = texts.join(asked.hint("shuffle_hash"), ["d", "o"]).select("d", "o", "text", "asked")
+    wanted = texts.join(asked.hint("shuffle_hash"), ["d", "o"])
     around = wanted.mapInArrow(_surroundings, "key long, d long, o long, place long, around binary")
     by = ["key", "around", "d", "o", "place"]
     spans = around.repartition(n, "key").sortWithinPartitions(*by).mapInArrow(
@@ -295,7 +297,7 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     marks = first.select("d", "o", F.lit(-1).cast("long").alias("begin"), F.lit(-1).cast("long").alias("finish"))
     found = spans.unionByName(marks).groupBy("d", "o").agg(F.collect_list(F.struct("begin", "finish")).alias("spans"))
-    return texts.join(found.hint("shuffle_hash"), ["d", "o"], "left").select("text", "row", "spans")
+    return texts.join(found.hint("shuffle_hash"), ["d", "o"], "left")
 
 
 def _cleaned(column: pa.Array, spans: pa.Array, whole: bool) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
@@ -333,20 +335,21 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def removed(docs: DataFrame) -> DataFrame:
     """``docs`` with texts less their repeats, whole characters only; texts of which nothing is left go."""
     rows = with_spans(docs)
-    (changed,) = fresh(docs, "changed")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = [_kept(t, s).decode() for t, s in _cleaned(part.column("text"), part.column("spans"), True)]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", changed])
-
-    schema = StructType([rows.schema["row"], StructField(changed, StringType())])
+                found = list(_cleaned(part.column("text"), part.column("spans"), True))
+                texts = [_kept(t, s).decode() for t, s in found]
+                stays = [bool(new) or not old for new, (old, _) in zip(texts, found, strict=True)]
+                columns = [part.column("row"), pa.array(texts, pa.string()), pa.array(stays, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "changed", "stays"])
+
+    fields = [StructField("changed", StringType()), StructField("stays", BooleanType())]
+    schema = StructType([rows.schema["row"], *fields])
     found = rows.mapInArrow(run, schema)
-    was = F.col("row.text")
-    stays = (F.col(changed) != "") | was.isNull() | (was == "")
-    text = F.when(was.isNull(), was).otherwise(F.col(changed))
-    return found.where(stays).select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+    text = F.when(~F.col("row.none"), F.col("changed"))
+    others = F.col("row.others")
+    return found.where("stays").select(*(text.alias(c) if c == "text" else others[c].alias(c) for c in docs.columns))
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -358,7 +361,7 @@ def digests(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text"):
                 found = list(_cleaned(part.column("text"), part.column("spans"), False))
                 columns = [
-                    part.column("row").field("doc_id").cast(pa.int64()),
+                    part.column("row").field("others").field("doc_id").cast(pa.int64()),
                     pa.array([len(t) for t, _ in found], pa.int64()),
                     pa.array([sum(b - a for a, b in s) for _, s in found], pa.int64()),
                     pa.array([len(s) for _, s in found], pa.int64()),

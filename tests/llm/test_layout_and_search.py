@@ -1,0 +1,141 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from quadloom.llm import neighbours, queries, sharding
+from quadloom.llm.common import checkpointed
+
+SF = "/root/testdata/sf0.001"
+
+
+def check_shards(rows, shards):
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(shards))
+    return Counter({s: sum(r.size for r in rows if r.shard == s) for s in range(shards)})
+
+
+def test_query_of_sharding(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op8_sharding(spark, SF).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {
+        d: (len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in docs.items()
+    }
+    sizes = check_shards(rows, 24)
+    mean = sum(sizes.values()) / 24
+    largest = max(Counter({(r.text_crc32, r.size): 0 for r in rows}) | Counter(x for r in rows for x in [(r.text_crc32, r.size)] * r.size).values())
+    assert max(sizes.values()) <= mean + largest and min(sizes.values()) >= mean - largest
+    assert max(Counter((r.text_crc32, r.size) for r in {(r.text_crc32, r.size, r.shard): r for r in rows}.values()).values()) == 1
+    assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
+
+
+def test_shards_follow_metadata(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id"), F.repeat(F.lit("x"), F.lit(60))).alias("text"),
+        F.concat(F.lit("s"), F.col("id") % 4).alias("source"), F.lit("en").alias("lang"),
+    )
+    rows = sharding.assign(docs, 4).join(docs, "doc_id").groupBy("shard").agg(F.countDistinct("source").alias("n"), F.sum("size").alias("b")).collect()
+    assert len(rows) == 4 and sum(r.n for r in rows) <= 7  # a cut may go through a source
+    assert max(r.b for r in rows) < 1.02 * min(r.b for r in rows)
+
+
+def test_sharding_of_edges(spark, edges, no_rows):
+    rows = sharding.digests(edges, 3).collect()
+    assert len(rows) == edges.count()
+    check_shards(rows, 3)
+    assert len({r.shard for r in rows if r.doc_id in (5, 6)}) == 1
+    assert len(sharding.digests(edges, 1).collect()) == len(rows)
+    assert sharding.digests(no_rows).count() == 0
+
+
+def exact(ids, x, asked, k):
+    norms = np.sqrt((x * x).sum(axis=1))
+    found = {}
+    for q in asked:
+        score = (x * x[q]).sum(axis=1) / (norms * norms[q])
+        score[ids == ids[q]] = -9
+        order = [i for i in np.lexsort((ids, -score)) if score[i] > -9][:k]
+        found[int(ids[q])] = [(int(ids[i]), float(score[i])) for i in order]
+    return found
+
+
+def lists_of(rows):
+    found = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(found[r.query_id])
+    return found
+
+
+def test_query_of_search_is_exact_on_few_rows(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
+    got = lists_of(queries.op10_learned_partitions(spark, SF).collect())
+    assert got == exact(ids, x, np.flatnonzero(ids % 50 == 0), 5)
+
+
+@pytest.mark.parametrize("clusters", [40, 0])
+def test_recall(spark, clusters):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 24))
+    if clusters:
+        x = 0.4 * x + rng.standard_normal((clusters, 24))[rng.integers(0, clusters, 4000)]
+    ids = np.arange(4000)
+    frame = spark.createDataFrame(list(zip(ids.tolist(), x.tolist(), strict=True)), "vec_id long, embedding array<double>")
+    plan = neighbours.Plan(parts=16, sample=2000, part_rows=100, block=100)
+    got = lists_of(neighbours.search(frame, F.col("vec_id") % 20 == 0, plan).collect())
+    want = exact(ids, x, np.flatnonzero(ids % 20 == 0), 5)
+    hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert set(got) == set(want) and hits / (5 * len(want)) >= 0.9
+
+
+def test_parts_are_balanced():
+    x = np.random.default_rng(1).standard_normal((1003, 8))
+    part = neighbours.balanced_parts(neighbours.graph(x / np.linalg.norm(x, axis=1, keepdims=True), 8), 8)
+    assert set(np.bincount(part)) <= {125, 126}
+
+
+def test_search_of_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, None), (50, [0.0, 0.0]), (100, [nan, 1.0])]
+    rows += [(150, [inf, 1.0]), (200, [None, 1.0]), (250, [1.0]), (None, [1.0, 0.0]), (300, [1.0, 0.0]), (0, [0.0, 1.0])]
+    rows += [(350, [-1.0, 0.0]), (400, [-1.0, 0.0]), (7, [-1.0, 0.0])]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, node string")
+    got = lists_of(neighbours.search(frame, F.col("vec_id") % 50 == 0).collect())
+    assert set(got) == {0, 300, 350, 400}
+    assert got[300] == [(0, 1.0), (1, 1.0), (2, 1.0), (0, 0.0), (3, 0.0)]
+    assert [v for v, _ in got[350]] == [7, 400, 0, 3, 0] and got[350][:2] == [(7, 1.0), (400, 1.0)]
+    one = spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<double>")
+    assert neighbours.search(one, F.col("vec_id") == 0).count() == 0
+    assert neighbours.search(one.where("false"), F.col("vec_id") == 0).count() == 0
+
+
+def test_pipeline_stages(spark, tmp_path):
+    """Planted copies, passages and toxic texts go; other documents stay whole."""
+    base = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    good = base.join(labels.where("quality = 1 and toxic = 0"), "doc_id", "left_semi").where("length(text) > 1500").orderBy("doc_id").limit(30).collect()
+    passage = " ".join(f"shared{n}word" for n in range(60))
+    rows = [(10_000 + i, r.text, r.lang, r.source, r.n_chars) for i, r in enumerate(good)]
+    rows += [(20_000, rows[0][1], "en", "z", 1), (20_001, rows[1][1] + " " + passage, "en", "z", 1), (20_002, rows[2][1] + " " + passage, "en", "z", 1)]
+    planted = spark.createDataFrame(rows, base.schema)
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    base.unionByName(planted).write.parquet(str(tmp_path / "documents.parquet"))
+    docs, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = checkpointed(stage(spark, docs, str(tmp_path)))
+        seen[name] = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+        if name != "encode_pieces":
+            assert docs.columns == before.columns
+    assert 20_000 not in seen["drop_near_copies"]
+    groups = Counter(t for t in seen["drop_near_copies"].values())
+    assert max(groups.values()) == 1
+    assert sum(passage in t for t in seen["drop_repeats"].values()) <= 1
+    assert set(seen["mix_sources"]) <= set(seen["drop_repeats"]) and len(seen["mix_sources"]) > 0.8 * len(seen["drop_repeats"])
+    assert all(r.decoded == r.text for r in docs.collect())
