@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from quadloom.llm.common import fresh, on_slices
+from quadloom.llm.common import fresh, on_slices, slices
 from quadloom.llm.repetition import words_of
 
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>-"
@@ -44,7 +44,7 @@ _MARKS = ".,;:!?\"'()[]{}#*$%&|<>-"
 class Plan:
     """``sample``: most rated rows to learn from; ``least``: of the sample that must have a feature."""
 
-    sample: int = 16_000
+    sample: int = 12_000
     buckets: int = 1 << 20
     least: int = 3
     penalty: float = 1e-4
@@ -112,12 +112,14 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, plan: Plan) -> Model:
         even = np.arange(1, plan.grades) / plan.grades
         return Model(none, np.zeros(0), np.log(even / (1 - even)), plan.buckets)
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
-    used, at, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    flat = np.concatenate(rows)
+    used, counts = np.unique(flat, return_counts=True)
     often = counts >= plan.least
-    place = np.cumsum(often) - 1
-    keep = often[at]
-    used, at, owner = used[often], place[at[keep]], owner[keep]
+    used = used[often]
+    at = np.minimum(np.searchsorted(used, flat), max(0, len(used) - 1))
+    keep = used[at] == flat if len(used) else np.zeros(len(flat), bool)
+    at, owner = at[keep].astype(np.int32), np.repeat(np.arange(len(rows), dtype=np.int32), sizes)[keep]
+    del flat, keep
     n, y = len(rows), np.asarray(grades)
     weights, ahead, pace = np.zeros(len(used)), np.zeros(len(used)), 1.0
     moment = np.full(len(used), 1e-8)
@@ -145,7 +147,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, plan: Plan) -> Model:
             cuts[g] -= 0.5 * pull
         cuts = np.maximum.accumulate(cuts + 1e-6 * np.arange(len(cuts)))
     chosen = weights != 0
-    return Model(used[chosen], weights[chosen], cuts, plan.buckets)
+    return Model(used[chosen].astype(np.int64), weights[chosen], cuts, plan.buckets)
 
 
 def tails(score: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
@@ -172,7 +174,7 @@ def learn(docs: DataFrame, ratings: DataFrame, plan: Plan = Plan()) -> Model:
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             owner, bucket = features(batch.column("text"), plan.buckets)
             pairs = np.unique(owner * plan.buckets + bucket)
             ends = np.searchsorted(pairs // plan.buckets, np.arange(batch.num_rows + 1)).tolist()
@@ -182,7 +184,7 @@ def learn(docs: DataFrame, ratings: DataFrame, plan: Plan = Plan()) -> Model:
 
     made = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade"), "text")
     rows = sorted(made.mapInArrow(run, "doc_id long, grade int, f binary").collect())
-    return fit([np.frombuffer(r[2], np.int32).astype(np.int64) for r in rows], np.array([r[1] for r in rows], np.int64), plan)
+    return fit([np.frombuffer(r[2], np.int32) for r in rows], np.array([r[1] for r in rows], np.int64), plan)
 
 
 RATED = ("expected_grade", "tail_probability", "kept")
