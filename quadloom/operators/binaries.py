@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions import keys
-from quadloom.operators.keyed import distinct_keys, per_key
+from quadloom.operators.keyed import distinct_keys, per_key, rows_with_keys
 from quadloom.vocab import DEFAULT_CHUNK_SIZE, DEFAULTS, Settings
 
 SEGMENT_BYTES = 64 * 1024 * 1024
@@ -102,7 +102,7 @@ def unset_content(binaries: DataFrame) -> DataFrame:
 
 def purge(chunks: DataFrame, ids: DataFrame) -> DataFrame:
     """Remove all chunks (or the object) of each identifier."""
-    return chunks.join(distinct_keys(ids), "identifier", "left_anti")
+    return rows_with_keys(chunks, ids, "left_anti")
 
 
 def layout(chunks: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def read_all(chunks: DataFrame, ids: DataFrame | None = None, segment_bytes: int
     pieces = chunks
     if ids is not None:
         ids = distinct_keys(ids)
-        pieces = chunks.join(ids, "identifier", "left_semi")
+        pieces = rows_with_keys(chunks, ids)
     # The empty chunk that ends an exact multiple must not start a segment.
     pieces = pieces.filter((F.col("chunkIndex") == 0) | (F.octet_length("chunk") > 0))
     segment = F.floor(F.col("chunkIndex") / _per_segment(segment_bytes)).cast("int")

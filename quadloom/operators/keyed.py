@@ -12,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Most bytes of keys sent to all executors, and what a key takes beside its text.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 64
+
 
 def distinct_keys(df: DataFrame, *names: str) -> DataFrame:
     """Distinct values of the columns (by default ``identifier``), by a shuffle on all of them.
@@ -27,3 +31,18 @@ def per_key(df: DataFrame, names: list[str], **aggregates: Column) -> DataFrame:
     """``df`` aggregated by the key columns, to the columns named."""
     values = [column.alias(name) for name, column in aggregates.items()]
     return df.groupBy(F.struct(*names).alias("k")).agg(*values).select("k.*", *aggregates)
+
+
+def rows_with_keys(
+    df: DataFrame, ids: DataFrame, how: str = "left_semi", key: str = "identifier", broadcast_bytes: int | None = None
+) -> DataFrame:
+    """``df`` with the keys in ``ids`` only, or without them (``how="left_anti"``).
+
+    A first job measures the distinct keys. Those of no more than
+    ``broadcast_bytes`` (by default ``BROADCAST_BYTES``) are broadcast, so that
+    no row of a wide table moves; more are joined by a shuffle.
+    """
+    most = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    asked = distinct_keys(ids, key)
+    size = asked.agg(F.sum(F.octet_length(key) + ROW_BYTES)).first()[0] or 0
+    return df.join(F.broadcast(asked) if size <= most else asked, key, how)

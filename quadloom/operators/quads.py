@@ -12,16 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions import nquads as nq
-from quadloom.operators.keyed import distinct_keys
+from quadloom.operators.keyed import distinct_keys, rows_with_keys
 from quadloom.schemas import QUAD_COLUMNS
+from quadloom.session import written
 from quadloom.vocab import DEFAULTS, RDF_TYPE, Settings
 
 # Most bytes of N-Quads put into one text value.
 TEXT_PART_BYTES = 64 * 1024 * 1024
-# Resources above a part's size number at most the table's bytes over that size.
-# From this size on, that is few enough to broadcast at two numbers each: 100 TB
-# holds no more than 1.6 million of them.
-_BROADCAST_PART_BYTES = 64 * 1024 * 1024
 
 
 def _line_terms(lines: DataFrame) -> DataFrame:
@@ -92,24 +89,20 @@ def emit(
     asked = kept
     if ids is not None:
         ids = distinct_keys(ids)
-        asked = kept.join(ids, "identifier", "left_semi")
+        asked = rows_with_keys(kept, ids)
     lines = asked.select("identifier", nq.quad_line().alias("line"))
-    # Large resources are told by a hash of their identifier. Should two share
-    # one, the smaller is in more parts than it need be, and still whole.
-    sizes = lines.groupBy(F.xxhash64("identifier").alias("h")).agg(
-        F.sum(F.octet_length("line") + 1).alias("bytes")
+    # A narrow row per resource, written once: large ones lie in a folder of
+    # their own, whose size tells the optimizer how to join them.
+    sizes = lines.groupBy("identifier").agg(F.sum(F.octet_length("line") + 1).alias("bytes"))
+    sizes = written(sizes.withColumn("large", F.col("bytes") > part_bytes), "sizes", "large")
+    large = sizes.filter("large").select(
+        F.col("identifier").alias("h"), F.ceil(F.col("bytes") / part_bytes).cast("int").alias("parts")
     )
-    large = sizes.filter(F.col("bytes") > part_bytes).select(
-        "h", F.ceil(F.col("bytes") / part_bytes).cast("int").alias("parts")
-    )
-    if part_bytes >= _BROADCAST_PART_BYTES:
-        large = F.broadcast(large)
     part = F.pmod(F.xxhash64("line"), F.coalesce("parts", F.lit(1))).cast("int")
     # Grouping by one struct: a partitioning the join may leave behind, by
     # identifier alone, would otherwise be reused and put all parts in one task.
     texts = (
-        lines.withColumn("h", F.xxhash64("identifier"))
-        .join(large, "h", "left")
+        lines.join(large, F.col("identifier") == F.col("h"), "left")
         .groupBy(F.struct("identifier", part.alias("part")).alias("k"))
         .agg(F.array_join(F.array_sort(F.collect_set("line")), "\n").alias("quads"))
         .select("k.identifier", "k.part", "quads")
@@ -117,7 +110,7 @@ def emit(
     if ids is None:
         return texts
     # Texts are not joined to ids: all parts of a large one would meet in a task.
-    empty = ids.join(kept.select("identifier").distinct(), "identifier", "left_anti")
+    empty = ids.join(sizes.select("identifier"), "identifier", "left_anti")
     nothing = empty.select("identifier", F.lit(0).alias("part"), F.lit(None).cast("string").alias("quads"))
     return texts.unionByName(nothing)
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from quadloom.functions import keys
 from quadloom.functions import nquads as nq
 from quadloom.operators import quads as q
-from quadloom.operators.keyed import distinct_keys
+from quadloom.operators.keyed import distinct_keys, rows_with_keys
 from quadloom.schemas import QUAD_COLUMNS
+from quadloom.session import written
 from quadloom.vocab import DEFAULTS, LDP_CONTAINS, PREFER_CONTAINMENT, STORABLE_MODELS, Settings
 
 
@@ -45,7 +46,7 @@ def metadata(resources: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 def immutable_quads(immutable: DataFrame, ids: DataFrame, distinct: bool = True) -> DataFrame:
     """Append-only quads of the identifiers asked for, over all their rows."""
-    asked = immutable.join(distinct_keys(ids), "identifier", "left_semi")
+    asked = rows_with_keys(immutable, ids)
     return q.ingest(asked, distinct=distinct)
 
 
@@ -88,17 +89,20 @@ def assemble(
     """All quads of resources: mutable, append-only, containment and type quads.
 
     Identifiers without a row in ``resources`` yield nothing. ``ids`` limits
-    the answer; ``index`` is a saved containment index, if there is one.
+    the answer, and is told from the rest by narrow rows (identifier, whether
+    it is a container), which are written once: their size then tells the
+    optimizer how to meet each table. ``index`` is a saved containment index,
+    if there is one.
     """
     index = children(resources) if index is None else index
-    found, containers = resources, resources.filter(keys.is_container("interactionModel"))
-    standing = resources.select("identifier")
+    found = resources
+    standing = resources.select("identifier", keys.is_container("interactionModel").alias("container_"))
     if ids is not None:
-        asked = distinct_keys(ids)
-        found = resources.join(asked, "identifier", "left_semi")
-        standing = distinct_keys(found)
-        containers = distinct_keys(containers.join(asked, "identifier", "left_semi"))
-    contained = containment_quads(index).join(containers.select("identifier"), "identifier", "left_semi")
+        standing = written(rows_with_keys(standing, ids).distinct(), "standing")
+        found = resources.join(standing.select("identifier").distinct(), "identifier", "left_semi")
+    containers = standing.filter("container_").select("identifier")
+    standing = standing.select("identifier")
+    contained = containment_quads(index).join(containers, "identifier", "left_semi")
     audited = immutable.join(standing, "identifier", "left_semi")
     # The type quad goes through the parser with the text, which saves a scan.
     texts = found.select("identifier", F.concat_ws("\n", "quads", q.type_line(settings)).alias("quads"))

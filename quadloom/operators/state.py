@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions.times import truncate_to
+from quadloom.operators.keyed import rows_with_keys
 from quadloom.vocab import DEFAULTS, LDP_BASIC_CONTAINER, Settings
 
 ORDER = ("created", "seq")
@@ -38,7 +39,7 @@ def upsert(state: DataFrame, changes: DataFrame) -> DataFrame:
 
 def delete(state: DataFrame, ids: DataFrame) -> DataFrame:
     """Remove current rows. Versions and append-only quads are other tables."""
-    return state.join(ids.select("identifier").distinct(), "identifier", "left_anti")
+    return rows_with_keys(state, ids, "left_anti")
 
 
 def touch(state: DataFrame, touches: DataFrame) -> DataFrame:

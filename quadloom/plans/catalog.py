@@ -109,6 +109,22 @@ def assemble_resource(spark, sf_dir):
     return resources.assemble(fx.resources(spark, sf_dir), fx.immutable(spark, sf_dir))
 
 
+@query
+def assemble_ids(spark, sf_dir):
+    """The same for the identifiers asked for, some of which are absent."""
+    return resources.assemble(fx.resources(spark, sf_dir), fx.immutable(spark, sf_dir), fx.ids(spark, sf_dir))
+
+
+@query
+def assemble_ids_index(spark, sf_dir):
+    """Containers and absent resources, with a saved containment index."""
+    path = work_folder(spark, "index")
+    resources.containment_index(fx.resources(spark, sf_dir)).write.parquet(path)
+    asked = fx.table(spark, sf_dir, "customer").select(F.concat(F.lit("data:/customer/"), F.col("c_custkey").cast("string")).alias("identifier"))
+    asked = asked.unionByName(fx.ids(spark, sf_dir).filter("identifier LIKE 'data:/absent/%'"))
+    return resources.assemble(fx.resources(spark, sf_dir), fx.immutable(spark, sf_dir), asked, spark.read.parquet(path))
+
+
 @query
 def immutable_quads(spark, sf_dir):
     return resources.immutable_quads(fx.immutable(spark, sf_dir), fx.ids(spark, sf_dir))

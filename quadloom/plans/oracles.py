@@ -283,6 +283,24 @@ ORACLES: dict[str, str] = {
         "fx_containment",
         "fx_resources",
     ),
+    "assemble_ids": _with(
+        f"""SELECT * FROM (SELECT * FROM fx_own_quads UNION SELECT * FROM fx_doc_quads
+        UNION SELECT identifier, graph, subject, predicate, object FROM fx_audit
+        UNION SELECT * FROM fx_containment UNION {_TYPED} FROM fx_resources)
+        WHERE identifier IN (SELECT identifier FROM fx_ids)""",
+        "fx_own_quads",
+        "fx_doc_quads",
+        "fx_audit",
+        "fx_containment",
+        "fx_resources",
+        "fx_ids",
+    ),
+    "assemble_ids_index": _with(
+        f"""SELECT * FROM (SELECT * FROM fx_containment UNION {_TYPED} FROM fx_resources)
+        WHERE identifier LIKE 'data:/customer/%'""",
+        "fx_containment",
+        "fx_resources",
+    ),
     "immutable_quads": _with("SELECT DISTINCT identifier, graph, subject, predicate, object FROM fx_audit", "fx_audit"),
     "resource_lookup": _with(
         """SELECT i.identifier, r.identifier IS NOT NULL AS found, r.interactionModel, r.container, r.modified, r.quads

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -28,3 +28,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/quadloom-work/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, *partitions: str) -> DataFrame:
+    """``df`` written to a work folder, by folders of the columns ``partitions``, and read from there."""
+    path = work_folder(df.sparkSession, name)
+    df.write.partitionBy(*partitions).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,12 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.operators.keyed import distinct_keys
+from quadloom.operators.keyed import BROADCAST_BYTES, ROW_BYTES, distinct_keys
 
 BUCKET = "bucket"
-# Most bytes of keys sent to all executors, and what a key takes beside its text.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_BYTES = 64
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:
@@ -61,7 +58,7 @@ def rows_of_keys(
     asked = distinct_keys(ids, key).withColumn(BUCKET, bucket_of(key, buckets))
     sizes = asked.groupBy(BUCKET).agg(F.sum(F.octet_length(key)).alias("bytes"), F.count("*").alias("keys")).collect()
     kept = table.filter(F.col(BUCKET).isin([s[BUCKET] for s in sizes]))
-    if sum(s["bytes"] + _ROW_BYTES * s["keys"] for s in sizes) <= broadcast_bytes:
+    if sum(s["bytes"] + ROW_BYTES * s["keys"] for s in sizes) <= broadcast_bytes:
         asked = F.broadcast(asked)
     return kept.join(asked, [BUCKET, key], "left_semi")
 

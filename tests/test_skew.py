@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadloom import schemas
 from quadloom import vocab as v
-from quadloom.operators import binaries, quads, resources, versions
+from quadloom.operators import binaries, keyed, quads, resources, versions
 
 T = datetime(2024, 1, 1)
 N = 30_000
@@ -22,7 +22,8 @@ SETTINGS = {
 
 
 @pytest.fixture
-def skewed(spark):
+def skewed(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", 0)
     before = {k: spark.conf.get(k, None) for k in SETTINGS}
     for k, value in SETTINGS.items():
         spark.conf.set(k, value)
@@ -132,3 +133,15 @@ def test_emit_of_a_hot_resource(skewed):
     sizes = out.select("identifier", F.size(F.split("quads", "\n")).alias("n"))
     assert sizes.agg(F.sum("n")).first()[0] == N
     assert sizes.agg(F.max("n")).first()[0] < 200
+
+
+def test_few_keys_move_no_row_of_a_wide_table(spark):
+    chunks = hot_ids(spark, "b").select(
+        "identifier", F.lit(1).alias("chunkSize"), F.col("id").cast("int").alias("chunkIndex"), F.lit(b"x").alias("chunk")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = binaries.purge(chunks, hot_ids(spark, "b").filter("id < 2"))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert left.count() == N - N // 3 - 1
