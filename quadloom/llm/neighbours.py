@@ -15,8 +15,8 @@ the sample, the network, and one count a part.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite numbers,
 rows without vec_id, and vectors whose length is not the most common one take
-no part; rows of one vec_id are no candidates of each other's; ties go to the
-smaller vec_id; a query with fewer than k candidates gets them all; extra
+no part; rows of one vec_id are no candidates of each other's, and of one vec_id
+and vector count once; ties go to the smaller vec_id; a query with fewer than k candidates gets them all; extra
 columns don't matter; an empty table gives an empty one.
 """
 
@@ -246,7 +246,8 @@ def search(vectors: DataFrame, queries: F.Column, plan: Plan = Plan()) -> DataFr
             )
 
     asked = rows.where(queries).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("x"))
-    asked = checkpointed(asked.join(nodes, F.col("x") == F.col("embedding")).select("query_id", "embedding", "node"))
+    asked = asked.join(nodes, F.col("x") == F.col("embedding")).select("query_id", "embedding", "node")
+    asked = checkpointed(asked.dropDuplicates(["query_id", "node"]))
     schema = "embedding array<double>, node long, part int, block int"
     sent = asked.dropDuplicates(["node"]).select("embedding", "node").mapInArrow(route, schema)
     cut = F.lit(1)
@@ -300,7 +301,7 @@ def search(vectors: DataFrame, queries: F.Column, plan: Plan = Plan()) -> DataFr
     found = found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1)
     # the k + 1 smallest ids of each vector that was found
     by_id = Window.partitionBy("embedding").orderBy("vec_id")
-    members = rows.withColumn("at", F.row_number().over(by_id)).where(F.col("at") <= k + 1)
+    members = rows.withColumn("at", F.dense_rank().over(by_id)).where(F.col("at") <= k + 1)
     members = members.groupBy("embedding").agg(F.min("vec_id").alias("near"), F.array_sort(F.collect_set("vec_id")).alias("ids"))
     hits = found.join(members.select("near", "ids"), "near").select("asked", "score", F.explode("ids").alias("vec_id"))
     # at most (k + 1)^2 rows of each query's vector
