@@ -70,11 +70,6 @@ def chunk_files(
     return spread.mapInArrow(_range_reader(chunk_size, _RUN, open_file), CHUNKS)
 
 
-def _read_at(file, start: int, size: int) -> bytes:
-    file.seek(start)
-    return file.read(size)
-
-
 def _range_reader(chunk_size: int, run: int, open_file: Callable[[str], BinaryIO] | None):
     """Rows (identifier, path, size, last, first) to the chunks of the run each names."""
 
@@ -93,7 +88,8 @@ def _range_reader(chunk_size: int, run: int, open_file: Callable[[str], BinaryIO
             for row in batch.to_pylist():
                 with (open_file or by_arrow)(row["path"]) as file:
                     for index in range(row["first"], min(row["first"] + run - 1, row["last"]) + 1):
-                        chunk = _read_at(file, index * chunk_size, max(min(chunk_size, row["size"] - index * chunk_size), 0))
+                        file.seek(index * chunk_size)
+                        chunk = file.read(max(min(chunk_size, row["size"] - index * chunk_size), 0))
                         yield pa.RecordBatch.from_pydict(
                             {
                                 "identifier": pa.array([row["identifier"]], pa.string()),
