@@ -50,6 +50,9 @@ LENGTH = 100
 ANCHOR = 40
 _SPREAD = LENGTH - ANCHOR + 1  # positions of an anchor in a window
 _CHUNK = 1 << 20  # windows that are taken up at a time
+# In the low byte of a place, above the number of further windows: the key is known to be repeated; and a copy of
+# such a row that only stands for its key.
+_KNOWN, _STANDS = 64, 128
 _INDEX = np.uint64((1 << 24) - 1)
 _WINDOWS = 400_000  # windows that are sorted at a time
 _ROWS = 4000  # surroundings after which sorting starts at the next group
@@ -99,22 +102,44 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, d, o and place (first window, offset of the anchor, further windows) of each anchor of d, o, text."""
+    """key, d, o and place (first window, offset of the anchor, further windows) of each anchor of d, o, text.
+
+    Rows whose key a slice has more than once are marked as known, and one
+    marked copy stands for them among the keys of other slices, so a hot key
+    is a row for each slice there.
+    """
     names = ["key", "d", "o", "place"]
     for batch in batches:
         for part in slices(batch, "text"):
             raw, offsets = _bytes(part.column("text"))
-            for key, text, at, first, last in anchors(raw, offsets):
-                owner = pa.array(text)
-                place = (first << 16) | ((at - first) << 8) | (last - first)
-                columns = [pa.array(key), part.column("d").take(owner), part.column("o").take(owner), pa.array(place)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            found = list(anchors(raw, offsets))
+            if not found:
+                continue
+            key, text, at, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
+            place = (first << 16) | ((at - first) << 8) | (last - first)
+            by = np.argsort(key, kind="stable")
+            same = key[by[1:]] == key[by[:-1]]
+            again = np.concatenate([[False], same])
+            several = again | np.concatenate([same, [False]])
+            place[by[several]] |= _KNOWN
+            stand = by[several & ~again]
+            key = np.concatenate([key, key[stand]])
+            place = np.concatenate([place, (place[stand] & ~_KNOWN) | _STANDS])
+            owner = pa.array(np.concatenate([text, text[stand]]))
+            columns = [pa.array(key), part.column("d").take(owner), part.column("o").take(owner), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those whose key is not alone."""
+    """Of rows sorted by key, those whose key is not alone or known to be repeated, without marks."""
     last_key, held = None, None  # held: the last row, if it is the first of its key
     for batch in batches:
+        place = batch.column("place").to_numpy()
+        known = (place & _KNOWN) > 0
+        if known.any():
+            plain = batch.set_column(3, "place", pa.array(place & ~_KNOWN))
+            yield plain.filter(pa.array(known))
+            batch = batch.filter(pa.array(~known))
         if not batch.num_rows:
             continue
         key = batch.column("key").to_numpy()
@@ -122,13 +147,18 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = as_before | np.concatenate([as_before[1:], [False]])
         if held is not None and as_before[0]:
             yield held
-        yield batch.filter(pa.array(keep))
-        held = None if keep[-1] else batch.slice(batch.num_rows - 1)
+        own = (batch.column("place").to_numpy() & _STANDS) == 0
+        yield batch.filter(pa.array(keep & own))
+        held = None if keep[-1] or not own[-1] else batch.slice(batch.num_rows - 1)
         last_key = key[-1]
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, d, o, place and around, the bytes of its windows, of each of the anchors asked for of a text."""
+    """key, d, o, place and around, the bytes of its windows, of each of the anchors asked for of a text.
+
+    Of equal surroundings in a slice the earliest has them; the others are
+    known to repeat it and have none.
+    """
     for batch in batches:
         for part in slices(batch, "text"):
             raw, offsets = _bytes(part.column("text"))
@@ -140,11 +170,24 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             end = begin + (place & 255) + LENGTH
             data = raw.tobytes()
             around = [data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-            owner = pa.array(owner)
-            columns = [key, part.column("d").take(owner), part.column("o").take(owner), flat.field("place")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(around, pa.binary())], names=["key", "d", "o", "place", "around"]
+            if not around:
+                continue
+            around, owner = pa.array(around, pa.binary()), pa.array(owner)
+            d, o = part.column("d").take(owner), part.column("o").take(owner)
+            code = around.dictionary_encode().indices.to_numpy()
+            columns = [key.to_numpy(), code, d.to_numpy(), o.to_numpy(), place]
+            by = np.lexsort(columns[::-1])
+            kind = np.stack(columns)[:, by]
+            new = np.concatenate([[True], (kind[:2, 1:] != kind[:2, :-1]).any(axis=0)])
+            # rows of one document twice are one
+            once = np.concatenate([[True], (kind[:, 1:] != kind[:, :-1]).any(axis=0)])
+            whole = np.zeros(len(by), bool)
+            whole[by[new]] = True
+            around = pc.if_else(pa.array(whole), around, pa.scalar(None, pa.binary()))
+            rows = pa.RecordBatch.from_arrays(
+                [key, d, o, flat.field("place"), around], names=["key", "d", "o", "place", "around"]
             )
+            yield rows.take(pa.array(by[once]))
 
 
 def _spans(d: np.ndarray, o: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -158,6 +201,11 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = 0
     before: tuple | None = None  # key, around, and the first d, o, place that had them
     for batch in batches:
+        known = pc.is_null(batch.column("around"))
+        if pc.any(known).as_py():
+            d, o, place = (batch.column(n).filter(known).to_numpy() for n in ("d", "o", "place"))
+            yield _spans(d, o, place >> 16, (place >> 16) + (place & 255) + LENGTH)
+            batch = batch.filter(pc.invert(known))
         if not batch.num_rows:
             continue
         numbers = np.stack([batch.column(n).to_numpy() for n in ("key", "d", "o", "place")])
@@ -287,12 +335,16 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     # an inner join: a semi join would be moved below the exchange, and need one of its own
     unique = texts.join(first.hint("shuffle_hash"), ["d", "o"])
     places = unique.mapInArrow(_positions, "key long, d long, o long, place long")
-    again = places.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_repeated, places.schema)
+    # what is known already goes anywhere, so that no task gets all rows of a hot key
+    anywhere = F.xxhash64("d", "place")
+    dealt = F.when(F.col("place").bitwiseAND(F.lit(_KNOWN)) > 0, anywhere).otherwise(F.col("key"))
+    again = places.repartition(n, dealt).sortWithinPartitions("key").mapInArrow(_repeated, places.schema)
     asked = again.groupBy("d", "o").agg(F.collect_list(F.struct("key", "place")).alias("asked"))
     wanted = texts.join(asked.hint("shuffle_hash"), ["d", "o"])
     around = wanted.mapInArrow(_surroundings, "key long, d long, o long, place long, around binary")
     by = ["key", "around", "d", "o", "place"]
-    spans = around.repartition(n, "key").sortWithinPartitions(*by).mapInArrow(
+    dealt = F.when(F.col("around").isNull(), anywhere).otherwise(F.col("key"))
+    spans = around.repartition(n, dealt).sortWithinPartitions(*by).mapInArrow(
         _resolved, "d long, o long, begin long, finish long"
     )
     marks = first.select("d", "o", F.lit(-1).cast("long").alias("begin"), F.lit(-1).cast("long").alias("finish"))
