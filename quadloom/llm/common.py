@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from quadloom.session import work_folder
 
 # Bytes of text that a Python worker takes up at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -52,15 +52,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def on_slices(
-    df: DataFrame, column: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType
+    df: DataFrame,
+    column: str,
+    make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    schema: str | StructType,
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
-    """``make()`` once in each task; its result on every cut of every Arrow batch."""
+    """``make()`` once in each task; its result on every cut of every Arrow batch.
+
+    Workers outlive their tasks, so Arrow gives back what it holds after each batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, most):
                 yield one(part)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -114,7 +122,7 @@ class Known(dict):
     for since the last time are forgotten.
     """
 
-    def __init__(self, compute: Callable | None = None, most: int = 400_000):
+    def __init__(self, compute: Callable | None = None, most: int = 300_000):
         super().__init__()
         self.compute, self.half, self.old = compute, most // 2, {}
 

@@ -37,6 +37,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 from quadloom.llm.common import fresh, on_slices, slices
 from quadloom.llm.repetition import words_of
 
+_SLICE = 1 << 20  # bytes of text whose features are made at a time
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>-"
 
 
@@ -174,7 +175,7 @@ def learn(docs: DataFrame, ratings: DataFrame, plan: Plan = Plan()) -> Model:
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", _SLICE)):
             owner, bucket = features(batch.column("text"), plan.buckets)
             pairs = np.unique(owner * plan.buckets + bucket)
             ends = np.searchsorted(pairs // plan.buckets, np.arange(batch.num_rows + 1)).tolist()
@@ -206,7 +207,7 @@ def rate(df: DataFrame, model: Model, accept: float, text: str = "text", names:
         return one
 
     types = (DoubleType(), DoubleType(), BooleanType())
-    return on_slices(df, text, make, StructType([*own, *(StructField(n, t) for n, t in zip(names, types, strict=True))]))
+    return on_slices(df, text, make, StructType([*own, *(StructField(n, t) for n, t in zip(names, types, strict=True))]), _SLICE)
 
 
 def graded(labels: DataFrame) -> DataFrame:
