@@ -122,7 +122,7 @@ class Known(dict):
     for since the last time are forgotten.
     """
 
-    def __init__(self, compute: Callable | None = None, most: int = 300_000):
+    def __init__(self, compute: Callable | None = None, most: int = 200_000):
         super().__init__()
         self.compute, self.half, self.old = compute, most // 2, {}
 

@@ -36,8 +36,8 @@ from quadloom.llm.common import Known, chunked, fresh, lists, on_slices
 SPACE = "▁"
 
 
-class Pieces:
-    """The vocabulary of one model, as read by the library, and the encoder over it."""
+class Table:
+    """The vocabulary of one model, as read by the library; all that decoding needs."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -61,6 +61,39 @@ class Pieces:
                 self.id[piece], self.score[piece] = i, model.get_score(i)
         if len(self.byte) != 256 or any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("the model must fall back to bytes and keep spaces at the start of pieces")
+        self.single_bytes = set(self.byte.values())
+        self.spaced = {i for p, i in self.id.items() if p[0] == SPACE}
+
+    def text(self, ids: list[int]) -> str:
+        """The text of ids, without the space before the first word."""
+        raw = b"".join(map(self.bytes.__getitem__, ids))
+        raw = raw[1:] if self.starts_spaced(ids) else raw
+        try:
+            return raw.decode()
+        except UnicodeDecodeError:
+            return self.mended(ids)
+
+    def mended(self, ids: list[int]) -> str:
+        """The text of ids whose bytes are no text: each run of bytes is decoded by itself."""
+        out, run = "", b""
+        for i in ids:
+            if i in self.single_bytes:
+                run += self.bytes[i]
+                continue
+            out, run = out + replaced(run) + self.bytes[i].decode(), b""
+        out += replaced(run)
+        return out[1:] if self.starts_spaced(ids) else out
+
+    def starts_spaced(self, ids: list[int]) -> bool:
+        """Whether the first piece that shows starts with the space put before a text."""
+        return next((i for i in ids if self.bytes[i]), None) in self.spaced
+
+
+class Pieces(Table):
+    """A vocabulary and the encoder over it."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
         self.automaton = ahocorasick.Automaton()
         self.shorter: dict[str, str | None] = {}
         reached = [p for p in self.id if self.merged(p) == [p]]
@@ -71,8 +104,6 @@ class Pieces:
         for piece in reached:
             self.shorter[piece] = next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in known), None)
         self.singles = known
-        self.single_bytes = set(self.byte.values())
-        self.spaced = {i for p, i in self.id.items() if p[0] == SPACE}
         self.fits = Known(self.compatible)
 
     def merged(self, text: str) -> list[str]:
@@ -149,30 +180,6 @@ class Pieces:
             found += [self.id[p] for p in self.backtracked(run)]
         return array("i", found).tobytes()
 
-    def text(self, ids: list[int]) -> str:
-        """The text of ids, without the space before the first word."""
-        raw = b"".join(map(self.bytes.__getitem__, ids))
-        raw = raw[1:] if self.starts_spaced(ids) else raw
-        try:
-            return raw.decode()
-        except UnicodeDecodeError:
-            return self.mended(ids)
-
-    def mended(self, ids: list[int]) -> str:
-        """The text of ids whose bytes are no text: each run of bytes is decoded by itself."""
-        out, run = "", b""
-        for i in ids:
-            if i in self.single_bytes:
-                run += self.bytes[i]
-                continue
-            out, run = out + replaced(run) + self.bytes[i].decode(), b""
-        out += replaced(run)
-        return out[1:] if self.starts_spaced(ids) else out
-
-    def starts_spaced(self, ids: list[int]) -> bool:
-        """Whether the first piece that shows starts with the space put before a text."""
-        return next((i for i in ids if self.bytes[i]), None) in self.spaced
-
 
 def replaced(raw: bytes) -> str:
     """``raw`` as text, with one mark for every byte that is no part of a character."""
@@ -197,6 +204,11 @@ def load(path: str) -> tuple[Pieces, Known]:
     return pieces, Known(lambda chunk: pieces.ids(chunk.replace(" ", SPACE)))
 
 
+@cache
+def load_table(path: str) -> Table:
+    return Table(path)
+
+
 def _split(text: str) -> list[str]:
     return re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))
 
@@ -227,7 +239,7 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
     names = [*(f.name for f in kept), text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, _ = load(model)
+        pieces = load_table(model)
         for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             column = batch.column(ids)
             ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
