@@ -216,3 +216,52 @@ def test_one_of_each_near_copy_stays(spark):
         kept.append(base * 10 + 3)
     left = simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(r.doc_id for r in left.collect()) == kept
+
+
+def shingles(text, words=5):
+    own = text.lower().split()
+    return {tuple(own[i : i + words]) for i in range(max(1, len(own) - words + 1))}
+
+
+def brute_kept(docs, similarity=0.8):
+    """The ids that stay of texts with ids of their own."""
+    sets = {d: shingles(t) for d, t in docs}
+    root = {d: d for d in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if b < a and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return sorted(i for i in root if find(i) == i)
+
+
+def made_words(n):
+    return ["".join(random.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+
+
+def changed(words, n):
+    words = list(words)
+    for at in random.sample(range(len(words)), n):
+        words[at] = made_words(1)[0]
+    return words
+
+
+@pytest.mark.parametrize("tile", [2048, 16])
+def test_near_copies_among_texts_of_one_template(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    random.seed(3)
+    docs = []
+    for _ in range(6):
+        template = made_words(300)
+        own = [changed(template, 6) for _ in range(30)]  # about 0.7 of each other
+        near = [changed(o, random.choice([4, 5, 6, 7])) for o in own]  # about 0.8 of their own
+        docs += [" ".join(x) for x in own + near]
+    docs = list(enumerate(docs))
+    left = simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in left.collect()) == brute_kept(docs)
