@@ -265,3 +265,29 @@ def test_near_copies_among_texts_of_one_template(spark, monkeypatch, tile):
     docs = list(enumerate(docs))
     left = simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(r.doc_id for r in left.collect()) == brute_kept(docs)
+
+
+def test_repeated_lines_do_not_hide_near_copies(spark):
+    random.seed(4)
+    docs = []
+    for times in (10, 20, 40):
+        for _ in range(30):
+            words, line = made_words(300), made_words(12)
+            docs.append(" ".join(words + line))
+            docs.append(" ".join(changed(words, 2) + line * times))
+    docs = list(enumerate(docs))
+    assert len(brute_kept(docs)) == len(docs) // 2
+    left = simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in left.collect()) == brute_kept(docs)
+
+
+def test_bits_of_sketches_differ_as_stated():
+    rng = np.random.default_rng(5)
+    factors, gaps = simhash._factors(8 + simhash.BITS), []
+    for n in (9, 90, 900) * 40:
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = a.copy()
+        b[: n // 9] = rng.integers(0, 1 << 63, n // 9)  # similarity 0.8
+        x, y = (simhash.sketch(np.unique(s), factors, 8)[1:3] for s in (a, b))
+        gaps.append(int(np.bitwise_count(x ^ y).sum()))
+    assert max(gaps) <= 34 and abs(np.mean(gaps) - 12.8) < 1.2 and np.std(gaps) < 4.2
