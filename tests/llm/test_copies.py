@@ -291,3 +291,13 @@ def test_bits_of_sketches_differ_as_stated():
         x, y = (simhash.sketch(np.unique(s), factors, 8)[1:3] for s in (a, b))
         gaps.append(int(np.bitwise_count(x ^ y).sum()))
     assert max(gaps) <= 34 and abs(np.mean(gaps) - 12.8) < 1.2 and np.std(gaps) < 4.2
+
+
+def test_texts_of_one_id_are_nodes_of_their_own(spark):
+    random.seed(6)
+    a, b, c = (made_words(300) for _ in range(3))
+    rows = [(1, a), (1, b), (1, b), (2, changed(a, 3)), (3, changed(b, 3)), (4, c), (4, c), (4, changed(c, 3)), (5, changed(c, 2))]
+    docs = [(d, " ".join(t)) for d, t in rows]
+    left = sorted(tuple(r) for r in simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert [r for r in left if r[0] != 4] == sorted([docs[0], docs[1]])
+    assert len(left) == 3 and left[2] in docs[5:8]
