@@ -22,7 +22,8 @@ share one: about one position in thirty stands for all of them. Three steps:
 Whole copies of a text are found first, by a digest, and need none of this.
 
 Memory of a task: a slice of texts, or the distinct surroundings (at most 160
-bytes each) of one 40-byte string. Shuffled are the texts, once, since the
+bytes each) of one 40-byte string of at most ``HOT`` positions. Of strings with
+more, each window is a surrounding of its own, dealt by a hash of its bytes. Shuffled are the texts, once, since the
 three uses share one exchange, and some 30 bytes per position.
 
 Defined cases: a null text is empty; a null doc_id comes before all others;
@@ -56,6 +57,8 @@ _KNOWN, _STANDS = 64, 128
 _INDEX = np.uint64((1 << 24) - 1)
 _WINDOWS = 400_000  # windows that are sorted at a time
 _ROWS = 4000  # surroundings after which sorting starts at the next group
+HOT = 20_000  # positions of a key above which its windows are dealt one by one
+_PIECE = 200_000  # windows whose bytes are taken up at a time
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -165,29 +168,66 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             asked = part.column("asked")
             owner = np.repeat(np.arange(part.num_rows), asked.value_lengths().to_numpy())
             flat = asked.flatten()
-            key, place = flat.field("key"), flat.field("place").to_numpy()
-            begin = offsets[owner] + (place >> 16)
-            end = begin + (place & 255) + LENGTH
+            key, place = flat.field("key").to_numpy(), flat.field("place").to_numpy()
+            hot = flat.field("hot").to_numpy(zero_copy_only=False)
+            windows = np.where(hot, (place & 255) + 1, 1)
+            piece = np.cumsum(windows) // _PIECE
+            hashes = Hashes(raw) if hot.any() else None
             data = raw.tobytes()
-            around = [data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-            if not around:
-                continue
-            around, owner = pa.array(around, pa.binary()), pa.array(owner)
-            d, o = part.column("d").take(owner), part.column("o").take(owner)
-            code = around.dictionary_encode().indices.to_numpy()
-            columns = [key.to_numpy(), code, d.to_numpy(), o.to_numpy(), place]
-            by = np.lexsort(columns[::-1])
-            kind = np.stack(columns)[:, by]
-            new = np.concatenate([[True], (kind[:2, 1:] != kind[:2, :-1]).any(axis=0)])
-            # rows of one document twice are one
-            once = np.concatenate([[True], (kind[:, 1:] != kind[:, :-1]).any(axis=0)])
-            whole = np.zeros(len(by), bool)
-            whole[by[new]] = True
-            around = pc.if_else(pa.array(whole), around, pa.scalar(None, pa.binary()))
-            rows = pa.RecordBatch.from_arrays(
-                [key, d, o, flat.field("place"), around], names=["key", "d", "o", "place", "around"]
-            )
-            yield rows.take(pa.array(by[once]))
+            edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(key)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if b > a:
+                    yield _around(part, data, hashes, offsets, owner[a:b], key[a:b], place[a:b], hot[a:b], windows[a:b])
+
+
+def _around(
+    part: pa.RecordBatch, data: bytes, hashes: Hashes | None, offsets: np.ndarray, owner: np.ndarray,
+    key: np.ndarray, place: np.ndarray, hot: np.ndarray, windows: np.ndarray,
+) -> pa.RecordBatch:
+    """Rows of ``_surroundings`` of some anchors.
+
+    An anchor of a hot key has a row for each of its windows, whose key is a
+    hash of the window: equal windows meet as equal surroundings do.
+    """
+    if hot.any():
+        anchor = np.repeat(np.arange(len(key)), windows)
+        step = np.arange(len(anchor)) - np.repeat(np.cumsum(windows) - windows, windows)
+        owner, key, place, hot = owner[anchor], key[anchor].copy(), place[anchor].copy(), hot[anchor]
+        first, offset = (place >> 16) + step, ((place >> 8) & 255) - step
+        place[hot] = ((first << 16) | (offset << 8))[hot]
+        key[hot] = _mixed(hashes.of(offsets[owner[hot]] + first[hot], LENGTH)).view(np.int64)
+    begin = offsets[owner] + (place >> 16)
+    end = begin + (place & 255) + LENGTH
+    around = pa.array([data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
+    d, o = (part.column(n).take(pa.array(owner)).to_numpy() for n in ("d", "o"))
+    code = around.dictionary_encode().indices.to_numpy()
+    columns = [key, code, d, o, place]
+    by = np.lexsort(columns[::-1])
+    kind = np.stack(columns)[:, by]
+    new = np.concatenate([[True], (kind[:2, 1:] != kind[:2, :-1]).any(axis=0)])
+    # rows of one document twice are one
+    once = np.concatenate([[True], (kind[:, 1:] != kind[:, :-1]).any(axis=0)])
+    whole = np.zeros(len(by), bool)
+    whole[by[new]] = True
+    stays = np.zeros(len(by), bool)
+    stays[by[once]] = True
+    # neighbouring windows of hot keys that repeat others are one row
+    loose = np.flatnonzero(stays & hot & ~whole)
+    if len(loose):
+        near = (np.diff(loose) == 1) & (owner[loose[1:]] == owner[loose[:-1]]) & (np.diff(place[loose] >> 16) == 1)
+        run = np.cumsum(np.concatenate([[0], ~near]))
+        size = np.bincount(run)
+        # the low byte of a place holds few
+        cut = np.arange(len(loose)) - np.repeat(np.cumsum(size) - size, size)
+        starts = np.flatnonzero(cut % 32 == 0)
+        stays[loose] = False
+        stays[loose[starts]] = True
+        place[loose[starts]] += np.diff(np.append(starts, len(loose))) - 1
+    around = pc.if_else(pa.array(whole), around, pa.scalar(None, pa.binary()))
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(key), pa.array(d), pa.array(o), pa.array(place), around], names=["key", "d", "o", "place", "around"]
+    )
+    return rows.filter(pa.array(stays))
 
 
 def _spans(d: np.ndarray, o: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -339,7 +379,10 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     anywhere = F.xxhash64("d", "place")
     dealt = F.when(F.col("place").bitwiseAND(F.lit(_KNOWN)) > 0, anywhere).otherwise(F.col("key"))
     again = places.repartition(n, dealt).sortWithinPartitions("key").mapInArrow(_repeated, places.schema)
-    asked = again.groupBy("d", "o").agg(F.collect_list(F.struct("key", "place")).alias("asked"))
+    # few keys; both uses of the positions take one exchange
+    hot = again.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("key").alias("k"))
+    marked = again.join(F.broadcast(hot), F.col("key") == F.col("k"), "left").withColumn("hot", F.col("k").isNotNull())
+    asked = marked.groupBy("d", "o").agg(F.collect_list(F.struct("key", "place", "hot")).alias("asked"))
     wanted = texts.join(asked.hint("shuffle_hash"), ["d", "o"])
     around = wanted.mapInArrow(_surroundings, "key long, d long, o long, place long, around binary")
     by = ["key", "around", "d", "o", "place"]

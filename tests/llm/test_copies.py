@@ -111,6 +111,44 @@ def test_small_batches_and_groups_change_nothing(spark, passages, monkeypatch):
     assert results[0] == results[1] == results[2] and results[0]
 
 
+def texts_with_a_line(n, size):
+    random.seed(8)
+    own = lambda: "".join(random.choice("abcdefgh ") for _ in range(random.randint(60, 160)))
+    line = "".join(random.choice("ijklmnop ") for _ in range(size))
+    return [(i, own() + line + (own() if i % 3 else "the same end " * 8)) for i in range(n)]
+
+
+@pytest.mark.parametrize("piece", [200_000, 150])
+def test_windows_of_hot_keys_are_dealt_one_by_one(piece, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(substrings, "_PIECE", piece)
+    texts = [t for _, t in texts_with_a_line(300, 60)]
+    columns = [pa.array(range(300), pa.int64()), pa.array([0] * 300, pa.int64()), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["d", "o", "text"])
+    places = pa.Table.from_batches(substrings._positions(iter([batch]))).to_pylist()
+    asked = [[] for _ in texts]
+    for r in places:
+        if not r["place"] & substrings._STANDS:
+            asked[r["d"]].append({"key": r["key"], "place": r["place"] & ~substrings._KNOWN, "hot": True})
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("place", pa.int64()), ("hot", pa.bool_())]))
+    whole = batch.append_column("asked", pa.array(asked, kind))
+    made = pa.Table.from_batches(substrings._surroundings(iter([whole]))).to_pylist()
+    distinct = {(r["key"], r["around"]) for r in made if r["around"] is not None}
+    by_key = [k for k, _ in distinct]
+    assert len(by_key) == len(set(by_key)) > 1000 and {len(a) for _, a in distinct} == {100}
+    # each window is in a row, and known or whole
+    count = sum((r["place"] & 63) + 1 for r in made)
+    assert count == sum(max(0, len(t) - 99) for t in texts)
+
+
+@pytest.mark.parametrize("hot", [1, 20])
+def test_removal_with_hot_keys_is_brute_force(spark, passages, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "HOT", hot)
+    lines = [(5000 + i, t) for i, t in texts_with_a_line(60, 60) + texts_with_a_line(60, 130)]
+    check_removal(spark, [*passages, *lines, (3, passages[3][1]), (9000, "a" * 500), (9001, "ab" * 300), (None, "a" * 150)])
+
+
 def test_query_of_removal(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: tuple(r)[1:5] for r in queries.op5_substring_dedup(spark, SF).collect()}
