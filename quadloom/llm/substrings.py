@@ -364,9 +364,9 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.coalesce(F.col(text), F.lit(""))
-    # a document is its id and the high half of a hash of its text
+    # a document is its id and a hash of its text
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    o = F.shiftright(F.xxhash64(own), 32)
+    o = F.xxhash64(own)
     others = F.struct("doc_id", *(c for c in docs.columns if c not in ("doc_id", text))).alias("others")
     rows = docs.select(d.alias("d"), o.alias("o"), own.alias("text"), F.struct(F.col(text).isNull().alias("none"), others).alias("row"))
     texts = rows.repartition(n, "d", "o")

@@ -149,6 +149,16 @@ def test_removal_with_hot_keys_is_brute_force(spark, passages, monkeypatch, hot)
     check_removal(spark, [*passages, *lines, (3, passages[3][1]), (9000, "a" * 500), (9001, "ab" * 300), (None, "a" * 150)])
 
 
+def test_texts_of_one_id_with_half_equal_hashes(spark):
+    random.seed(12)
+    one, other = ("".join(random.choice("abcdefgh ") for _ in range(150)) for _ in range(2))
+    text = F.concat(F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, one).otherwise(other))
+    rows = spark.range(400_000).select(text.alias("t"), (F.col("id") % 2).alias("kind")).withColumn("half", F.shiftright(F.xxhash64("t"), 32))
+    pairs = rows.groupBy("half").agg(F.min("t"), F.max("t"), F.countDistinct("kind").alias("kinds")).where("kinds = 2").collect()
+    assert pairs
+    check_removal(spark, [(1, one), *((9, t) for p in pairs[:1] for t in (p[1], p[2])), (10, "x" * 40)])
+
+
 def test_query_of_removal(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: tuple(r)[1:5] for r in queries.op5_substring_dedup(spark, SF).collect()}
