@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.llm import codes, counts, mixing, neighbours, pieces, quality, repetition, sharding, simhash, substrings
+from quadloom.llm import (
+    codes,
+    counts,
+    mixing,
+    neighbours,
+    packing,
+    pieces,
+    quality,
+    repetition,
+    sharding,
+    simhash,
+    substrings,
+)
 from quadloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +84,8 @@ ORACLES["op3_raked_mixing"] = mixing.oracle()
 @query
 def op5_substring_dedup(spark, sf_dir):
     return substrings.digests(documents(spark, sf_dir))
+
+
+@query
+def op13_packing(spark, sf_dir):
+    return packing.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
