@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quadloom.llm import (
     codes,
+    conversations,
     counts,
     mixing,
     neighbours,
@@ -89,3 +90,8 @@ def op5_substring_dedup(spark, sf_dir):
 @query
 def op13_packing(spark, sf_dir):
     return packing.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
