@@ -12,6 +12,7 @@ from quadloom.llm import (
     codes,
     conversations,
     counts,
+    divergence,
     mixing,
     neighbours,
     packing,
@@ -95,3 +96,11 @@ def op13_packing(spark, sf_dir):
 @query
 def op12_conversation_repair(spark, sf_dir):
     return conversations.digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(documents(spark, sf_dir))
+
+
+ORACLES["op11_source_divergence"] = divergence.ORACLE
