@@ -22,9 +22,7 @@ table gives no segment.
 from __future__ import annotations
 
 import struct
-from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quadloom.llm.common import Known, chunked, lists, slices
-from quadloom.llm.counts import Cutter
+from quadloom.llm.byte_ids import load
+from quadloom.llm.common import slices
 from quadloom.session import work_folder
 
 SEGMENT_IDS = 1 << 19
@@ -104,46 +102,12 @@ def token_at(codes: bytes, i: int) -> int:
     return found
 
 
-class Encoder:
-    """The library's ids of distinct chunks; those of words are kept, up to a fixed number of them."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.cutter = Cutter([t.content for t in self.library.get_added_tokens_decoder().values()])
-        self.words, self.chunks = Known(most=1_000_000), Known(most=1_000_000)
-
-    def ids(self, chunks: list[str]) -> list[bytes]:
-        words, known = self.words, self.chunks
-        values = list(map(known.get, chunks))
-        missing = [i for i, v in enumerate(values) if v is None]
-        made = {chunks[i]: known.old.get(chunks[i]) for i in missing}
-        cuts = {c: self.cutter.cut(c) for c, v in made.items() if v is None}
-        own = {w: None for cut in cuts.values() for w in cut}
-        own = {w: words.peek(w) for w in own}
-        new = [w for w, v in own.items() if v is None]
-        coded = self.library.encode_batch_fast(new, add_special_tokens=False)
-        own.update(zip(new, [array("i", e.ids).tobytes() for e in coded], strict=True))
-        for c, cut in cuts.items():
-            made[c] = own[cut[0]] if len(cut) == 1 else b"".join([own[w] for w in cut])
-        for i in missing:
-            values[i] = made[chunks[i]]
-        words.add(own)
-        known.add(made)
-        return values
-
-
-@cache
-def load(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
     """Write the ids of ``docs`` (doc_id, text), each document closed by ``end_id``, as segments below ``path``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = load(vocabulary), TaskContext.get().partitionId()
+        encode, part = load(vocabulary), TaskContext.get().partitionId()
+        end = np.array([end_id], np.uint32)
         segment = first = held = 0
         doc_ids: list[pa.Array] = []
         ids: list[np.ndarray] = []
@@ -166,12 +130,9 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
 
         for batch in batches:
             for cut in slices(batch, "text"):
-                offsets, codes, chunks = chunked(cut.column("text"), encoder.cutter.joined, encoder.cutter.cut)
-                found = lists(encoder.ids(chunks), codes, offsets)
-                ends = found.offsets.to_numpy().astype(np.int64)
-                flat = found.values.to_numpy(zero_copy_only=False)
-                ids.append(np.insert(flat, ends[1:], end_id).astype(np.uint32))
-                sizes.append(np.diff(ends) + 1)
+                coded = [encode(text.as_py() or "") for text in cut.column("text")]
+                ids.append(np.concatenate([x for own in coded for x in (own, end)]))
+                sizes.append(np.fromiter(map(len, coded), np.int64, len(coded)) + 1)
                 doc_ids.append(cut.column("doc_id"))
                 held += len(ids[-1])
                 if held >= SEGMENT_IDS:
