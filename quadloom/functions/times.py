@@ -33,6 +33,12 @@ def epoch_seconds(ts: Column | str) -> Column:
     return F.unix_timestamp(later) - _DAYS_BEFORE_1970 * 86_400
 
 
+def epoch_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970, from the year 0 on."""
+    fraction = F.extract(F.lit("SECOND"), _col(ts)) * 1_000_000
+    return epoch_seconds(ts) * 1_000_000 + F.pmod(fraction.cast("bigint"), F.lit(1_000_000))
+
+
 def from_epoch_seconds(seconds: Column | str) -> Column:
     """The instant of a count of seconds."""
     return F.timestamp_add("SECOND", _col(seconds), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))

@@ -9,12 +9,27 @@ planner place the result, by now one narrow row per key, anew.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType, TimestampNTZType
+
+from quadloom.functions.times import epoch_micros
+from quadloom.session import written_with
 
 # Most bytes of keys sent to all executors, and what a key takes beside its text.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_BYTES = 64
+# Bits of a filter of keys, 64 MiB, and how many there are for a key at least.
+FILTER_BITS = 1 << 29
+BITS_PER_KEY = 8
+# Fixed value: bits in one bitmap of the bitmap functions.
+_BITMAP = 32_768
+# An order key holds an instant, then a whole number in so many values.
+_NUMBERS = 10**20
+_BEFORE_ALL = -9 * 10**17
 
 
 def distinct_keys(df: DataFrame, *names: str) -> DataFrame:
@@ -46,3 +61,83 @@ def rows_with_keys(
     asked = distinct_keys(ids, key)
     size = asked.agg(F.sum(F.octet_length(key) + ROW_BYTES)).first()[0] or 0
     return df.join(F.broadcast(asked) if size <= most else asked, key, how)
+
+
+def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One DECIMAL(38,0) that sorts like the columns ``order``, nulls first; None where their types need more.
+
+    They are an instant, a whole number, or an instant and a whole number. A
+    hash aggregate keeps the greatest of such keys in place, which it cannot do
+    for structs.
+    """
+    types = [df.schema[c].dataType for c in order]
+    instants = [isinstance(t, TimestampNTZType) for t in types]
+    numbers = [isinstance(t, IntegralType) for t in types]
+    if (instants, numbers) not in (([True], [False]), ([False], [True]), ([True, False], [False, True])):
+        return None
+    wide = "decimal(38,0)"
+    instant = number = F.lit(0).cast(wide)
+    for name, is_instant in zip(order, instants):
+        if is_instant:
+            instant = F.coalesce(epoch_micros(name), F.lit(_BEFORE_ALL)).cast("decimal(18,0)") * F.lit(str(_NUMBERS)).cast("decimal(21,0)")
+        else:
+            above = F.col(name).cast("decimal(20,0)") + F.lit(str(2**63 + 1)).cast("decimal(20,0)")
+            number = F.coalesce(above, F.lit(0)).cast(wide)
+    return (instant.cast(wide) + number).cast(wide)
+
+
+def may_match(df: DataFrame, keys: DataFrame, on: Sequence[str], bits: int | None = None) -> DataFrame:
+    """``df`` without most rows whose key is not in ``keys``; none whose key is there is lost.
+
+    A hash of each key sets one of ``bits`` bits. The bitmaps, which are sent
+    to all executors, never take more than one bit for each, whatever the number of keys.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(bits or FILTER_BITS))
+    bitmap, bit = F.floor(place / _BITMAP).alias("_bitmap"), F.pmod(place, F.lit(_BITMAP)).alias("_bit")
+    made = keys.select(bitmap, bit).groupBy("_bitmap").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), F.pmod("_bit", F.lit(8)).cast("int")) == 1
+    met = df.select("*", bitmap, bit).join(F.broadcast(made), "_bitmap").filter(is_set)
+    return met.select(*df.columns)
+
+
+@dataclass
+class Picked:
+    """Narrow rows, written once, and what they measure."""
+
+    rows: DataFrame
+    count: int
+    bytes: int
+
+    def hinted(self) -> DataFrame:
+        """The rows, to be broadcast if they are no more than ``BROADCAST_BYTES``."""
+        return F.broadcast(self.rows) if self.bytes <= BROADCAST_BYTES else self.rows
+
+
+def picked(narrow: DataFrame, name: str = "picked") -> Picked:
+    texts = [F.octet_length(f.name) for f in narrow.schema if isinstance(f.dataType, StringType)]
+    size = sum((F.coalesce(F.sum(t), F.lit(0)) for t in texts), F.count(F.lit(1)) * ROW_BYTES)
+    rows, seen = written_with(narrow, name, bytes=size, count=F.count(F.lit(1)))
+    return Picked(rows, seen["count"], seen["bytes"])
+
+
+def fetch(df: DataFrame, found: Picked, on: Sequence[str]) -> DataFrame:
+    """Rows of a wide table with their row of ``found``, one for each key; of rows alike in ``on`` one.
+
+    A small ``found`` is broadcast, so that no row moves which isn't picked.
+    Of a larger one, up to a number of keys that ``FILTER_BITS`` bits tell
+    apart, a filter leaves little more than the rows picked to be joined by a
+    shuffle. Beyond that all rows are. Nulls in a key are equal.
+    """
+    more = [c for c in found.rows.columns if c not in on]
+    key = F.struct(*on).alias("_key")
+    keys = found.rows.select(key, *more)
+    wide = df.select("*", key)
+    if found.bytes <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    elif found.count * BITS_PER_KEY <= FILTER_BITS:
+        wide = may_match(wide, keys, ["_key"])
+    # rows alike in their key: by a hash of what they hold, so that the choice is always the same
+    alike = Window.partitionBy("_key").orderBy(F.xxhash64(*(F.col(c) for c in df.columns)))
+    met = wide.join(keys, "_key").withColumn("_alike", F.row_number().over(alike))
+    return met.filter("_alike = 1").select(*df.columns, *more)

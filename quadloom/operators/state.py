@@ -1,8 +1,9 @@
 """Changing the state of resources, whole tables of changes at a time.
 
 Changes are ordered by ``ORDER``; the newest row of an identifier stands. That
-choice is an aggregate, combined before the shuffle, so a resource which holds
-a large share of the changes costs one row per task.
+choice is an aggregate of narrow rows, combined before the shuffle, so a
+resource which holds a large share of the changes costs one narrow row per
+task. Wide rows are fetched for what was chosen.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions.times import truncate_to
-from quadloom.operators.keyed import rows_with_keys
+from quadloom.operators.keyed import fetch, order_key, picked, rows_with_keys
 from quadloom.vocab import DEFAULTS, LDP_BASIC_CONTAINER, Settings
 
 ORDER = ("created", "seq")
@@ -24,8 +25,32 @@ DELETE_OP = "delete"
 ADD_OP = "add"
 
 
-def newest(df: DataFrame, by: Sequence[str | Column], order: Sequence[str], oldest: bool = False) -> DataFrame:
-    """The newest (or oldest) row of each group of columns ``by``."""
+def newest(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], oldest: bool = False, among: DataFrame | None = None
+) -> DataFrame:
+    """The newest (or oldest) row of each group of columns ``by``; of rows alike in ``order`` one.
+
+    ``among`` limits the groups to its rows, each of which it holds once.
+
+    The choice is made on the columns ``by`` and one order key, combined before
+    the shuffle; the rows chosen are fetched after that (``keyed.fetch``). A
+    first job writes the choice. Where ``keyed.order_key`` has no key for the
+    types of ``order``, whole rows are compared instead.
+    """
+    key = order_key(df, order)
+    if key is None:
+        whole = newest_row(df, by, order, oldest)
+        return whole if among is None else whole.join(among, list(by), "left_semi")
+    ordered = df.withColumn("_order", key)
+    pick = F.min if oldest else F.max
+    narrow = ordered.select(*by, "_order")
+    narrow = narrow if among is None else narrow.join(among, list(by), "left_semi")
+    chosen = narrow.groupBy(*by).agg(pick("_order").alias("_order"))
+    return fetch(ordered, picked(chosen, "newest"), [*by, "_order"]).select(*df.columns)
+
+
+def newest_row(df: DataFrame, by: Sequence[str], order: Sequence[str], oldest: bool = False) -> DataFrame:
+    """The same in one pass over whole rows: for narrow ones, and for batches of a stream."""
     names = [c for c in df.columns if c not in by]
     pick = F.min_by if oldest else F.max_by
     row = pick(F.struct(*names), F.struct(*order)).alias("row")
@@ -33,8 +58,21 @@ def newest(df: DataFrame, by: Sequence[str | Column], order: Sequence[str], olde
 
 
 def upsert(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """Write full rows over the state; nulls in a change overwrite too."""
-    return newest(state.unionByName(changes), ["identifier"], ORDER)
+    """Write full rows over the state, which has one row per identifier; nulls in a change overwrite too.
+
+    The newest row by ``ORDER`` stands, a change before a state of its order.
+    Changes without an identifier are left out. Only narrow rows of the changes
+    are compared with the state: where these are few, no row of it moves.
+    """
+    new, old = order_key(changes, ORDER), order_key(state, ORDER)
+    ordered = changes.filter("identifier IS NOT NULL").withColumn("_order", new)
+    marks = picked(ordered.groupBy("identifier").agg(F.max("_order").alias("_order")), "upsert")
+    met = state.withColumn("_old", old).join(marks.hinted(), "identifier", "left")
+    newer = F.col("_old") > F.col("_order")
+    kept = met.filter(F.col("_order").isNull() | newer).select(*state.columns)
+    late = met.filter(newer).select("identifier")
+    stands = fetch(ordered, marks, ["identifier", "_order"]).select(*state.columns)
+    return kept.unionByName(stands.join(late, "identifier", "left_anti"))
 
 
 def delete(state: DataFrame, ids: DataFrame) -> DataFrame:
@@ -68,23 +106,35 @@ def accumulate(ops: DataFrame, attrs: Sequence[str]) -> DataFrame:
     """What a log of create, replace, touch and delete ops comes to, per identifier.
 
     ``ops`` has op, identifier, ts, seq and the columns ``attrs``; other ops
-    are ignored. The result keeps the newest write and deletion of each
-    identifier and the time of its newest write or touch, so that accumulated
-    logs can be combined.
+    are ignored. The result keeps the newest write (``written``, and ``wrote``,
+    its order key), the order key of the newest deletion and the time of the
+    newest write or touch, so that accumulated logs can be combined. These are
+    chosen on narrow rows; attributes are fetched for the writes that stand.
     """
+    at = order_key(ops, ("ts", "seq"))
     write = F.col("op").isin(*WRITE_OPS)
     remove = F.col("op") == DELETE_OP
     refresh = write | (F.col("op") == TOUCH_OP)
-    key = F.struct("ts", "seq")
-    return (
+    marks = (
         ops.filter(refresh | remove)
         .groupBy("identifier")
         .agg(
-            F.max_by(F.struct("ts", "seq", *attrs), F.when(write, key)).alias("written"),
-            F.max(F.when(remove, key)).alias("removed"),
+            F.max(F.when(write, at)).alias("wrote"),
+            F.max(F.when(remove, at)).alias("removed"),
             F.max(F.when(refresh, F.col("ts"))).alias("refreshed"),
         )
     )
+    wide = ops.filter(write).select("identifier", at.alias("wrote"), F.struct("ts", "seq", *attrs).alias("written"))
+    return _with_writes(marks, wide)
+
+
+def _with_writes(marks: DataFrame, writes: DataFrame) -> DataFrame:
+    """Marks (identifier, wrote, removed, refreshed) with ``written`` of the writes they name."""
+    found = picked(marks, "marks")
+    names = ["identifier", "wrote", "written", "removed", "refreshed"]
+    none = F.lit(None).cast(writes.schema["written"].dataType)
+    rest = found.rows.filter("wrote IS NULL").withColumn("written", none)
+    return fetch(writes, found, ["identifier", "wrote"]).select(*names).unionByName(rest.select(*names))
 
 
 def combine(*accumulated: DataFrame) -> DataFrame:
@@ -92,12 +142,8 @@ def combine(*accumulated: DataFrame) -> DataFrame:
     union = accumulated[0]
     for other in accumulated[1:]:
         union = union.unionByName(other)
-    written_key = F.when(F.col("written").isNotNull(), F.struct("written.ts", "written.seq"))
-    return union.groupBy("identifier").agg(
-        F.max_by("written", written_key).alias("written"),
-        F.max("removed").alias("removed"),
-        F.max("refreshed").alias("refreshed"),
-    )
+    marks = union.groupBy("identifier").agg(*(F.max(c).alias(c) for c in ("wrote", "removed", "refreshed")))
+    return _with_writes(marks, union.filter("wrote IS NOT NULL").select("identifier", "wrote", "written"))
 
 
 def live(accumulated: DataFrame, attrs: Sequence[str]) -> DataFrame:
@@ -106,8 +152,7 @@ def live(accumulated: DataFrame, attrs: Sequence[str]) -> DataFrame:
     A resource stands if it was written after its last deletion. A touch before
     that write never shows, and a touch of an absent resource does nothing.
     """
-    written_key = F.struct("written.ts", "written.seq")
-    stands = F.col("written").isNotNull() & (F.col("removed").isNull() | (written_key > F.col("removed")))
+    stands = F.col("wrote").isNotNull() & (F.col("removed").isNull() | (F.col("wrote") > F.col("removed")))
     return accumulated.filter(stands).select(
         "identifier",
         *[F.col(f"written.{a}").alias(a) for a in attrs],
@@ -118,7 +163,7 @@ def live(accumulated: DataFrame, attrs: Sequence[str]) -> DataFrame:
 
 
 def fold_ops(ops: DataFrame, attrs: Sequence[str]) -> DataFrame:
-    """Current state after a whole log of ops, in one shuffle.
+    """Current state after a whole log of ops.
 
     Order is in the data, so late rows, repeats and partitioning do not matter.
     """

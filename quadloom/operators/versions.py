@@ -15,6 +15,7 @@ from quadloom.operators import quads as q
 from quadloom.operators.keyed import distinct_keys
 from quadloom.operators.state import ORDER, newest
 from quadloom.schemas import MEMBERSHIP_COLUMNS, QUAD_COLUMNS
+from quadloom.session import written
 from quadloom.vocab import DEFAULTS, Settings
 
 
@@ -84,18 +85,20 @@ def version_rows(
     Of versions with the same second the last in ``order`` counts. A request
     for a resource without versions gets nulls.
 
-    Requests are matched on narrow rows first. Version rows are then cut down
-    to those chosen, and these go out to their requests by a key of its own, so
-    that a version many requests get can be divided among tasks.
+    Requests are matched on narrow rows, which are written once, and so is the
+    choice among versions of one second. Rows of the versions chosen are then
+    fetched, and go out to their requests by a key of their own, so that a
+    version many requests get can be divided among tasks.
     """
     asked, resolved = _resolve(versions, requests, time, asof.BUCKET_SECONDS, settings)
+    resolved = written(resolved, "resolved")
     got = asked.select("req", "identifier", "t").join(resolved, ["identifier", "t"], "left")
     by = ["identifier", "version_t"]
     wanted = resolved.filter(F.col("version_t").isNotNull()).select(*by).distinct()
     named = [F.col(c).alias(f"_{n}") for n, c in enumerate(columns)]
     ranked = [F.col(c).alias(f"_order{n}") for n, c in enumerate(order)]
     keyed = versions.select("identifier", times.epoch_seconds(time).alias("version_t"), *named, *ranked)
-    held = newest(keyed, by, [f"_order{n}" for n, _ in enumerate(order)]).join(wanted, by, "left_semi")
+    held = newest(keyed, by, [f"_order{n}" for n, _ in enumerate(order)], among=wanted)
     key = F.struct(*by).alias("k")
     rows = got.select("req", key).join(held.select(key, *[f"_{n}" for n, _ in enumerate(columns)]), "k", "left")
     return rows.select(

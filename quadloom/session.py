@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -35,3 +35,10 @@ def written(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     path = work_folder(df.sparkSession, name)
     df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_with(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``df`` written once to a work folder and read from there, and aggregates of it taken while it was written."""
+    seen = Observation()
+    columns = [column.alias(measure) for measure, column in measures.items()]
+    return written(df.observe(seen, *columns), name), seen.get

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quadloom.functions.times import format_instant
-from quadloom.operators.state import newest
+from quadloom.operators.state import newest_row
 
 FIELDS = ("id", "object", "agents", "types", "objectTypes", "created")
 MESSAGES = "id STRING, message STRING, reason STRING"
@@ -91,7 +91,7 @@ def dedup(notifications: DataFrame, out: str, checkpoint: str, buckets: int = 64
 
     def run(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        once = newest(rows.filter("id IS NOT NULL"), ["id"], ["created"], oldest=True)
+        once = newest_row(rows.filter("id IS NOT NULL"), ["id"], ["created"], oldest=True)
         placed = once.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
         try:
             seen = spark.read.schema("id STRING, batch BIGINT, bucket INT").parquet(out)
