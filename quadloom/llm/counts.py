@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quadloom.llm.common import Known, chunked, on_slices
+from quadloom.llm.common import SLICE_BYTES, Known, chunked, on_slices
 
 # How byte-level vocabularies cut texts before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+KEPT = 1_000_000  # words whose counts a worker keeps
 _WHITE = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
@@ -56,7 +57,7 @@ class Cutter:
 class Merges:
     """The merges of a byte-pair vocabulary by rank."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = KEPT):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         before, model = spec["pre_tokenizer"], spec["model"]
@@ -72,37 +73,44 @@ class Merges:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
         self.made = [vocab[a + b] for a, b in pairs]
-        self.of_word = Known(self.count_word)
+        self.of_word = Known(self.count_word, most)
 
     def count_word(self, word: str) -> int:
         if word in self.cutter.special:
             return 1
         ids = [self.first[b] for b in word.encode()]
         size = n = len(ids)
-        rank, made = self.rank, self.made
-        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        rank, made, push = self.rank.get, self.made, heapq.heappush
         # one number per pair: its rank, then its place
-        heap = [
-            r * size + i
-            for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))
-            if (r := rank.get(a << 32 | b)) is not None
-        ]
+        bits = size.bit_length()
+        places = (1 << bits) - 1
+        heap, a = [], ids[0]
+        for i in range(size - 1):
+            b = ids[i + 1]
+            if (r := rank(a << 32 | b)) is not None:
+                heap.append(r << bits | i)
+            a = b
+        if not heap:
+            return size
         heapq.heapify(heap)
+        ids.append(-1)  # what is merged away, or past the end, makes no pair
+        after, before = list(range(1, size + 1)), list(range(-1, size))
         while heap:
-            r, i = divmod(heapq.heappop(heap), size)
+            pair = heapq.heappop(heap)
+            i, r = pair & places, pair >> bits
             j = after[i]
-            if j == size or ids[i] < 0 or rank.get(ids[i] << 32 | ids[j]) != r:
-                continue  # one of the two has been merged away
-            ids[i], ids[j] = made[r], -1
+            if ids[i] < 0 or rank(ids[i] << 32 | ids[j]) != r:
+                continue
+            a = made[r]
+            ids[i], ids[j] = a, -1
             n -= 1
             after[i] = k = after[j]
-            if k < size:
-                before[k] = i
-                if (r := rank.get(ids[i] << 32 | ids[k])) is not None:
-                    heapq.heappush(heap, r * size + i)
+            before[k] = i
+            if (r := rank(a << 32 | ids[k])) is not None:
+                push(heap, r << bits | i)
             h = before[i]
-            if h >= 0 and (r := rank.get(ids[h] << 32 | ids[i])) is not None:
-                heapq.heappush(heap, r * size + h)
+            if h >= 0 and (r := rank(ids[h] << 32 | a)) is not None:
+                push(heap, r << bits | h)
         return n
 
     def count_chunk(self, chunk: str) -> int:
@@ -118,18 +126,29 @@ def byte_signs() -> list[str]:
 
 
 @cache
-def load(path: str) -> tuple[Merges, Known]:
-    merges = Merges(path)
-    return merges, Known(merges.count_chunk)
-
-
-def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", n_tokens: str = "n_tokens") -> DataFrame:
-    """``df`` with the number of tokens of its column ``text``."""
+def load(path: str, most: int = KEPT) -> tuple[Merges, Known]:
+    merges = Merges(path, most)
+    return merges, Known(merges.count_chunk, most)
+
+
+def count_tokens(
+    df: DataFrame,
+    vocabulary: str,
+    text: str = "text",
+    n_tokens: str = "n_tokens",
+    slice_bytes: int = 4 * SLICE_BYTES,
+    most: int = KEPT,
+) -> DataFrame:
+    """``df`` with the number of tokens of its column ``text``.
+
+    A worker takes up ``slice_bytes`` of text at a time and keeps the counts of
+    ``most`` words: more of both is faster and takes more memory.
+    """
     kept = [f for f in df.schema if f.name.lower() != n_tokens.lower()]
     names = [*(f.name for f in kept), n_tokens]
 
     def make():
-        merges, known = load(vocabulary)
+        merges, known = load(vocabulary, most)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             offsets, codes, chunks = chunked(batch.column(text), merges.cutter.joined, merges.cutter.cut)
@@ -140,7 +159,7 @@ def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", n_tokens: s
 
         return one
 
-    return on_slices(df, text, make, StructType([*kept, StructField(n_tokens, LongType())]))
+    return on_slices(df, text, make, StructType([*kept, StructField(n_tokens, LongType())]), slice_bytes)
 
 
 def over_limits(docs: DataFrame, vocabulary: str, limit: int = 1024) -> DataFrame:
