@@ -14,12 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.functions import keys
-from quadloom.operators.keyed import distinct_keys, per_key, rows_with_keys
+from quadloom.operators.keyed import distinct_keys, per_key, picked, rows_with_keys
+from quadloom.operators.state import newest
+from quadloom.session import written
 from quadloom.vocab import DEFAULT_CHUNK_SIZE, DEFAULTS, Settings
 
 SEGMENT_BYTES = 64 * 1024 * 1024
 # Most chunks joined in one segment, however small they are.
 _SEGMENT_CHUNKS = 65_536
+# Chunks of one row of a range request, and bytes that objects are cut into for many requests.
+_RANGE_RUN = 64
+_OBJECT_PIECE = 1 << 20
+_MOST = 2_147_483_647
 # Positions listed at once when a range of positions becomes rows.
 _RUN = 4_096
 # Digests joined per node of a digest tree.
@@ -78,16 +84,12 @@ def set_content(chunks: DataFrame, binaries: DataFrame, order: Sequence[str] = (
 
     A binary without content or a usable chunk size replaces nothing: what is
     there stays, and ``unset_content`` has it. Of several with one identifier
-    the newest by the columns ``order`` is written; without ``order`` they
-    must differ.
+    the newest by the columns ``order`` is written; of those alike in it, or
+    without ``order``, the one whose content and size have the least hash.
     """
     usable = binaries.filter(F.coalesce(_writable(), F.lit(False)))
-    if order:
-        at = [F.col(c).alias(f"_at{n}") for n, c in enumerate(order)]
-        last = usable.groupBy("identifier").agg(F.max(F.struct(*at)).alias("_last"))
-        same = F.struct(*at) == F.col("_last")
-        usable = usable.join(last, "identifier").filter(same).drop("_last")
-    return purge(chunks, usable).unionByName(chunk(usable))
+    last = newest(usable.select("identifier", "content", "chunkSize", *order), ["identifier"], order)
+    return purge(chunks, usable).unionByName(chunk(last))
 
 
 def unset_content(binaries: DataFrame) -> DataFrame:
@@ -168,17 +170,14 @@ def read_all(chunks: DataFrame, ids: DataFrame | None = None, segment_bytes: int
     return whole.withColumn("found", F.lit(True)).unionByName(absent)
 
 
-def _positions(df: DataFrame, first: str, last: str, name: str, also: Column | None = None) -> DataFrame:
+def _positions(df: DataFrame, first: str, last: str, name: str) -> DataFrame:
     """A row for each position from ``first`` to ``last``, none when last < first.
 
-    Listed in two steps, so that no array grows with the range. ``also`` is one
-    more position, below 0, that every row gets.
+    Listed in two steps, so that no array grows with the range.
     """
     runs = F.when(F.col(first) <= F.col(last), F.sequence(F.col(first), F.col(last), F.lit(_RUN)))
-    if also is not None:
-        runs = F.concat(F.array(also.cast("bigint")), F.coalesce(runs, F.array().cast("array<bigint>")))
     stepped = df.select("*", F.explode(runs).alias("_from"))
-    end = F.when(F.col("_from") < 0, F.col("_from")).otherwise(F.least(F.col("_from") + (_RUN - 1), F.col(last)))
+    end = F.least(F.col("_from") + (_RUN - 1), F.col(last))
     return stepped.select("*", F.explode(F.sequence(F.col("_from"), end)).alias(name)).drop("_from")
 
 
@@ -189,61 +188,70 @@ def read_range(chunks: DataFrame, ranges: DataFrame, segment_bytes: int = SEGMEN
     (req, identifier, segment, content, found): short past the end, empty when
     it starts past the end, null for a binary that is not there.
 
-    A request becomes one row per chunk it touches, clamped to the chunks there
-    are, and meets chunks by (identifier, chunkIndex). That spreads a large or
-    popular binary over all tasks, and each chunk is cut before it moves on.
-    Segments begin at chunk edges, counted from the first chunk touched.
+    Requests are clamped to the chunks there are, and are written once, a row
+    for each run of ``_RANGE_RUN`` chunks that they touch. Up to
+    ``BROADCAST_BYTES`` of them go to the chunks, which are cut where they lie:
+    only the bytes asked for move. More meet them by (identifier, run), which
+    spreads a large or popular binary over all tasks; a filter keeps chunks of
+    other runs from moving. Segments begin at chunk edges, counted from the
+    first chunk touched.
     """
     placed = ranges.join(layout(chunks), "identifier", "left")
-    c, start, end = F.col("chunkSize").cast("bigint"), F.col("from"), F.col("to")
+    c = F.col("chunkSize").cast("bigint")
     placed = placed.select(
         "req",
         "identifier",
-        start,
-        end,
+        "from",
+        "to",
         "chunkSize",
         F.col("chunkSize").isNotNull().alias("found"),
-        F.floor(start / c).alias("_first"),
-        F.least(F.floor(end / c), F.col("lastIndex").cast("bigint")).alias("_last"),
+        F.floor(F.col("from") / c).alias("_first"),
+        F.least(F.floor(F.col("to") / c), F.col("lastIndex").cast("bigint")).alias("_last"),
     )
-    # Every request also takes a position no chunk has, so that one without any
-    # chunk is answered too; there are many such positions, to keep them apart.
-    none = -1 - F.pmod("req", F.lit(_RUN))
-    touched = _positions(placed, "_first", "_last", "_index", also=none)
-    touched = touched.withColumn("chunkIndex", F.col("_index").cast("int"))
-    met = touched.join(chunks.select("identifier", "chunkIndex", "chunk"), ["identifier", "chunkIndex"], "left")
+    placed = written(placed, "ranges")
+    runs = placed.withColumn("_a", F.floor(F.col("_first") / _RANGE_RUN)).withColumn("_b", F.floor(F.col("_last") / _RANGE_RUN))
+    asked = picked(_positions(runs.filter("_first <= _last"), "_a", "_b", "_run").drop("_a", "_b"), "runs")
+    by = ["identifier", "_run"]
+    held = chunks.select("identifier", "chunkIndex", "chunk", F.floor(F.col("chunkIndex") / _RANGE_RUN).alias("_run"))
+    met = asked.pruned(held, by).join(asked.hinted(), by).filter(F.col("chunkIndex").between(F.col("_first"), F.col("_last")))
     base = F.col("chunkIndex").cast("bigint") * F.col("chunkSize")
-    skip = F.greatest(start - base, F.lit(0))
-    take = F.least(end - base, F.col("chunkSize").cast("bigint") - 1) - skip + 1
-    cut = F.col("chunk").substr((skip + 1).cast("int"), take.cast("int"))
-    inside = F.col("chunk").isNotNull() & (F.octet_length("chunk") > skip)
+    skip = F.greatest(F.col("from") - base, F.lit(0))
+    take = F.least(F.col("to") - base, F.col("chunkSize").cast("bigint") - 1) - skip + 1
     segment = F.floor((F.col("chunkIndex") - F.col("_first")) / _per_segment(segment_bytes))
-    pieces = met.filter(inside | (F.col("chunkIndex") < 0)).select(
+    pieces = met.filter(F.octet_length("chunk") > skip).select(
         "req",
         "identifier",
         "found",
-        F.when(inside, segment).otherwise(0).cast("int").alias("segment"),
+        segment.cast("int").alias("segment"),
         "chunkIndex",
-        F.when(inside, cut).when(F.col("found"), F.lit(b"")).alias("piece"),
+        F.col("chunk").substr((skip + 1).cast("int"), take.cast("int")).alias("piece"),
     )
-    segments = _segments(pieces, ["req", "identifier", "found"])
+    # Every request has a piece of no chunk, so that one without any is answered too.
+    nothing = placed.select(
+        "req", "identifier", "found", F.lit(0).alias("segment"), F.lit(-1).alias("chunkIndex"), F.when(F.col("found"), F.lit(b"")).alias("piece")
+    )
+    segments = _segments(pieces.unionByName(nothing), ["req", "identifier", "found"])
     return segments.select("req", "identifier", "segment", "content", "found")
 
 
 def read_range_object(objects: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The same on unchunked (identifier, content): (req, identifier, content, found)."""
-    length = F.col("to") - F.col("from") + 1
-    whole = objects.select("identifier", "content", F.lit(True).alias("found"))
-    joined = ranges.join(whole, "identifier", "left")
-    start, count = (F.least(x, F.lit(2_147_483_647)).cast("int") for x in (F.col("from") + 1, length))
+    """The same on unchunked (identifier, content): (req, identifier, content, found).
+
+    Up to ``BROADCAST_BYTES`` of requests go to the objects. More are answered
+    from objects cut into pieces of ``_OBJECT_PIECE`` bytes, as a table of
+    chunks is, so that no more of a popular or large object moves than is asked for.
+    """
+    asked = picked(ranges.select("req", "identifier", "from", "to"), "ranges")
+    if not asked.small:
+        pieces = chunk(objects.select("identifier", "content", F.lit(_OBJECT_PIECE).alias("chunkSize")))
+        return read_range(pieces, asked.rows, _MOST).drop("segment")
+    start, count = (F.least(x, F.lit(_MOST)).cast("int") for x in (F.col("from") + 1, F.col("to") - F.col("from") + 1))
     past = F.col("from") >= F.octet_length("content")
     content = F.when(past, F.lit(b"")).otherwise(F.col("content").substr(start, count))
-    return joined.select(
-        "req",
-        "identifier",
-        F.when(F.col("found"), content).alias("content"),
-        F.coalesce("found", F.lit(False)).alias("found"),
-    )
+    met = objects.select("identifier", "content").join(F.broadcast(asked.rows), "identifier")
+    answers = met.select("req", "identifier", content.alias("content"), F.lit(True).alias("found"))
+    absent = asked.rows.join(rows_with_keys(objects.select("identifier"), asked.rows), "identifier", "left_anti")
+    return answers.unionByName(absent.select("req", "identifier", F.lit(None).cast("binary").alias("content"), F.lit(False).alias("found")))
 
 
 def audit(chunks: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
     types = [df.schema[c].dataType for c in order]
     instants = [isinstance(t, TimestampNTZType) for t in types]
     numbers = [isinstance(t, IntegralType) for t in types]
-    if (instants, numbers) not in (([True], [False]), ([False], [True]), ([True, False], [False, True])):
+    if (instants, numbers) not in (([], []), ([True], [False]), ([False], [True]), ([True, False], [False, True])):
         return None
     wide = "decimal(38,0)"
     instant = number = F.lit(0).cast(wide)
@@ -109,9 +109,17 @@ class Picked:
     count: int
     bytes: int
 
+    @property
+    def small(self) -> bool:
+        """Whether the rows may be sent to all executors."""
+        return self.bytes <= BROADCAST_BYTES
+
     def hinted(self) -> DataFrame:
-        """The rows, to be broadcast if they are no more than ``BROADCAST_BYTES``."""
-        return F.broadcast(self.rows) if self.bytes <= BROADCAST_BYTES else self.rows
+        return F.broadcast(self.rows) if self.small else self.rows
+
+    def pruned(self, df: DataFrame, on: Sequence[str]) -> DataFrame:
+        """``df`` ahead of a shuffle to meet the rows: filtered, if there are not too many keys for that."""
+        return df if self.small or self.count * BITS_PER_KEY > FILTER_BITS else may_match(df, self.rows, on)
 
 
 def picked(narrow: DataFrame, name: str = "picked") -> Picked:
@@ -131,12 +139,8 @@ def fetch(df: DataFrame, found: Picked, on: Sequence[str]) -> DataFrame:
     """
     more = [c for c in found.rows.columns if c not in on]
     key = F.struct(*on).alias("_key")
-    keys = found.rows.select(key, *more)
-    wide = df.select("*", key)
-    if found.bytes <= BROADCAST_BYTES:
-        keys = F.broadcast(keys)
-    elif found.count * BITS_PER_KEY <= FILTER_BITS:
-        wide = may_match(wide, keys, ["_key"])
+    wide = found.pruned(df, on).select("*", key)
+    keys = found.hinted().select(key, *more)
     # rows alike in their key: by a hash of what they hold, so that the choice is always the same
     alike = Window.partitionBy("_key").orderBy(F.xxhash64(*(F.col(c) for c in df.columns)))
     met = wide.join(keys, "_key").withColumn("_alike", F.row_number().over(alike))

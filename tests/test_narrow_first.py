@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quadloom.operators import keyed, state, versions
+from quadloom.operators import binaries, keyed, state, versions
 
 T = datetime(2024, 5, 1)
 WIDE = "identifier STRING, modified TIMESTAMP_NTZ, created TIMESTAMP_NTZ, seq BIGINT, interactionModel STRING, quads STRING"
@@ -124,6 +124,37 @@ def test_a_log_folds_on_narrow_rows(spark, tmp_path, way):
     assert way == "shuffle" or size < IDS * EACH * LENGTH / 4
 
 
+def test_ranges_move_only_what_they_ask_for(spark, tmp_path, way):
+    """Binaries of 100 kB, of which 2 kB are asked for; absent ones and starts past the end are answered."""
+    content = F.encode(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2_500)), lambda i: F.sha1(F.concat_ws("/", "id", i))), ""), "UTF-8")
+    whole = spark.range(0, 60, 1, 3).select(F.concat(F.lit("b"), "id").alias("identifier"), content.alias("content"), F.lit(100).alias("chunkSize"))
+    binaries.chunk(whole).write.parquet(str(tmp_path / "chunks"))
+    whole.write.parquet(str(tmp_path / "whole"))
+    chunks, whole = spark.read.parquet(str(tmp_path / "chunks")), spark.read.parquet(str(tmp_path / "whole"))
+    spans = [(n, f"b{n % 60 if n % 3 else 0}", 50_000 + 777 * n % 40_000, 50_000 + 777 * n % 40_000 + 1_999) for n in range(120)]
+    spans += [(500, "none", 0, 9), (501, "b1", 100_000, 100_010), (502, "b1", 99_990, 10**12), (503, "b1", 7, 6)]
+    asked = spark.createDataFrame(spans, "req BIGINT, identifier STRING, `from` BIGINT, `to` BIGINT")
+    held = {r.identifier: bytes(r.content) for r in whole.collect()}
+    expected = {n: held[i][a : b + 1] if i in held else None for n, i, a, b in spans}
+    size, plan, rows = shuffled_bytes(spark, lambda: binaries.read_range(chunks, asked))
+    assert {r.req: r.content if r.content is None else bytes(r.content) for r in rows} == expected
+    assert {r.req for r in rows if not r.found} == {500}
+    assert size < (600_000 if way == "broadcast" else 1_500_000 if way == "filter" else 9_000_000)
+    size, plan, rows = shuffled_bytes(spark, lambda: binaries.read_range_object(whole, asked))
+    assert {r.req: r.content if r.content is None else bytes(r.content) for r in rows} == expected
+    assert size < (600_000 if way == "broadcast" else 9_000_000)
+
+
+def test_a_binary_given_twice_is_written_once(spark, way):
+    schema = "identifier STRING, content BINARY, chunkSize INT, at INT"
+    none = binaries.chunk(spark.createDataFrame([], schema))
+    twice = spark.createDataFrame([("a", b"12345", 4, 1), ("a", b"abc", 4, 2), ("a", b"abc", 4, 2), ("b", b"", 4, 1)], schema)
+    for order, contents in (([], {b"12345", b"abc"}), (["at"], {b"abc"})):
+        made = binaries.read_all(binaries.set_content(none, twice, order)).collect()
+        assert len(made) == 2
+        assert next(bytes(r.content) for r in made if r.identifier == "a") in contents
+
+
 def test_ties_nulls_and_repeated_rows(spark, way):
     rows = [
         ("a", T, None, None, "m", "1"), ("a", T, None, 5, "m", "2"),
