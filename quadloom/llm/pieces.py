@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from quadloom.llm.common import Known, chunked, fresh, lists, on_slices
+from quadloom.llm.common import SLICE_BYTES, Known, chunked, fresh, lists, on_slices
 
 SPACE = "▁"
+KEPT = 200_000  # words, and pairs of tokens, that a worker keeps
 
 
 class Table:
@@ -90,21 +91,21 @@ class Table:
 
 
 class Pieces(Table):
-    """A vocabulary and the encoder over it."""
+    """A vocabulary and the encoder over it. Tokens are numbers of ``names``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pairs: int = KEPT):
         super().__init__(path)
+        self.singles = {p for p in self.id if self.merged(p) == [p]}
+        self.names = sorted(self.singles)
+        number = {p: i for i, p in enumerate(self.names)}
+        self.ids_of = [self.id[p] for p in self.names]
+        self.sizes = [len(p) for p in self.names]
+        self.shorter = [next((number[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in number), -1) for p in self.names]
         self.automaton = ahocorasick.Automaton()
-        self.shorter: dict[str, str | None] = {}
-        reached = [p for p in self.id if self.merged(p) == [p]]
-        for piece in reached:
-            self.automaton.add_word(piece, (len(piece) - 1, piece))
+        for piece, i in number.items():
+            self.automaton.add_word(piece, (len(piece) - 1, i))
         self.automaton.make_automaton()
-        known = set(reached)
-        for piece in reached:
-            self.shorter[piece] = next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in known), None)
-        self.singles = known
-        self.fits = Known(self.compatible)
+        self.fits = Known(lambda pair: self.compatible(self.names[pair >> 32], self.names[pair & 0xFFFFFFFF]), pairs)
 
     def merged(self, text: str) -> list[str]:
         """``text`` by merging: the best-scored pair first, the leftmost of equals."""
@@ -133,39 +134,42 @@ class Pieces(Table):
                 offer(left[i])
         return [p for p in parts if p is not None]
 
-    def compatible(self, pair: tuple[str, str]) -> bool:
-        return self.merged(pair[0] + pair[1]) == [pair[0], pair[1]]
+    def compatible(self, first: str, second: str) -> bool:
+        return self.merged(first + second) == [first, second]
 
     def backtracked(self, text: str) -> list[str]:
         """The tokens of ``text``; every character of it is a token."""
+        return [self.names[t] for t in self._tokens(text)]
+
+    def _tokens(self, text: str) -> list[int]:
         # of the matches with one start, the last to end is the longest
-        longest = {end - n: piece for end, (n, piece) in self.automaton.iter(text)}
-        size, fits, shorter = len(text), self.fits, self.shorter
+        longest = {end - n: token for end, (n, token) in self.automaton.iter(text)}
+        size, fits, shorter, sizes = len(text), self.fits, self.shorter, self.sizes
         failed = bytearray(size // 8 + 1)
-        tokens: list[str] = []
-        at, token, before = 0, longest[0], None
+        tokens: list[int] = []
+        at, token, before = 0, longest[0], -1
         while True:
-            while token is not None:
-                end = at + len(token)
-                if not failed[end >> 3] >> (end & 7) & 1 and (before is None or fits[before, token]):
+            while token >= 0:
+                end = at + sizes[token]
+                if not failed[end >> 3] >> (end & 7) & 1 and (before < 0 or fits[before << 32 | token]):
                     break
                 token = shorter[token]
-            if token is not None:
-                if end == size:
-                    return [*tokens, token]
+            if token >= 0:
                 tokens.append(token)
+                if end == size:
+                    return tokens
                 at, before, token = end, token, longest[end]
                 continue
             # nothing fits here after this token: no encoding has a border at this place
             failed[at >> 3] |= 1 << (at & 7)
-            at -= len(before)
+            at -= sizes[before]
             token = shorter[tokens.pop()]
-            before = tokens[-1] if tokens else None
+            before = tokens[-1] if tokens else -1
 
     def ids(self, chunk: str) -> bytes:
         """The ids of a chunk, in which spaces are written as the model's, as bytes of int32."""
         if self.singles.issuperset(chunk):
-            return array("i", map(self.id.__getitem__, self.backtracked(chunk))).tobytes()
+            return array("i", map(self.ids_of.__getitem__, self._tokens(chunk))).tobytes()
         found: list[int] = []
         run = ""
         for c in chunk:
@@ -173,11 +177,11 @@ class Pieces(Table):
                 run += c
                 continue
             if run:
-                found += [self.id[p] for p in self.backtracked(run)]
+                found += map(self.ids_of.__getitem__, self._tokens(run))
                 run = ""
             found += [self.byte[b] for b in c.encode()]
         if run:
-            found += [self.id[p] for p in self.backtracked(run)]
+            found += map(self.ids_of.__getitem__, self._tokens(run))
         return array("i", found).tobytes()
 
 
@@ -199,9 +203,9 @@ def replaced(raw: bytes) -> str:
 
 
 @cache
-def load(path: str) -> tuple[Pieces, Known]:
-    pieces = Pieces(path)
-    return pieces, Known(lambda chunk: pieces.ids(chunk.replace(" ", SPACE)))
+def load(path: str, most: int = KEPT) -> tuple[Pieces, Known]:
+    pieces = Pieces(path, most)
+    return pieces, Known(lambda chunk: pieces.ids(chunk.replace(" ", SPACE)), most)
 
 
 @cache
@@ -213,24 +217,31 @@ def _split(text: str) -> list[str]:
     return re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))
 
 
-def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the array of token ids of its column ``text``."""
+def encode(
+    df: DataFrame, model: str, text: str = "text", ids: str = "ids", slice_bytes: int = SLICE_BYTES, kept: int = KEPT
+) -> DataFrame:
+    """``df`` with the array of token ids of its column ``text``.
+
+    A worker takes up ``slice_bytes`` of text at a time and keeps the results
+    of ``kept`` words and pairs of tokens: more of both is faster and takes
+    more memory.
+    """
 
     def make():
-        _, known = load(model)
+        _, known = load(model, kept)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             # spaces next to spaces, and the sign that stands for them, may share a token
             offsets, codes, chunks = chunked(batch.column(text), rf"^ |  |{SPACE}", _split)
             values = [known[c if c[:1] in (" ", SPACE) else f" {c}"] for c in chunks]
-            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() != ids.lower()]
-            return pa.RecordBatch.from_arrays([*kept, lists(values, codes, offsets)], names=names)
+            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() != ids.lower()]
+            return pa.RecordBatch.from_arrays([*own, lists(values, codes, offsets)], names=names)
 
         return one
 
-    kept = [f for f in df.schema if f.name.lower() != ids.lower()]
-    names = [*(f.name for f in kept), ids]
-    return on_slices(df, text, make, StructType([*kept, StructField(ids, ArrayType(IntegerType()))]))
+    fields = [f for f in df.schema if f.name.lower() != ids.lower()]
+    names = [*(f.name for f in fields), ids]
+    return on_slices(df, text, make, StructType([*fields, StructField(ids, ArrayType(IntegerType()))]), slice_bytes)
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -254,7 +265,8 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """The digest of encoding and decoding: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ids, back = fresh(docs, "ids", "decoded")
-    coded = decode(encode(docs.select("doc_id", "text"), model, ids=ids).drop("text"), model, ids=ids, text=back)
+    coded = encode(docs.select("doc_id", "text"), model, ids=ids, kept=2 * KEPT)
+    coded = decode(coded.drop("text"), model, ids=ids, text=back)
     return coded.select(
         "doc_id",
         F.size(ids).cast("long").alias("n_tokens"),
