@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadloom.operators.keyed import per_key
+from quadloom.operators.keyed import per_key, rows_with_keys
 
 # About twelve days, so at most about a million narrow rows are sorted together.
 BUCKET_SECONDS = 1_048_576
@@ -57,3 +57,25 @@ def resolve(versions: DataFrame, requests: DataFrame, bucket_seconds: int = BUCK
     return asked.join(summary, ["identifier", "bucket"]).select(
         "identifier", "t", F.coalesce("same_bucket", "before", "earliest").alias("version_t")
     )
+
+
+def span_of(t: Column | str, bucket_seconds: int = BUCKET_SECONDS) -> Column:
+    """The span of time that a second lies in; with the identifier, what stored versions are bucketed by."""
+    return F.floor((F.col(t) if isinstance(t, str) else t) / bucket_seconds)
+
+
+def reduced(versions: DataFrame, requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """The (identifier, t) of stored versions that ``resolve`` can need for ``requests``.
+
+    ``versions`` has identifier, span and t, ``requests`` identifier and t.
+    These are all versions of spans in which something is asked, and the first
+    and last of every other span of the same identifiers. A table saved in
+    buckets by (identifier, span) is read as it lies; no row of it moves
+    before it is picked.
+    """
+    asked = requests.select("identifier", span_of("t", bucket_seconds).alias("span")).distinct()
+    near = rows_with_keys(versions.select("identifier", "span", "t"), asked, keys=("identifier", "span"))
+    ends = versions.groupBy("identifier", "span").agg(F.min("t").alias("low"), F.max("t").alias("high"))
+    ends = rows_with_keys(ends, asked)
+    far = ends.select("identifier", F.explode(F.array("low", "high")).alias("t"))
+    return near.select("identifier", "t").unionByName(far)

@@ -49,18 +49,24 @@ def per_key(df: DataFrame, names: list[str], **aggregates: Column) -> DataFrame:
 
 
 def rows_with_keys(
-    df: DataFrame, ids: DataFrame, how: str = "left_semi", key: str = "identifier", broadcast_bytes: int | None = None
+    df: DataFrame,
+    ids: DataFrame,
+    how: str = "left_semi",
+    key: str = "identifier",
+    broadcast_bytes: int | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """``df`` with the keys in ``ids`` only, or without them (``how="left_anti"``).
 
-    A first job measures the distinct keys. Those of no more than
-    ``broadcast_bytes`` (by default ``BROADCAST_BYTES``) are broadcast, so that
-    no row of a wide table moves; more are joined by a shuffle.
+    A first job writes the distinct keys (``key``, or the columns ``keys``),
+    which measures them. Those of no more than ``broadcast_bytes`` (by default
+    ``BROADCAST_BYTES``) are broadcast, so that no row of a wide table moves;
+    more are joined by a shuffle.
     """
+    names = list(keys) or [key]
+    asked = picked(distinct_keys(ids, *names), "keys")
     most = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    asked = distinct_keys(ids, key)
-    size = asked.agg(F.sum(F.octet_length(key) + ROW_BYTES)).first()[0] or 0
-    return df.join(F.broadcast(asked) if size <= most else asked, key, how)
+    return df.join(F.broadcast(asked.rows) if asked.bytes <= most else asked.rows, names, how)
 
 
 def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:

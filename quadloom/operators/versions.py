@@ -51,6 +51,26 @@ def version_at(
     )
 
 
+def version_at_stored(
+    stored: DataFrame, requests: DataFrame, bucket_seconds: int = asof.BUCKET_SECONDS, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """``version_at`` on versions saved with ``with_span`` in buckets by (identifier, span).
+
+    Only versions of spans in which something is asked, and two of each other
+    span of the same resources, leave the place where they are stored.
+    """
+    held = stored.filter(F.lit(settings.versioning))
+    asked = requests.withColumn("t", times.epoch_seconds("at"))
+    near = asof.reduced(held, asked, bucket_seconds).withColumn("time", times.from_epoch_seconds("t"))
+    return version_at(near, requests, "time", bucket_seconds, settings)
+
+
+def with_span(versions: DataFrame, time: str = "modified", bucket_seconds: int = asof.BUCKET_SECONDS) -> DataFrame:
+    """``versions`` with their second ``t`` and the ``span`` it lies in, ready to be saved in buckets by (identifier, span)."""
+    timed = versions.withColumn("t", times.epoch_seconds(time))
+    return timed.withColumn("span", asof.span_of("t", bucket_seconds))
+
+
 def _resolve(versions, requests, time, bucket_seconds, settings) -> tuple[DataFrame, DataFrame]:
     """Requests with their second ``t``, and the version of each (identifier, t)."""
     held = versions.filter(F.lit(settings.versioning))

@@ -115,6 +115,16 @@ def assemble_ids(spark, sf_dir):
     return resources.assemble(fx.resources(spark, sf_dir), fx.immutable(spark, sf_dir), fx.ids(spark, sf_dir))
 
 
+@query
+def assemble_stored(spark, sf_dir):
+    """The same from tables saved in buckets by identifier."""
+    saved = [
+        tables.save_bucketed(df, work_folder(spark, "stored"), BUCKETS)
+        for df in (fx.resources(spark, sf_dir), fx.immutable(spark, sf_dir))
+    ]
+    return resources.assemble(*saved, fx.ids(spark, sf_dir))
+
+
 @query
 def assemble_ids_index(spark, sf_dir):
     """Containers and absent resources, with a saved containment index."""
@@ -261,6 +271,15 @@ def version_at(spark, sf_dir):
     return got.select("req", "identifier", "version", "found")
 
 
+@query
+def version_at_stored(spark, sf_dir):
+    """The same on versions saved in buckets by resource and span of time."""
+    timed = versions.with_span(fx.versions(spark, sf_dir)).select("identifier", "span", "t", "quads")
+    saved = tables.save_bucketed(timed, work_folder(spark, "stored"), BUCKETS, by=("identifier", "span"), order=["t"])
+    got = versions.version_at_stored(saved, fx.requests(spark, sf_dir))
+    return got.select("req", "identifier", "version", "found")
+
+
 def _decoded(objects_df):
     return versions.decode_meta(objects_df, KEYED).filter(F.col("version").isNotNull())
 

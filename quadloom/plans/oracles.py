@@ -565,3 +565,5 @@ ORACLES: dict[str, str] = {
 
 # The same quads, whichever store the versions come from.
 ORACLES["version_quads_objects"] = ORACLES["version_quads"]
+ORACLES["assemble_stored"] = ORACLES["assemble_ids"]
+ORACLES["version_at_stored"] = ORACLES["version_at"]
