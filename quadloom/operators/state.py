@@ -81,11 +81,14 @@ def delete(state: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def touch(state: DataFrame, touches: DataFrame) -> DataFrame:
-    """Set ``modified`` to the latest ``ts`` of a touch; absent resources stay absent."""
+    """Set ``modified`` to the latest ``ts`` of a touch; absent resources stay absent.
+
+    As in ``fold_ops``, a touch before the last write or touch changes nothing.
+    """
     last = touches.groupBy("identifier").agg(F.max("ts").alias("touched"))
     return (
         state.join(last, "identifier", "left")
-        .withColumn("modified", F.coalesce("touched", "modified"))
+        .withColumn("modified", F.greatest("touched", "modified"))
         .select(*state.columns)
     )
 

@@ -233,6 +233,5 @@ def decode_meta(objects: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def membership(versions: DataFrame) -> DataFrame:
-    """The four membership IRIs of versions that have any of them."""
-    some = F.coalesce(*MEMBERSHIP_COLUMNS).isNotNull()
-    return versions.filter(some).select("identifier", "modified", *MEMBERSHIP_COLUMNS)
+    """The four membership IRIs of every version, null where it has none."""
+    return versions.select("identifier", "modified", *MEMBERSHIP_COLUMNS)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadloom import schemas
 from quadloom.functions import keys, times
 from quadloom.functions import nquads as nq
 from quadloom.operators import binaries, quads, resources, state, versions
@@ -18,6 +19,8 @@ from quadloom.plans import fixtures as fx
 from quadloom.session import work_folder
 from quadloom.sources import objects, tables
 from quadloom.sources.oplog import OpLog
+from quadloom.sources.store import BucketStore
+from quadloom.sources.views import ContainmentView
 from quadloom.streaming import notifications as notes
 from quadloom.streaming import ops as stream_ops_job
 from quadloom.streaming.sources import stream_table
@@ -577,22 +580,71 @@ def table_lookup(spark, sf_dir):
     return found.select("identifier", "interactionModel", "container", "modified")
 
 
+def _changed_store(spark, sf_dir) -> tuple[BucketStore, list[Callable[[], int]]]:
+    """Resources at rest, and two batches of writes and one of deletions to apply to them."""
+    moved, changed, gone = fx.resource_changes(spark, sf_dir)
+    store = BucketStore(spark, work_folder(spark, "store"), schemas.RESOURCES, BUCKETS)
+    store.replace(fx.resources(spark, sf_dir))
+    return store, [lambda: store.upsert(moved), lambda: store.upsert(changed), lambda: store.delete(gone)]
+
+
+@query
+def store_state(spark, sf_dir):
+    """Resources at rest after batches of writes and deletions."""
+    store, batches = _changed_store(spark, sf_dir)
+    for batch in batches:
+        batch()
+    return store.read().select("identifier", "interactionModel", "container", "modified")
+
+
+@query
+def store_snapshot(spark, sf_dir):
+    """What a reader has that opened the store before the deletions."""
+    store, batches = _changed_store(spark, sf_dir)
+    batches[0]()
+    batches[1]()
+    opened = store.read()
+    batches[2]()
+    return opened.select("identifier", "interactionModel", "container", "modified")
+
+
+@query
+def store_purge(spark, sf_dir):
+    """Chunks at rest after the binaries of toxic documents are purged."""
+    toxic = fx.table(spark, sf_dir, "labels").filter("toxic = 1")
+    gone = toxic.select(F.concat(F.lit("s3://binaries/doc/"), F.col("doc_id").cast("string")).alias("identifier"))
+    store = BucketStore(spark, work_folder(spark, "store"), schemas.CHUNKS, BUCKETS, order=["chunkIndex"])
+    store.replace(fx.chunks(spark, sf_dir))
+    store.delete(gone)
+    return store.read().select("identifier", "chunkIndex", F.octet_length("chunk").alias("bytes"))
+
+
+@query
+def containment_view(spark, sf_dir):
+    """Children by container, kept beside the store; one batch is followed late."""
+    store, batches = _changed_store(spark, sf_dir)
+    view = ContainmentView(store, work_folder(spark, "view"))
+    view.refresh()
+    batches[0]()
+    view.refresh()
+    batches[1]()
+    batches[2]()
+    view.refresh()
+    return view.read()
+
+
 @query
 def chunk_files(spark, sf_dir):
-    """Documents written as text files by source, chunked without being read whole; what the chunks hold."""
+    """Documents written as text files by source and lot, in order of their ids; every chunk of every file."""
     path = work_folder(spark, "files")
-    fx.table(spark, sf_dir, "documents").select("source", "text").write.partitionBy("source").text(path)
+    lots = fx.table(spark, sf_dir, "documents").withColumn("lot", F.col("doc_id") % 8).repartition("source", "lot")
+    lots.sortWithinPartitions("source", "lot", "doc_id").select("source", "lot", "text").write.partitionBy("source", "lot").text(path)
     made = objects.chunk_files(spark, path, 64 * fx.CHUNK)
-    hexed = F.regexp_replace(F.hex("chunk"), "(..)", "$1 ")
-
-    def counted(byte: str):
-        """How many bytes of a chunk are ``byte``."""
-        return F.sum((F.length(hexed) - F.length(F.replace(hexed, F.lit(f"{byte} "), F.lit("")))) / 3).cast("bigint")
-
-    data = made.filter(F.col("identifier").endswith(".txt"))
-    return data.groupBy(F.regexp_extract("identifier", "source=([^/]*)/", 1).alias("source")).agg(
-        F.sum(F.octet_length("chunk")).alias("bytes"), counted("0A").alias("line_ends"), counted("65").alias("letters_e")
-    )
+    return made.filter(F.col("identifier").endswith(".txt")).select(
+        F.regexp_extract("identifier", "source=([^/]*)/", 1).alias("source"),
+        F.regexp_extract("identifier", "lot=([^/]*)/", 1).cast("bigint").alias("lot"),
+        "size", "chunkSize", "chunkIndex", F.md5("chunk").alias("md5"),
+    )
 
 
 BATCHES = 5

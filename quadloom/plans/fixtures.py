@@ -137,6 +137,22 @@ def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def resource_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Two batches of rows written over resources, and identifiers then deleted.
+
+    A third of the customers move to the root a day after they were made; a
+    day later a fifth are where they were, and no containers any more. Deleted
+    are toxic documents and a seventh of the customers.
+    """
+    tree, key = resources(spark, sf_dir), F.col("seq")
+    customers = tree.filter(F.col("identifier").startswith("data:/customer/"))
+    moved = customers.filter(key % 3 == 0).withColumn("container", F.lit("data:/"))
+    changed = customers.filter(key % 5 == 0).withColumn("interactionModel", F.lit(v.LDP_RDF_SOURCE))
+    days = [df.withColumn("created", F.timestamp_add("DAY", F.lit(n), "created")) for n, df in ((1, moved), (2, changed))]
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select(_id("doc", "doc_id").alias("identifier"))
+    return days[0], days[1], customers.filter(key % 7 == 0).select("identifier").unionByName(toxic)
+
+
 def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order and document, and for every part an id that does not exist."""
     return _union(

@@ -185,6 +185,19 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                WHEN 3 THEN 's3://' || split_part(url, '://', 2) ELSE url END AS iri FROM pages""",
     ),
     "fx_toxic": ((), "SELECT doc_id FROM labels WHERE toxic = 1"),
+    "fx_changed": (
+        ("fx_resources",),
+        f"""
+        SELECT identifier, CASE WHEN k % 5 = 0 THEN '{v.LDP_RDF_SOURCE}' ELSE interactionModel END AS interactionModel,
+               CASE WHEN k % 3 = 0 AND k % 5 <> 0 THEN 'data:/' ELSE container END AS container, modified, k
+        FROM (SELECT *, CASE WHEN identifier LIKE 'data:/customer/%' THEN CAST(split_part(identifier, '/', 3) AS BIGINT) END AS k FROM fx_resources)""",
+    ),
+    "fx_left": (
+        ("fx_changed", "fx_toxic"),
+        """
+        SELECT identifier, interactionModel, container, modified FROM fx_changed
+        WHERE coalesce(k % 7 <> 0, true) AND identifier NOT IN (SELECT 'data:/doc/' || doc_id FROM fx_toxic)""",
+    ),
 }
 
 
@@ -334,7 +347,7 @@ ORACLES: dict[str, str] = {
         "fx_toxic",
     ),
     "touch_state": _with(
-        """SELECT r.identifier, r.interactionModel, coalesce(t.ts, r.modified) AS modified FROM fx_resources r
+        """SELECT r.identifier, r.interactionModel, greatest(t.ts, r.modified) AS modified FROM fx_resources r
         LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS ts FROM lineitem GROUP BY l_orderkey) t ON r.identifier = 'data:/order/' || t.l_orderkey""",
         "fx_resources",
     ),
@@ -422,7 +435,7 @@ ORACLES: dict[str, str] = {
         "fx_versions",
     ),
     "membership_projection": _with(
-        f"SELECT identifier, modified, {_MEMBERSHIP} FROM fx_versions WHERE user_id % 5 = 0", "fx_versions"
+        f"SELECT identifier, modified, {_MEMBERSHIP} FROM fx_versions", "fx_versions"
     ),
     "versioning_off": _with(
         "SELECT req, identifier, CAST(NULL AS TIMESTAMP) AS version, false AS found FROM fx_requests", "fx_requests"
@@ -455,10 +468,11 @@ ORACLES: dict[str, str] = {
     ),
     "object_digest": _with("SELECT identifier, CAST(n AS BIGINT) AS bytes, md5(text) AS md5 FROM fx_binaries", "fx_binaries"),
     "chunk_files": """
-        SELECT source, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes,
-               CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS line_ends,
-               CAST(sum(length(text) - length(replace(text, 'e', ''))) AS BIGINT) AS letters_e
-        FROM documents GROUP BY source""",
+        WITH files AS (SELECT source, doc_id % 8 AS lot, hex(encode(string_agg(text || chr(10), '' ORDER BY doc_id))) AS h
+                       FROM documents GROUP BY ALL)
+        SELECT source, CAST(lot AS BIGINT) AS lot, CAST(length(h) // 2 AS BIGINT) AS size, CAST(65536 AS INTEGER) AS chunkSize,
+               CAST(i AS INTEGER) AS chunkIndex, md5(unhex(substr(h, 131072 * i + 1, 131072))) AS md5
+        FROM (SELECT *, unnest(range(0, length(h) // 131072 + 1)) AS i FROM files)""",
     "read_all": _with(
         """SELECT i.identifier, CAST(CASE WHEN b.h IS NOT NULL THEN 0 END AS INTEGER) AS segment, b.h AS content, b.h IS NOT NULL AS found
         FROM fx_binary_ids i LEFT JOIN fx_binaries b ON i.identifier = b.identifier""",
@@ -567,3 +581,7 @@ ORACLES: dict[str, str] = {
 ORACLES["version_quads_objects"] = ORACLES["version_quads"]
 ORACLES["assemble_stored"] = ORACLES["assemble_ids"]
 ORACLES["version_at_stored"] = ORACLES["version_at"]
+ORACLES["store_purge"] = ORACLES["purge_binary"]
+ORACLES["store_state"] = _with("SELECT * FROM fx_left", "fx_left")
+ORACLES["store_snapshot"] = _with("SELECT identifier, interactionModel, container, modified FROM fx_changed", "fx_changed")
+ORACLES["containment_view"] = _with("SELECT container, identifier, interactionModel FROM fx_left WHERE container IS NOT NULL", "fx_left")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadloom.operators.quads import bad_lines, quads_of_lines
+from quadloom.operators.state import newest
 from quadloom.schemas import CHUNKS
 from quadloom.vocab import DEFAULT_CHUNK_SIZE
 
@@ -112,14 +113,17 @@ def write_objects(objects: DataFrame, path: str) -> None:
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
-    """The table of objects with the last put of each key only.
+    """The table of objects with the last put of each key only: one row a key.
 
-    The choice is made on keys and ``put``; contents are joined to it. Puts of
-    one key must differ in ``put``.
+    The choice is made on keys and ``put``; contents are fetched for it. Of
+    several puts alike in ``put`` the one stays whose content has the least hash.
     """
-    table = spark.read.parquet(path)
-    last = table.groupBy("key").agg(F.max("put").alias("put"))
-    return table.join(last, ["key", "put"], "left_semi")
+    return newest(spark.read.parquet(path), ["key"], ["put"])
+
+
+def compact_objects(spark: SparkSession, path: str, compacted: str) -> None:
+    """Write what ``read_objects`` gives to another path, ready to be appended to: old puts are left behind."""
+    read_objects(spark, path).write.parquet(compacted)
 
 
 def nquads_lines(spark: SparkSession, root: str) -> DataFrame:

@@ -78,6 +78,15 @@ def test_a_second_put_replaces(spark, rows, tmp_path):
     assert rows(objects.read_objects(spark, str(tmp_path / "o")), "key", "content") == [("k", b"2")]
 
 
+def test_puts_alike_in_order_leave_one_row(spark, rows, tmp_path):
+    df = spark.createDataFrame([("k", b"1", None, 5), ("k", b"2", None, 5), ("k", b"2", None, 5), ("j", b"", "t", 1)], schemas.BINARY_OBJECTS + ", put INT")
+    objects.write_objects(df.repartition(2), str(tmp_path / "o"))
+    once = rows(objects.read_objects(spark, str(tmp_path / "o")))
+    assert [r[0] for r in once] == ["j", "k"]
+    objects.compact_objects(spark, str(tmp_path / "o"), str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 2 and rows(objects.read_objects(spark, str(tmp_path / "c"))) == once
+
+
 def test_files_of_unknown_stores_fail_before_any_task(spark, tmp_path):
     with pytest.raises(ValueError, match="open_file"):
         objects.chunk_files(spark, "odd://store/x", 4)
