@@ -48,6 +48,13 @@ def version_key_stem(identifier: Column | str, settings: Settings = DEFAULTS) ->
     return F.concat(F.lit(settings.version_key_prefix), path, F.lit(VERSION_MARK))
 
 
+def stem_of_version_key(key: Column | str) -> Column:
+    """The part of a key up to its first version mark and with it; null when it has none."""
+    key = _col(key)
+    at = F.instr(key, VERSION_MARK)
+    return F.when(at > 0, F.substring(key, F.lit(1), at + (len(VERSION_MARK) - 1)))
+
+
 def version_key(identifier: Column | str, time: Column | str, settings: Settings = DEFAULTS) -> Column:
     return F.concat(version_key_stem(identifier, settings), epoch_seconds(time).cast("string"))
 

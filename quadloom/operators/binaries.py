@@ -79,6 +79,20 @@ def _writable() -> Column:
     return F.col("identifier").isNotNull() & F.col("content").isNotNull() & (F.col("chunkSize") >= 1)
 
 
+def with_digests(chunks: DataFrame) -> DataFrame:
+    """Chunks with ``bytes`` and ``md5`` of each, made once when they are written.
+
+    ``audit``, ``missing_chunks`` and ``digest`` use these columns where there
+    are any, and then read no content.
+    """
+    size = F.octet_length("chunk").cast("int")
+    return chunks.withColumn("bytes", size).withColumn("md5", F.md5("chunk"))
+
+
+def _bytes(chunks: DataFrame) -> Column:
+    return F.col("bytes") if "bytes" in chunks.columns else F.octet_length("chunk")
+
+
 def set_content(chunks: DataFrame, binaries: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Replace all chunks of the binaries given, old tails included.
 
@@ -285,7 +299,7 @@ def _current_writes(chunks: DataFrame) -> DataFrame:
             "chunkIndex",
             end.alias("last"),
             inside.alias("inside"),
-            (inside & (F.octet_length("chunk") != due)).alias("wrong"),
+            (inside & (_bytes(chunks) != due)).alias("wrong"),
         )
         .groupBy("identifier", "size", "chunkSize", "last")
         .agg(
@@ -332,8 +346,8 @@ def digest(chunks: DataFrame) -> DataFrame:
     leaves = chunks.select(
         "identifier",
         F.col("chunkIndex").cast("bigint").alias("position"),
-        F.octet_length("chunk").cast("bigint").alias("bytes"),
-        F.md5("chunk").alias("digest"),
+        _bytes(chunks).cast("bigint").alias("bytes"),
+        (F.col("md5") if "md5" in chunks.columns else F.md5("chunk")).alias("digest"),
     )
     # An index is an INT: three levels of 4,096 cover all there can be.
     for _ in range(3):

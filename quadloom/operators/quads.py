@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quadloom.functions import nquads as nq
@@ -70,6 +70,34 @@ def quarantine(df: DataFrame, id_col="identifier", text_col="quads") -> DataFram
     return bad_lines(_lines_of_texts(df, id_col, text_col))
 
 
+def split(
+    df: DataFrame, id_col="identifier", text_col="quads", most_bad: float | None = None
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """``ingest`` and ``quarantine`` of one parse: quads, bad lines, and how many lines were good and bad.
+
+    Texts are read and parsed once; both outputs are written, and the counts
+    taken meanwhile. ``most_bad`` is a gate: where more than that share of the
+    lines is bad, this fails.
+    """
+    parsed = _line_terms(_lines_of_texts(df, id_col, text_col))
+    resolved = F.when(nq.has_code_escape("line"), F.transform("terms", nq.resolve_code_escapes))
+    t = resolved.otherwise(F.col("terms"))
+    good = F.size("terms") == 4
+    rows = parsed.select("identifier", F.when(~good, F.col("line")).alias("line"), F.when(good, t).alias("terms"), good.alias("good"))
+    seen = Observation()
+    counted = rows.observe(seen, F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    both = written(counted, "parsed", "good")
+    counts = dict(seen.get)
+    lines = counts["good"] + counts["bad"]
+    if most_bad is not None and counts["bad"] > most_bad * lines:
+        raise ValueError(f"{counts['bad']} of {lines} lines are no quads")
+    terms = F.col("terms")
+    found = both.filter("good").select(
+        "identifier", F.nullif(terms[3], F.lit("")).alias("graph"), terms[0].alias("subject"), terms[1].alias("predicate"), terms[2].alias("object")
+    )
+    return distinct_keys(found, *QUAD_COLUMNS), both.filter("not good").select("identifier", "line"), counts
+
+
 def emit(
     quads: DataFrame,
     ids: DataFrame | None = None,

@@ -16,6 +16,7 @@ from quadloom.operators.keyed import distinct_keys
 from quadloom.operators.state import ORDER, newest
 from quadloom.schemas import MEMBERSHIP_COLUMNS, QUAD_COLUMNS
 from quadloom.session import written
+from quadloom.sources.tables import rows_of_keys
 from quadloom.vocab import DEFAULTS, Settings
 
 
@@ -164,6 +165,25 @@ def catalog(objects: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return distinct_keys(listed.filter(F.col("version").isNotNull()), "identifier", "version")
 
 
+def by_stem(objects: DataFrame) -> DataFrame:
+    """``objects`` with the ``stem`` that the keys of all versions of a resource share, to be stored by that.
+
+    ``tables.write_table(by_stem(objects), path, buckets, key="stem", order=["key"])``
+    lays the versions of a resource together, sorted.
+    """
+    return objects.withColumn("stem", keys.stem_of_version_key("key"))
+
+
+def catalog_of(stored: DataFrame, ids: DataFrame, buckets: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """``catalog`` for the identifiers asked for, from objects stored by their stem.
+
+    Only folders of the stems asked for are opened, and only keys with one of
+    these are parsed.
+    """
+    stems = ids.select(keys.version_key_stem("identifier", settings).alias("stem")).filter("stem IS NOT NULL")
+    return catalog(rows_of_keys(stored, stems, buckets, key="stem"), settings)
+
+
 def catalog_rejects(objects: DataFrame) -> DataFrame:
     """Keys that carry a version mark but no usable version."""
     marked = keys.version_text_of_key("key").isNotNull()

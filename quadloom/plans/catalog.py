@@ -60,6 +60,14 @@ def nquads_quarantine(spark, sf_dir):
     return quads.quarantine(fx.nquads(spark, sf_dir))
 
 
+@query
+def nquads_split(spark, sf_dir):
+    """Quads and bad lines of one parse."""
+    good, bad, _ = quads.split(fx.nquads(spark, sf_dir))
+    none = [F.lit(None).cast("string").alias(c) for c in ("graph", "subject", "predicate", "object")]
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(bad.select("identifier", "line", *none))
+
+
 @query
 def nquads_emit(spark, sf_dir):
     return quads.emit(fx.quads(spark, sf_dir), fx.ids(spark, sf_dir))
@@ -352,6 +360,17 @@ def version_catalog(spark, sf_dir):
     return versions.catalog(fx.version_objects(spark, sf_dir), KEYED)
 
 
+@query
+def version_catalog_ids(spark, sf_dir):
+    """Versions of one user per nation, and of others who never were, from objects stored by stem."""
+    path = work_folder(spark, "stems")
+    tables.write_table(versions.by_stem(fx.version_objects(spark, sf_dir)), path, BUCKETS, key="stem", order=["key"])
+    number = F.explode(F.array(F.col("n_nationkey"), F.col("n_nationkey") + 1_000_000_000))
+    asked = fx.table(spark, sf_dir, "nation").select(number.alias("k"))
+    asked = asked.select(F.concat(F.lit("data:/user/"), F.col("k").cast("string")).alias("identifier"))
+    return versions.catalog_of(tables.read_table(spark, path), asked, BUCKETS, KEYED)
+
+
 @query
 def version_catalog_rejects(spark, sf_dir):
     return versions.catalog_rejects(fx.version_objects(spark, sf_dir))
@@ -494,6 +513,22 @@ def missing_chunks(spark, sf_dir):
     return binaries.missing_chunks(fx.damaged_chunks(spark, sf_dir))
 
 
+@query
+def chunk_audit_stored(spark, sf_dir):
+    """The audit from lengths stored with the chunks: no content is read."""
+    path = work_folder(spark, "chunks")
+    binaries.with_digests(fx.damaged_chunks(spark, sf_dir)).write.parquet(path)
+    return binaries.audit(spark.read.parquet(path))
+
+
+@query
+def binary_digest_stored(spark, sf_dir):
+    """Digests of binaries from digests stored with their chunks."""
+    path = work_folder(spark, "chunks")
+    binaries.with_digests(fx.chunks(spark, sf_dir)).write.parquet(path)
+    return binaries.digest(spark.read.parquet(path))
+
+
 @query
 def object_put(spark, sf_dir):
     """Documents put as objects, some of them twice, and read from the table of objects."""

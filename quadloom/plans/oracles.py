@@ -585,3 +585,10 @@ ORACLES["store_purge"] = ORACLES["purge_binary"]
 ORACLES["store_state"] = _with("SELECT * FROM fx_left", "fx_left")
 ORACLES["store_snapshot"] = _with("SELECT identifier, interactionModel, container, modified FROM fx_changed", "fx_changed")
 ORACLES["containment_view"] = _with("SELECT container, identifier, interactionModel FROM fx_left WHERE container IS NOT NULL", "fx_left")
+ORACLES["chunk_audit_stored"] = ORACLES["chunk_audit"]
+ORACLES["binary_digest_stored"] = ORACLES["binary_digest"]
+ORACLES["version_catalog_ids"] = f"""
+        SELECT * FROM ({ORACLES["version_catalog"]}) WHERE identifier IN (SELECT 'data:/user/' || n_nationkey FROM nation)"""
+ORACLES["nquads_split"] = f"""
+        SELECT identifier, graph, subject, predicate, object, CAST(NULL AS VARCHAR) AS line FROM ({ORACLES["nquads_ingest"]})
+        UNION ALL SELECT identifier, NULL, NULL, NULL, NULL, line FROM ({ORACLES["nquads_quarantine"]})"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quadloom import schemas
 from quadloom import vocab as v
-from quadloom.operators import keyed, resources, versions
+from quadloom.operators import binaries, keyed, resources, versions
 from quadloom.sources import tables
 
 T = datetime(2024, 1, 1)
@@ -92,3 +92,30 @@ def test_a_scan_for_a_few_keys_skips_parts_of_files(spark, tmp_path):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert ("In(identifier" in plan or "identifier IN" in plan) == listed
         assert found.count() == asked
+
+
+def test_versions_are_listed_by_stem(spark, rows, tmp_path):
+    keyed_ = v.Settings(version_key_prefix="m/")
+    objects = spark.createDataFrame(
+        [(f"m/r{i}?version={n}",) for i in range(50) for n in range(20)] + [("m/r1?version",), ("m/r1?version=x",), ("m/r1/sub?version=3",), ("m/other",)],
+        "key STRING",
+    )
+    path = str(tmp_path / "o")
+    tables.write_table(versions.by_stem(objects), path, 16, key="stem", order=["key"])
+    stored = tables.read_table(spark, path)
+    asked = spark.createDataFrame([("data:/r1",), ("data:/r7",), ("data:/none",), (None,)], "identifier STRING")
+    got = versions.catalog_of(stored, asked, 16, keyed_)
+    wanted = versions.catalog(objects, keyed_).join(asked, "identifier", "left_semi")
+    assert rows(got) == rows(wanted) and got.count() == 40
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "In(stem" in plan
+
+
+def test_stored_lengths_and_digests_spare_the_content(spark, rows, tmp_path):
+    whole = spark.createDataFrame([("a", b"x" * 37, 4), ("b", b"", 4)], "identifier STRING, content BINARY, chunkSize INT")
+    binaries.with_digests(binaries.chunk(whole)).write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    for make in (binaries.audit, binaries.digest, binaries.missing_chunks):
+        assert rows(make(stored)) == rows(make(binaries.chunk(whole)))
+        plan = make(stored)._jdf.queryExecution().executedPlan().toString()
+        assert not any("chunk:binary" in x for x in plan.split("ReadSchema: ")[1:])

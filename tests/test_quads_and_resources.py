@@ -2,6 +2,7 @@ import random
 import re
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from quadloom import schemas
@@ -176,3 +177,14 @@ def test_any_text_survives_as_a_literal(spark):
     assert plain == dict(sent)
     again = quads.ingest(quads.emit(read).select("identifier", "quads"))
     assert again.exceptAll(read).count() == 0 and again.count() == len(sent)
+
+
+def test_one_parse_gives_quads_bad_lines_and_counts(spark, rows):
+    df = spark.createDataFrame([("a", "<s> <p> <o> .\n# c\nbad\n<s> <p> <o> ."), ("b", None), ("c", "<s> <p> \"\\u0041\" <g> .\nworse")], "identifier STRING, quads STRING")
+    good, bad, counts = quads.split(df)
+    assert rows(good) == rows(quads.ingest(df)) and rows(bad) == rows(quads.quarantine(df))
+    assert counts == {"good": 3, "bad": 2}
+    with pytest.raises(ValueError, match="2 of 5"):
+        quads.split(df, most_bad=0.3)
+    quads.split(df, most_bad=0.4)
+    assert quads.split(df.filter("identifier = 'b'"))[2] == {"good": 0, "bad": 0}
