@@ -737,6 +737,6 @@ def stream_dedup(spark, sf_dir):
     sent = fx.notifications_of(fx.table(spark, sf_dir, "events"))
     sent.repartition(BATCHES).write.parquet(path)
     stream = stream_table(spark, path, files_per_trigger=1)
-    notes.dedup(stream, f"{folder}/out", f"{folder}/checkpoint", BUCKETS).awaitTermination()
+    notes.dedup(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     read = spark.read.parquet(f"{folder}/out")
     return read.select("id", "object", _joined("agents"), _joined("types"), _joined("objectTypes"), "created")

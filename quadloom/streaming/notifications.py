@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quadloom.functions.times import format_instant
-from quadloom.operators.state import newest_row
 
 FIELDS = ("id", "object", "agents", "types", "objectTypes", "created")
 MESSAGES = "id STRING, message STRING, reason STRING"
@@ -79,29 +77,34 @@ def emit(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def dedup(notifications: DataFrame, out: str, checkpoint: str, buckets: int = 64, **trigger) -> StreamingQuery:
+# Kept on disk beside the task, and as changes in the checkpoint, so neither memory nor a batch's reading grows with all ids.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def dedup(notifications: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Write each notification once to ``out``, however late or far apart its copies come.
 
-    A batch keeps the earliest created of each id in it, less the ids that
-    earlier batches wrote. Those are read from ``out`` itself, the column of
-    ids alone and only from the hashed buckets that the batch has ids in. A
-    batch run again replaces what it wrote before and looks at earlier ones
-    only. Null ids are kept as they come.
+    Ids that were seen are state of the stream, in RocksDB below ``checkpoint``:
+    a batch looks up its own ids and reads nothing of earlier batches. Exact
+    over all ids; of copies in one batch any one is kept. A batch run again
+    replaces what it wrote before. Null ids are kept as they come.
     """
 
-    def run(rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
-        once = newest_row(rows.filter("id IS NOT NULL"), ["id"], ["created"], oldest=True)
-        placed = once.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
-        try:
-            seen = spark.read.schema("id STRING, batch BIGINT, bucket INT").parquet(out)
-        except AnalysisException:  # nothing is written yet
-            seen = None
-        if seen is not None:
-            placed = placed.join(seen.filter(F.col("batch") < batch).select("bucket", "id"), ["bucket", "id"], "left_anti")
-        nulls = rows.filter("id IS NULL").withColumn("bucket", F.lit(-1))
-        all_rows = placed.select(*nulls.columns).unionByName(nulls)
-        all_rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/batch={batch}")
-
-    writer = notifications.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    once = notifications.filter("id IS NOT NULL").dropDuplicates(["id"])
+    rows = once.unionByName(notifications.filter("id IS NULL"))
+    writer = rows.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    conf = notifications.sparkSession.conf
+    before = {name: conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        conf.set(name, value)
+    try:  # a query takes the settings that it is started with
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)

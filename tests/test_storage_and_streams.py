@@ -178,11 +178,33 @@ def test_dedup_keeps_one_of_each_id_in_any_order_of_time(spark, tmp_path):
     sent = [note(n % 41, T + timedelta(days=(n * 7) % 41)) for n in range(123)] + [note(0, T, id=None)] * 2
     out = str(tmp_path / "out")
     stream = notes_stream(spark, tmp_path, sent, files=5)
-    notifications.dedup(stream, out, str(tmp_path / "c"), buckets=4).awaitTermination()
+    notifications.dedup(stream, out, str(tmp_path / "c")).awaitTermination()
     got = [r.id for r in spark.read.parquet(out).collect()]
     assert sorted(x for x in got if x) == sorted({f"x{n}" for n in range(41)}) and got.count(None) == 2
 
 
+def test_a_batch_of_the_dedup_reads_nothing_of_earlier_ones(spark, tmp_path):
+    """Twenty batches of new ids, started twice: state grows, what a batch reads does not; then copies of all come."""
+    out, source, checkpoint = str(tmp_path / "out"), tmp_path / "in", str(tmp_path / "c")
+    read = []
+    for start in (0, 10):
+        for n in range(start, start + 10):
+            rows = [note(n * 50 + i, T) for i in range(50)]
+            spark.createDataFrame(rows, schemas.NOTIFICATIONS).coalesce(1).write.mode("append").parquet(str(source))
+        stream = stream_table(spark, str(source), files_per_trigger=1)
+        query = notifications.dedup(stream, out, checkpoint)
+        query.awaitTermination()
+        read += [(p.numInputRows, p.stateOperators[0].numRowsTotal) for p in query.recentProgress if p.numInputRows]
+    assert [s for _, s in read] == [50 * (n + 1) for n in range(20)]
+    assert len({rows for rows, _ in read}) == 1
+    assert spark.read.parquet(out).count() == 1_000
+    again = spark.createDataFrame([note(i, T) for i in range(1_000)], schemas.NOTIFICATIONS)
+    again.coalesce(1).write.mode("append").parquet(str(source))
+    notifications.dedup(stream_table(spark, str(source), files_per_trigger=1), out, checkpoint).awaitTermination()
+    assert spark.read.parquet(out).count() == 1_000
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
 def test_work_folder_is_shared_and_new(spark, monkeypatch):
     a, b = session.work_folder(spark, "x"), session.work_folder(spark, "x")
     assert a != b
