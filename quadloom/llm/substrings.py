@@ -22,8 +22,8 @@ share one: about one position in thirty stands for all of them. Three steps:
 Whole copies of a text are found first, by a digest, and need none of this.
 
 Memory of a task: a slice of texts, or the distinct surroundings (at most 160
-bytes each) of one 40-byte string of at most ``HOT`` positions. Of strings with
-more, each window is a surrounding of its own, dealt by a hash of its bytes. Shuffled are the texts, once, since the
+bytes each) of one 40-byte string of at most ``HOT`` positions (beyond 20 GB of text,
+a millionth of its bytes). Of strings with more, each window is a surrounding of its own, dealt by a hash of its bytes. Shuffled are the texts, once, since the
 three uses share one exchange, and some 30 bytes per position.
 
 Defined cases: a null text is empty; a null doc_id comes before all others;
@@ -35,7 +35,7 @@ shorter than ``LENGTH`` bytes stay whole; an empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from quadloom.llm.common import slices
+from quadloom.llm.common import Batches, in_arrow, slices
 from quadloom.llm.suffixes import Hashes, order
 
 LENGTH = 100
@@ -57,7 +57,8 @@ _KNOWN, _STANDS = 64, 128
 _INDEX = np.uint64((1 << 24) - 1)
 _WINDOWS = 400_000  # windows that are sorted at a time
 _ROWS = 4000  # surroundings after which sorting starts at the next group
-HOT = 20_000  # positions of a key above which its windows are dealt one by one
+HOT = 20_000  # positions of a key above which its windows are dealt one by one, or more of them:
+_MOST_HOT = 1_000_000  # so many keys that at most so many are hot, 8 bytes each to all executors
 _PIECE = 200_000  # windows whose bytes are taken up at a time
 
 
@@ -356,6 +357,21 @@ def _characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, in
     return found
 
 
+def _once(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` on the first row of each document alone: all rows of one are in one partition, repeated or not."""
+
+    def first(batches: Batches) -> Batches:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            known = [p in seen or seen.add(p) for p in zip(batch.column("d").to_pylist(), batch.column("o").to_pylist(), strict=True)]
+            if not any(known):
+                yield batch
+            elif not all(known):
+                yield batch.filter(pa.array([not k for k in known]))
+
+    return lambda batches: run(first(batches))
+
+
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """text, row (the other columns of ``docs``) and spans (begin, finish) of bytes to remove, of each row.
 
@@ -374,17 +390,18 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     first = copies.groupBy("digest").agg(F.min("doc").alias("doc")).select("doc.d", "doc.o").distinct()
     # an inner join: a semi join would be moved below the exchange, and need one of its own
     unique = texts.join(first.hint("shuffle_hash"), ["d", "o"])
-    places = unique.mapInArrow(_positions, "key long, d long, o long, place long")
+    places = in_arrow(unique, _once(_positions), "key long, d long, o long, place long")
     # what is known already goes anywhere, so that no task gets all rows of a hot key
     anywhere = F.xxhash64("d", "place")
     dealt = F.when(F.col("place").bitwiseAND(F.lit(_KNOWN)) > 0, anywhere).otherwise(F.col("key"))
-    again = places.repartition(n, dealt).sortWithinPartitions("key").mapInArrow(_repeated, places.schema)
-    # few keys; both uses of the positions take one exchange
-    hot = again.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("key").alias("k"))
+    again = in_arrow(places.repartition(n, dealt).sortWithinPartitions("key"), _repeated, places.schema)
+    # at most _MOST_HOT keys, as a position takes a byte at least; both uses of the positions take one exchange
+    most = max(HOT, (docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // _MOST_HOT)
+    hot = again.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.col("key").alias("k"))
     marked = again.join(F.broadcast(hot), F.col("key") == F.col("k"), "left").withColumn("hot", F.col("k").isNotNull())
     asked = marked.groupBy("d", "o").agg(F.collect_list(F.struct("key", "place", "hot")).alias("asked"))
     wanted = texts.join(asked.hint("shuffle_hash"), ["d", "o"])
-    around = wanted.mapInArrow(_surroundings, "key long, d long, o long, place long, around binary")
+    around = in_arrow(wanted, _once(_surroundings), "key long, d long, o long, place long, around binary")
     by = ["key", "around", "d", "o", "place"]
     dealt = F.when(F.col("around").isNull(), anywhere).otherwise(F.col("key"))
     spans = around.repartition(n, dealt).sortWithinPartitions(*by).mapInArrow(
@@ -441,7 +458,7 @@ def removed(docs: DataFrame) -> DataFrame:
 
     fields = [StructField("changed", StringType()), StructField("stays", BooleanType())]
     schema = StructType([rows.schema["row"], *fields])
-    found = rows.mapInArrow(run, schema)
+    found = in_arrow(rows, run, schema)
     text = F.when(~F.col("row.none"), F.col("changed"))
     others = F.col("row.others")
     return found.where("stays").select(*(text.alias(c) if c == "text" else others[c].alias(c) for c in docs.columns))
@@ -465,4 +482,4 @@ def digests(docs: DataFrame) -> DataFrame:
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return in_arrow(rows, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
