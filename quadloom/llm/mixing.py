@@ -3,8 +3,10 @@
 Tokens (words) of documents are summed by cell: source, language and topic.
 Cell weights are raked in turns to the target shares of each of the three, and
 the ratio of a cell's raked weight to its tokens, scaled so that a ``rate`` of
-all tokens is expected and cut at one, is the probability with which each
-document of the cell is taken. A hash of doc_id decides, so the sample is the
+all tokens is expected, is the probability with which each document of the cell
+is taken. It is one at most: each turn of the raking ends with that cap, so
+that shares and caps are met together where they can be; ``margins`` reports
+shares reached beside those asked for. A hash of doc_id decides, so the sample is the
 same in every run and on any cluster. Only DataFrame functions are used.
 
 Without given targets the shares are those of the tokens, flattened by an
@@ -13,7 +15,8 @@ a target get weight 0.
 
 Cells are few rows against documents; totals are joined to them by key, and the
 probabilities of cells to documents, so no cell, source or language is ever one
-task's work. Each turn is written to the shared folder.
+task's work; up to ``FEW_CELLS`` cells are raked in one task. Every fourth turn
+is written to the shared folder.
 
 Defined cases: null source or language is a value of its own; a null or empty
 text has no tokens and, as its cell's, a probability of the cell, or 0 if the
@@ -25,7 +28,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadloom.llm.common import checkpointed, fresh
@@ -34,6 +37,7 @@ DIMENSIONS = ("source", "lang", "topic")
 WORD = r"[^\x20\x09-\x0D]+"
 SIGN = r"[#*$%&|<>]"
 NONE = "(none)"
+FEW_CELLS = 100_000
 
 
 @dataclass(frozen=True)
@@ -41,7 +45,7 @@ class Plan:
     """``targets``: shares by dimension and value; for other dimensions ``flatten`` has the exponent."""
 
     rate: float = 0.8
-    turns: int = 10
+    turns: int = 16
     scalings: int = 8
     flatten: dict[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 0.9})
     targets: dict[str, dict[str, float]] = field(default_factory=dict)
@@ -82,22 +86,33 @@ def _shares(cells: DataFrame, dimension: str, plan: Plan) -> DataFrame:
     return checkpointed(sums.select(F.col(dimension).alias("value"), (F.col("share") / total).alias("share")))
 
 
-def rake(cells: DataFrame, plan: Plan) -> DataFrame:
-    """``cells`` with ``weight``, raked from their tokens to the target shares."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    shares = {d: _shares(cells, d, plan) for d in DIMENSIONS}
+def rake(cells: DataFrame, plan: Plan, capped: bool = False) -> DataFrame:
+    """``cells`` with ``weight``, raked from their tokens to the target shares.
+
+    ``capped``: a turn ends with the caps, so that no weight asks for more than
+    all tokens of its cell at the plan's rate. Where shares and caps can be had
+    together, the turns lead to both; elsewhere caps come first.
+    """
+    total, n = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0.0)), F.count("*")).first()
+
+    def together(df: DataFrame) -> DataFrame:
+        """Few cells, as there mostly are, in one task, which spares them a shuffle at each step."""
+        return df.coalesce(1) if n <= FEW_CELLS else df
+
     now = cells.withColumn("weight", F.col("tokens"))
-    for _ in range(plan.turns):
+    for d in DIMENSIONS:
+        shares = _shares(cells, d, plan).select(F.col("value").alias(f"of_{d}"), F.col("share").alias(f"share_{d}"))
+        now = now.join(shares, F.col(d) == F.col(f"of_{d}")).drop(f"of_{d}")
+    now = together(now)
+    for turn in range(plan.turns):
         for d in DIMENSIONS:
-            sums = now.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("own"))
-            factors = sums.join(shares[d], "value").select(
-                "value", F.when(F.col("own") > 0, F.col("share") * total / F.col("own")).otherwise(0.0).alias("factor")
-            )
-            now = now.join(factors, F.col(d) == F.col("value")).select(
-                *DIMENSIONS, "tokens", (F.col("weight") * F.col("factor")).alias("weight")
-            )
-        now = checkpointed(now)
-    return now
+            own = F.sum("weight").over(Window.partitionBy(d))
+            now = now.withColumn("weight", F.when(own > 0, F.col("weight") * F.col(f"share_{d}") * total / own).otherwise(0.0))
+        if capped:
+            now = now.withColumn("weight", F.least("weight", F.col("tokens") / plan.rate))
+        if turn % 4 == 3:
+            now = together(checkpointed(now))
+    return checkpointed(now.select(*DIMENSIONS, "tokens", "weight"))
 
 
 def calibrated(cells: DataFrame, plan: Plan) -> DataFrame:
@@ -115,6 +130,27 @@ def calibrated(cells: DataFrame, plan: Plan) -> DataFrame:
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * scale))
 
 
+def margins(found: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """dimension, value, own, target and reached: shares of tokens in the input, as asked for, and as expected of a sample.
+
+    ``found`` is what ``sampled`` gives. Where target and reached differ, the
+    target can't be had at the plan's rate.
+    """
+    cells = checkpointed(
+        found.groupBy(*DIMENSIONS).agg(
+            F.sum("n_tokens").cast("double").alias("tokens"), F.sum(F.col("n_tokens") * F.col("probability")).alias("taken")
+        )
+    )
+    tokens, taken = cells.agg(F.sum("tokens"), F.sum("taken")).first()
+    parts = []
+    for d in DIMENSIONS:
+        sums = cells.groupBy(F.col(d).alias("value")).agg(
+            (F.sum("tokens") / (tokens or 1.0)).alias("own"), (F.sum("taken") / (taken or 1.0)).alias("reached")
+        )
+        parts.append(sums.join(_shares(cells, d, plan), "value").select(F.lit(d).alias("dimension"), "value", "own", F.col("share").alias("target"), "reached"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def chance(doc_id: Column | str) -> Column:
     """A number in [0, 1) for each id."""
     digest = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
@@ -133,7 +169,7 @@ def sampled(docs: DataFrame, plan: Plan = Plan(), kind: Column | None = None) ->
         n_tokens("text").alias("n_tokens"),
     )
     rows = checkpointed(rows)
-    cells = checkpointed(calibrated(rake(checkpointed(cells_of(rows)), plan), plan))
+    cells = checkpointed(calibrated(rake(checkpointed(cells_of(rows)), plan, capped=True), plan))
     names = [F.col(d).alias(f"{d}_of") for d in DIMENSIONS]
     on = (F.col("source") == F.col("source_of")) & (F.col("lang") == F.col("lang_of")) & (F.col("topic") == F.col("topic_of"))
     found = rows.join(cells.select(*names, "probability"), on, "left")
@@ -164,23 +200,27 @@ def oracle(plan: Plan = Plan()) -> str:
             WHEN len(regexp_extract_all(t, '{sign}')) * 10 > n_tokens THEN 'signs'
             WHEN (length(t) - length(replace(t, chr(10), '')) + 1) * 12 > n_tokens THEN 'listing'
             WHEN n_tokens < 200 THEN 'short' ELSE 'prose' END AS topic FROM counted)""",
-        """w0 AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, sum(n_tokens)::DOUBLE AS weight
+        """cells AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, sum(n_tokens)::DOUBLE AS weight
             FROM typed GROUP BY ALL)""",
     ]
     for d in DIMENSIONS:
-        parts.append(f"""p_{d} AS (SELECT {d}, pow(sum(tokens), {plan.flatten[d]}) AS s FROM w0 GROUP BY {d})""")
+        parts.append(f"""p_{d} AS (SELECT {d}, pow(sum(tokens), {plan.flatten[d]}) AS s FROM cells GROUP BY {d})""")
         parts.append(f"""s_{d} AS (SELECT {d}, s / (SELECT sum(s) FROM p_{d}) AS share FROM p_{d})""")
-    last = "w0"
+    last = "cells"
     for turn in range(plan.turns):
         for d in DIMENSIONS:
             name = f"w{turn}_{d}"
             parts.append(
                 f"""{name} AS MATERIALIZED (SELECT source, lang, topic, tokens, weight * CASE
                 WHEN sum(weight) OVER (PARTITION BY {d}) > 0
-                THEN share * (SELECT sum(tokens) FROM w0) / sum(weight) OVER (PARTITION BY {d}) ELSE 0 END AS weight
+                THEN share * (SELECT sum(tokens) FROM cells) / sum(weight) OVER (PARTITION BY {d}) ELSE 0 END AS weight
                 FROM {last} JOIN s_{d} USING ({d}))"""
             )
             last = name
+        parts.append(
+            f"""w{turn} AS MATERIALIZED (SELECT source, lang, topic, tokens, least(weight, tokens / {plan.rate}) AS weight FROM {last})"""
+        )
+        last = f"w{turn}"
     parts.append(
         f"""raked AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS ratio FROM {last})"""
     )

@@ -122,6 +122,34 @@ def test_raking_meets_its_targets(spark):
     assert all(0 <= r.probability <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("rate", [0.5, 0.8])
+def test_caps_and_targets_are_met_together(spark, rate):
+    """Plain raking at rate 0.8 asks for more of a cell than there is; other weights meet the same targets."""
+    cells = [("a", "x", "p", 30.0), ("a", "y", "p", 20.0), ("b", "x", "p", 20.0), ("b", "y", "p", 30.0)]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double")
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.6, "y": 0.4}, "topic": {"p": 1.0}}
+    plan = mixing.Plan(targets=targets, rate=rate)
+    plain = {(r.source, r.lang): r.weight * rate / r.tokens for r in mixing.rake(frame, plan).collect()}
+    assert (max(plain.values()) > 1) == (rate == 0.8)
+    rows = mixing.calibrated(mixing.rake(frame, plan, capped=True), plan).collect()
+    taken = {(r.source, r.lang): r.tokens * r.probability for r in rows}
+    assert all(r.probability <= 1 for r in rows) and sum(taken.values()) == pytest.approx(100 * rate, rel=1e-6)
+    for i, d in enumerate(("source", "lang")):
+        for value, share in targets[d].items():
+            assert sum(n for k, n in taken.items() if k[i] == value) / sum(taken.values()) == pytest.approx(share, abs=1e-3)
+
+
+def test_margins_report_what_is_reached(spark):
+    docs = spark.createDataFrame([(i, "word " * 300, "en" if i % 4 else "fr", f"s{i % 3}") for i in range(120)], "doc_id long, text string, lang string, source string")
+    plan = mixing.Plan(rate=0.5, targets={"lang": {"en": 0.6, "fr": 0.4}})
+    found = {(r.dimension, r.value): r for r in mixing.margins(mixing.sampled(docs, plan), plan).collect()}
+    assert found["lang", "fr"].own == pytest.approx(0.25) and found["lang", "fr"].target == pytest.approx(0.4)
+    assert all(r.reached == pytest.approx(r.target, abs=1e-3) for r in found.values())
+    most = mixing.Plan(rate=0.95, targets={"lang": {"en": 0.6, "fr": 0.4}})
+    reached = {(r.dimension, r.value): r.reached for r in mixing.margins(mixing.sampled(docs, most), most).collect()}
+    assert reached["lang", "fr"] == pytest.approx(0.25 / 0.95, abs=1e-3)  # all there is
+
+
 def test_mixing_of_edges(spark, edges, no_rows):
     found = mixing.sampled(edges).collect()
     assert len(found) == edges.count() and {r.lang for r in found} == {"en", "de", mixing.NONE}
