@@ -21,8 +21,8 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words, similarity 0.8."""
-    return simhash.one_of_each(docs)
+    """One document of each component of fingerprints: shingles of four words, at most four bits apart."""
+    return simhash.one_of_component(docs, words=4, radius=4)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their ids, and the text that these decode to."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.decode(pieces.encode(docs, model), model).withColumn("n_tokens", F.size("ids").cast("long"))
+    return pieces.round_trip(docs, model).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

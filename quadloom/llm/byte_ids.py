@@ -8,10 +8,10 @@ added. The vocabulary file is read once in each worker.
 from __future__ import annotations
 
 import json
-from functools import cache
 
 import numpy as np
 
+from quadloom.llm.common import held
 from quadloom.llm.counts import WORDS, byte_signs
 
 
@@ -43,6 +43,5 @@ class ByteIds:
         return self.library.encode_to_numpy(text, allowed_special="all")
 
 
-@cache
 def load(path: str) -> ByteIds:
-    return ByteIds(path)
+    return held("byte ids", ByteIds, path)

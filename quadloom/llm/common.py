@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -51,6 +53,43 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tidy() -> None:
+    """Give memory back that nothing uses: workers outlive their tasks, and beside them others work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it has
+        pass
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def in_arrow(df: DataFrame, run: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` that leaves a tidy worker."""
+
+    def tidied(batches: Batches) -> Batches:
+        yield from run(batches)
+        tidy()
+
+    return df.mapInArrow(tidied, schema)
+
+
+_HELD: dict[tuple, object] = {}
+
+
+def held(family: str, load: Callable, *args):
+    """``load(*args)``, kept by this worker until something of another family is asked for."""
+    key = (family, load.__qualname__, *args)
+    if key not in _HELD:
+        for other in [k for k in _HELD if k[0] != family]:
+            del _HELD[other]
+        tidy()
+        _HELD[key] = load(*args)
+    return _HELD[key]
+
+
 def on_slices(
     df: DataFrame,
     column: str,
@@ -70,7 +109,7 @@ def on_slices(
                 yield one(part)
             pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def chunked(texts: pa.Array, joined: str, split: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray, list[str]]:

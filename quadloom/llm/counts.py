@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import heapq
 import json
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quadloom.llm.common import SLICE_BYTES, Known, chunked, on_slices
+from quadloom.llm.common import SLICE_BYTES, Known, chunked, held, on_slices
 
 # How byte-level vocabularies cut texts before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -125,8 +124,11 @@ def byte_signs() -> list[str]:
     return [chr(place[b]) for b in range(256)]
 
 
-@cache
 def load(path: str, most: int = KEPT) -> tuple[Merges, Known]:
+    return held("counts", _load, path, most)
+
+
+def _load(path: str, most: int) -> tuple[Merges, Known]:
     merges = Merges(path, most)
     return merges, Known(merges.count_chunk, most)
 

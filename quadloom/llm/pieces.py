@@ -22,7 +22,6 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from quadloom.llm.common import SLICE_BYTES, Known, chunked, fresh, lists, on_slices
+from quadloom.llm.common import SLICE_BYTES, Known, chunked, fresh, held, in_arrow, lists, on_slices
 
 SPACE = "▁"
 KEPT = 200_000  # words, and pairs of tokens, that a worker keeps
@@ -202,15 +201,17 @@ def replaced(raw: bytes) -> str:
     return "".join(out)
 
 
-@cache
 def load(path: str, most: int = KEPT) -> tuple[Pieces, Known]:
+    return held("pieces", _load, path, most)
+
+
+def _load(path: str, most: int) -> tuple[Pieces, Known]:
     pieces = Pieces(path, most)
     return pieces, Known(lambda chunk: pieces.ids(chunk.replace(" ", SPACE)), most)
 
 
-@cache
 def load_table(path: str) -> Table:
-    return Table(path)
+    return held("pieces", Table, path)
 
 
 def _split(text: str) -> list[str]:
@@ -244,6 +245,34 @@ def encode(
     return on_slices(df, text, make, StructType([*fields, StructField(ids, ArrayType(IntegerType()))]), slice_bytes)
 
 
+def round_trip(df: DataFrame, model: str, text: str = "text", ids: str = "ids", back: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass of a worker: ``df`` with the ids of its texts and what they decode to."""
+    fields = [f for f in df.schema if f.name.lower() not in (ids.lower(), back.lower())]
+    names = [f.name for f in fields]
+
+    def make():
+        pieces, known = load(model)
+
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            offsets, codes, chunks = chunked(batch.column(text), rf"^ |  |{SPACE}", _split)
+            values = [known[c if c[:1] in (" ", SPACE) else f" {c}"] for c in chunks]
+            found = lists(values, codes, offsets)
+            own = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            return pa.RecordBatch.from_arrays([*own, found, _texts(pieces, found)], names=[*names, ids, back])
+
+        return one
+
+    schema = StructType([*fields, StructField(ids, ArrayType(IntegerType())), StructField(back, StringType())])
+    return on_slices(df, text, make, schema)
+
+
+def _texts(table: Table, column: pa.ListArray) -> pa.Array:
+    """What each list of ids decodes to."""
+    ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return pa.array([table.text(flat[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)], pa.string())
+
+
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of its column of token ids."""
     kept = [f for f in df.schema if f.name.lower() != text.lower()]
@@ -252,14 +281,10 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_table(model)
         for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            column = batch.column(ids)
-            ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            texts = [pieces.text(flat[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)]
             own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n.lower() != text.lower()]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([*own, _texts(pieces, batch.column(ids))], names=names)
 
-    return df.mapInArrow(run, StructType([*kept, StructField(text, StringType())]))
+    return in_arrow(df, run, StructType([*kept, StructField(text, StringType())]))
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:

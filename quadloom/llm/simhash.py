@@ -37,7 +37,7 @@ columns don't matter; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quadloom.llm.common import checkpointed, fresh, on_slices
+from quadloom.llm.common import checkpointed, fresh, in_arrow, on_slices
 from quadloom.llm.components import components
 
 SEED = 42
@@ -99,17 +99,19 @@ def minima(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return least
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and fp."""
+def fingerprints(docs: DataFrame, words: int, ids: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """fp of each row, beside the whole numbers ``ids``."""
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             prints = [fingerprint(shingle_hashes(text, words)) for text in batch.column("text").to_pylist()]
-            return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(prints, pa.int64())})
+            own = {name: batch.column(name) for name in ids}
+            return pa.RecordBatch.from_pydict(own | {"fp": pa.array(prints, pa.int64())})
 
         return one
 
-    return on_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", make, "doc_id long, fp long")
+    rows = docs.select(*(F.col(name).cast("long").alias(name) for name in ids), "text")
+    return on_slices(rows, "text", make, ", ".join(f"{name} long" for name in (*ids, "fp")))
 
 
 def sketch(shingles: np.ndarray, factors: np.ndarray, keys: int) -> np.ndarray:
@@ -309,23 +311,59 @@ def tile_links(nodes: DataFrame, keys: F.Column, radius: int) -> DataFrame:
         yield made()
 
     tasks = work.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-    return tasks.mapInArrow(run, "u long, v long, gap long").distinct()
+    return in_arrow(tasks, run, "u long, v long, gap long").distinct()
+
+
+def _roots(prints: DataFrame, radius: int) -> DataFrame:
+    """Each distinct fingerprint ``p`` of ``prints`` and the ``root`` of its component."""
+    nodes = checkpointed(prints.select(F.col("fp").alias("node"), "fp").distinct())
+    links = tile_links(nodes, by_blocks(radius), radius)
+    roots = components(links.select("u", "v"))
+    return nodes.join(roots, nodes["fp"] == roots["u"], "left").select(F.col("fp").alias("p"), F.coalesce("v", "fp").alias("root"))
 
 
 def near_copies(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id that links of the radius reach."""
     prints = checkpointed(fingerprints(docs, words))
-    nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    links = tile_links(nodes.select(F.col("fp").alias("node"), "fp"), by_blocks(radius), radius)
-    roots = components(links.select("u", "v"))
-    with_root = nodes.join(roots, nodes["fp"] == roots["u"], "left").select(
-        "fp", "least", F.coalesce("v", "fp").alias("root")
-    )
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    with_root = least.join(_roots(prints, radius), F.col("fp") == F.col("p"))
     ids = with_root.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = with_root.join(ids, "root").select(F.col("fp").alias("p"), "component_id")
+    of_print = with_root.join(ids, "root").select("p", "component_id")
     return prints.join(of_print, F.col("fp") == F.col("p")).select("doc_id", "fp", "component_id")
 
 
+def one_of_component(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one document of each component of ``near_copies``.
+
+    That of least doc_id stays, of several with it the one whose text has the
+    least hash, of repeated rows any one. Rows without doc_id stay.
+    """
+    names = fresh(docs, "d", "h", "several")
+    d, h, _ = names
+    real = _numbered(docs, d, h)
+    rows = checkpointed(fingerprints(real.select(F.col(d).alias("d"), F.col(h).alias("h"), "text"), words, ("d", "h")))
+    least = rows.groupBy("fp").agg(F.min(F.struct("d", "h")).alias("doc"))
+    kept = least.join(_roots(rows, radius), F.col("fp") == F.col("p")).groupBy("root").agg(F.min("doc").alias("doc"))
+    return _chosen(docs, real, kept, rows, names)
+
+
+def _numbered(docs: DataFrame, d: str, h: str) -> DataFrame:
+    """Documents with an id: that and a hash of their text, by which they are known."""
+    return docs.where("doc_id is not null").withColumns({d: F.col("doc_id").cast("long"), h: F.xxhash64(F.coalesce("text", F.lit("")))})
+
+
+def _chosen(docs: DataFrame, real: DataFrame, kept: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of ``docs`` that ``kept`` (doc: d, h) names, one of each, and those without doc_id."""
+    d, h, several = names
+    repeated = rows.groupBy("d", "h").agg((F.count("*") > 1).alias("several"))
+    kept = kept.select("doc.d", "doc.h").join(repeated, ["d", "h"]).select(
+        F.col("d").alias(f"{d}_k"), F.col("h").alias(f"{h}_k"), F.col("several").alias(several)
+    )
+    found = real.join(checkpointed(kept), (F.col(d) == F.col(f"{d}_k")) & (F.col(h) == F.col(f"{h}_k")))
+    once = found.where(~F.col(several)).unionByName(found.where(several).dropDuplicates([d, h]))
+    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
 def similar(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """Links u, v between nodes whose shingle sets have at least the similarity (shared by all)."""
     texts = texts.select(F.col("node").alias("d"), F.col("text").alias("t"))
@@ -491,8 +529,9 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
     exact check of these sets confirms. One row of each document that is kept
     stays, any one of those of the same doc_id and text. Rows without doc_id stay.
     """
-    d, h, several = fresh(docs, "d", "h", "several")
-    real = docs.where("doc_id is not null").withColumns({d: F.col("doc_id").cast("long"), h: F.xxhash64(F.coalesce("text", F.lit("")))})
+    names = fresh(docs, "d", "h", "several")
+    d, h, _ = names
+    real = _numbered(docs, d, h)
     bare = real.select(F.col(d).alias("d"), F.col(h).alias("h"), "text")
     rows = checkpointed(sketches(bare, words, keys))
     nodes = rows.groupBy("node").agg(
@@ -507,13 +546,7 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
 
     roots = _confirmed(nodes.select("node", "size", "sketch", "minima"), texts, words, similarity, radius)
     kept = nodes.select("node", "doc").join(roots, "node").groupBy("root").agg(F.min("doc").alias("doc"))
-    repeated = rows.groupBy("d", "h").agg((F.count("*") > 1).alias("several"))
-    kept = kept.select("doc.d", "doc.h").join(repeated, ["d", "h"]).select(
-        F.col("d").alias(f"{d}_k"), F.col("h").alias(f"{h}_k"), F.col("several").alias(several)
-    )
-    found = real.join(checkpointed(kept), (F.col(d) == F.col(f"{d}_k")) & (F.col(h) == F.col(f"{h}_k")))
-    once = found.where(~F.col(several)).unionByName(found.where(several).dropDuplicates([d, h]))
-    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return _chosen(docs, real, kept, rows, names)
 
 
 def digests(docs: DataFrame) -> DataFrame:
