@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StringType, TimestampNTZType
+from pyspark.sql.types import BinaryType, IntegralType, StringType, TimestampNTZType
 
 from quadloom.functions.times import epoch_micros
 from quadloom.session import written_with
@@ -128,10 +128,14 @@ class Picked:
         return df if self.small or self.count * BITS_PER_KEY > FILTER_BITS else may_match(df, self.rows, on)
 
 
+def total_bytes(df: DataFrame) -> Column:
+    """An aggregate: about what the rows of ``df`` take in memory."""
+    texts = [F.octet_length(f.name) for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    return sum((F.coalesce(F.sum(t), F.lit(0)) for t in texts), F.count(F.lit(1)) * ROW_BYTES)
+
+
 def picked(narrow: DataFrame, name: str = "picked") -> Picked:
-    texts = [F.octet_length(f.name) for f in narrow.schema if isinstance(f.dataType, StringType)]
-    size = sum((F.coalesce(F.sum(t), F.lit(0)) for t in texts), F.count(F.lit(1)) * ROW_BYTES)
-    rows, seen = written_with(narrow, name, bytes=size, count=F.count(F.lit(1)))
+    rows, seen = written_with(narrow, name, bytes=total_bytes(narrow), count=F.count(F.lit(1)))
     return Picked(rows, seen["count"], seen["bytes"])
 
 

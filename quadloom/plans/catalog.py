@@ -129,10 +129,9 @@ def assemble_ids(spark, sf_dir):
 @query
 def assemble_stored(spark, sf_dir):
     """The same from tables saved in buckets by identifier."""
-    saved = [
-        tables.save_bucketed(df, work_folder(spark, "stored"), BUCKETS)
-        for df in (fx.resources(spark, sf_dir), fx.immutable(spark, sf_dir))
-    ]
+    frames = (fx.resources(spark, sf_dir), fx.immutable(spark, sf_dir))
+    buckets = tables.buckets_for(*frames, least=BUCKETS)
+    saved = [tables.save_bucketed(df, work_folder(spark, "stored"), buckets) for df in frames]
     return resources.assemble(*saved, fx.ids(spark, sf_dir))
 
 
@@ -286,7 +285,8 @@ def version_at(spark, sf_dir):
 def version_at_stored(spark, sf_dir):
     """The same on versions saved in buckets by resource and span of time."""
     timed = versions.with_span(fx.versions(spark, sf_dir)).select("identifier", "span", "t", "quads")
-    saved = tables.save_bucketed(timed, work_folder(spark, "stored"), BUCKETS, by=("identifier", "span"), order=["t"])
+    buckets = tables.buckets_for(timed, least=BUCKETS)
+    saved = tables.save_bucketed(timed, work_folder(spark, "stored"), buckets, by=("identifier", "span"), order=["t"])
     got = versions.version_at_stored(saved, fx.requests(spark, sf_dir))
     return got.select("req", "identifier", "version", "found")
 

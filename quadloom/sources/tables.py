@@ -17,11 +17,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.operators.keyed import BROADCAST_BYTES, ROW_BYTES, distinct_keys
+from quadloom.operators.keyed import BROADCAST_BYTES, ROW_BYTES, distinct_keys, total_bytes
 
 BUCKET = "bucket"
 # Keys listed in a scan's own filter, by which it skips parts of files; Spark lists no more by default.
 LISTED_KEYS = 10
+# Bytes of rows that one bucket of a catalog's table, and so one task of its readers, is to hold.
+BUCKET_BYTES = 64 * 1024 * 1024
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:
@@ -80,6 +82,17 @@ def row_of_key(table: DataFrame, value: str, buckets: int, key: str = "identifie
     return table.filter((F.col(BUCKET) == placed) & (F.col(key) == value))
 
 
+def buckets_for(*frames: DataFrame, least: int = 1, bucket_bytes: int | None = None) -> int:
+    """So many buckets that those of the largest of ``frames`` hold about ``bucket_bytes`` (by default ``BUCKET_BYTES``).
+
+    Tables that are to be joined as they lie need one number of buckets, and a
+    task reads a whole bucket: the number grows with the rows, not the tasks'
+    memory. A job for each frame measures it.
+    """
+    most = max(df.agg(total_bytes(df).alias("bytes")).first()["bytes"] for df in frames)
+    return max(least, -(-most // (bucket_bytes or BUCKET_BYTES)))
+
+
 def save_bucketed(df: DataFrame, path: str, buckets: int, by: Sequence[str] = ("identifier",), order: Sequence[str] = ()) -> DataFrame:
     """``df`` saved below ``path`` in buckets by the columns ``by``, one sorted file each, as a table of the catalog.
 

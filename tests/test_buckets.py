@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quadloom import schemas
 from quadloom import vocab as v
 from quadloom.operators import binaries, keyed, resources, versions
+from quadloom.plans import catalog
 from quadloom.sources import tables
 
 T = datetime(2024, 1, 1)
@@ -67,6 +68,39 @@ def test_assemble_moves_nothing_of_stored_tables(large, rows, tmp_path):
     assert all("Exchange" not in w for w in ways_up(met, "Bucketed: true")) and met.count() == 134
 
 
+def test_buckets_grow_with_the_rows_and_not_with_a_task(spark, monkeypatch, tmp_path):
+    few, many = (spark.range(n).selectExpr("concat('data:/r', id) identifier", "repeat('x', 100) quads") for n in (50, 4_000))
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 16_384)
+    assert tables.buckets_for(few, least=BUCKETS) == BUCKETS
+    n = tables.buckets_for(few, many, least=BUCKETS)
+    assert n == tables.buckets_for(many) > 4 * BUCKETS
+    saved = tables.save_bucketed(many, str(tmp_path / "many"), n)
+    in_buckets = saved.groupBy(F.input_file_name()).agg(keyed.total_bytes(saved).alias("b"))
+    assert in_buckets.agg(F.max("b")).first()[0] < 2 * tables.BUCKET_BYTES
+
+
+def test_stored_queries_save_as_many_buckets_as_their_rows_need(spark, monkeypatch):
+    """The queries' own tables: with a bound far below them they are saved in more than the least number of buckets."""
+    used = []
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 4_096)
+    monkeypatch.setattr(catalog.tables, "save_bucketed", lambda df, path, buckets, **_: used.append(buckets) or df)
+    monkeypatch.setattr(catalog.resources, "assemble", lambda *frames: frames)
+    text, number, at = "concat('t', id) {0}", "id {0}", "timestamp_ntz'2024-01-01 00:00:00' {0}"
+    columns = {
+        "region": [(number, "r_regionkey")],
+        "nation": [(number, "n_nationkey"), (number, "n_regionkey")],
+        "customer": [(number, "c_custkey"), (number, "c_nationkey"), (text, "c_mktsegment")],
+        "orders": [(number, "o_orderkey"), (number, "o_custkey"), (text, "o_orderstatus"), (text, "o_orderpriority"), (at, "o_orderdate")],
+        "documents": [(number, "doc_id"), (text, "text"), (text, "lang")],
+        "lineitem": [(number, "l_orderkey"), (number, "l_linenumber"), (at, "l_shipdate")],
+        "part": [(number, "p_partkey")],
+    }
+    made = {name: spark.range(300).selectExpr(*(how.format(c) for how, c in given)) for name, given in columns.items()}
+    monkeypatch.setattr(catalog.fx, "table", lambda spark, sf_dir, name: made[name])
+    catalog.assemble_stored(spark, "")
+    assert len(used) == 2 and used[0] == used[1] > BUCKETS
+
+
 def test_as_of_moves_nothing_of_stored_versions(large, rows, tmp_path):
     pick = random.Random(3)
     spans = 1_000
