@@ -69,6 +69,14 @@ def rows_with_keys(
     return df.join(F.broadcast(asked.rows) if asked.bytes <= most else asked.rows, names, how)
 
 
+def parts_without_keys(df: DataFrame, ids: DataFrame, key: str = "identifier") -> tuple[DataFrame | None, DataFrame | None]:
+    """``rows_with_keys(df, ids, "left_anti", key=key)`` in two parts: rows that lie where they were, and rows a shuffle has moved."""
+    asked = picked(distinct_keys(ids, key), "keys")
+    far, near = asked.apart(df, [key])
+    left = near.join(asked.hinted(), key, "left_anti")
+    return (left, None) if asked.small else (far, left)
+
+
 def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
     """One DECIMAL(38,0) that sorts like the columns ``order``, nulls first; None where their types need more.
 
@@ -92,8 +100,8 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
     return (instant.cast(wide) + number).cast(wide)
 
 
-def may_match(df: DataFrame, keys: DataFrame, on: Sequence[str], bits: int | None = None) -> DataFrame:
-    """``df`` without most rows whose key is not in ``keys``; none whose key is there is lost.
+def may_match(df: DataFrame, keys: DataFrame, on: Sequence[str], bits: int | None = None, others: bool = False) -> DataFrame:
+    """``df`` without most rows whose key is not in ``keys``; none whose key is there is lost. ``others``: the rows left out.
 
     A hash of each key sets one of ``bits`` bits. The bitmaps, which are sent
     to all executors, never take more than one bit for each, whatever the number of keys.
@@ -103,8 +111,8 @@ def may_match(df: DataFrame, keys: DataFrame, on: Sequence[str], bits: int | Non
     made = keys.select(bitmap, bit).groupBy("_bitmap").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
     byte = F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")
     is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), F.pmod("_bit", F.lit(8)).cast("int")) == 1
-    met = df.select("*", bitmap, bit).join(F.broadcast(made), "_bitmap").filter(is_set)
-    return met.select(*df.columns)
+    met = df.select("*", bitmap, bit).join(F.broadcast(made), "_bitmap", "left" if others else "inner")
+    return met.filter(~F.coalesce(is_set, F.lit(False)) if others else is_set).select(*df.columns)
 
 
 @dataclass
@@ -125,7 +133,34 @@ class Picked:
 
     def pruned(self, df: DataFrame, on: Sequence[str]) -> DataFrame:
         """``df`` ahead of a shuffle to meet the rows: filtered, if there are not too many keys for that."""
-        return df if self.small or self.count * BITS_PER_KEY > FILTER_BITS else may_match(df, self.rows, on)
+        return df if self.small or not self.told_apart else may_match(df, self.rows, on)
+
+    @property
+    def told_apart(self) -> bool:
+        """Whether the bits of a filter are enough for so many keys."""
+        return self.count * BITS_PER_KEY <= FILTER_BITS
+
+    def apart(self, df: DataFrame, on: Sequence[str]) -> tuple[DataFrame | None, DataFrame]:
+        """``df`` in two parts: rows that meet none of the rows for certain, which need not move, and the rest.
+
+        None for the first where the rest is all: the rows are broadcast, or too many for a filter.
+        """
+        if self.small or not self.told_apart:
+            return None, df
+        return may_match(df, self.rows, on, others=True), may_match(df, self.rows, on)
+
+    def met(self, df: DataFrame, key: str = "identifier") -> DataFrame:
+        """``df`` where its key is in the rows. No row of it moves if they are small, or told apart by a filter.
+
+        What a filter lets through wrongly is found on distinct keys alone, and
+        taken out again by broadcast.
+        """
+        keys = self.rows.select(key)
+        if self.small or not self.told_apart:
+            return df.join(F.broadcast(keys) if self.small else keys, key, "left_semi")
+        near = may_match(df.filter(F.col(key).isNotNull()), keys, [key])
+        wrong = picked(distinct_keys(near, key).join(keys, key, "left_anti"), "wrong")
+        return near.join(F.broadcast(wrong.rows), key, "left_anti") if wrong.small else near.join(keys, key, "left_semi")
 
 
 def total_bytes(df: DataFrame) -> Column:

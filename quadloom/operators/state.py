@@ -64,15 +64,23 @@ def upsert(state: DataFrame, changes: DataFrame) -> DataFrame:
     Changes without an identifier are left out. Only narrow rows of the changes
     are compared with the state: where these are few, no row of it moves.
     """
+    kept, moved = upsert_parts(state, changes)
+    return moved if kept is None else kept.unionByName(moved)
+
+
+def upsert_parts(state: DataFrame, changes: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """``upsert`` in two parts: rows of the state that lie where they were, and rows that are new or that a shuffle has moved."""
     new, old = order_key(changes, ORDER), order_key(state, ORDER)
     ordered = changes.filter("identifier IS NOT NULL").withColumn("_order", new)
     marks = picked(ordered.groupBy("identifier").agg(F.max("_order").alias("_order")), "upsert")
-    met = state.withColumn("_old", old).join(marks.hinted(), "identifier", "left")
+    far, near = marks.apart(state, ["identifier"])
+    met = near.withColumn("_old", old).join(marks.hinted(), "identifier", "left")
     newer = F.col("_old") > F.col("_order")
     kept = met.filter(F.col("_order").isNull() | newer).select(*state.columns)
     late = met.filter(newer).select("identifier")
     stands = fetch(ordered, marks, ["identifier", "_order"]).select(*state.columns)
-    return kept.unionByName(stands.join(late, "identifier", "left_anti"))
+    stands = stands.join(late, "identifier", "left_anti")
+    return (kept, stands) if marks.small else (far, kept.unionByName(stands))
 
 
 def delete(state: DataFrame, ids: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from quadloom.operators import state
-from quadloom.operators.keyed import rows_with_keys
+from quadloom.operators.keyed import parts_without_keys
 from quadloom.sources.tables import BUCKET, bucket_of
 
+# Most files for a bucket, on average, before a change that leaves rows where they lie places all of them anew.
+MOST_FILES = 64
+
+Parts = tuple[DataFrame | None, DataFrame | None]
+
 _MANIFEST = "bucket INT, write STRING, source BIGINT, version BIGINT"
 
 
@@ -33,7 +39,9 @@ class BucketStore:
 
     All rows of a bucket are rewritten when one of them changes, so there
     should be enough of them: at 100 TB some 100,000, of 1 GB each. Files of a
-    bucket are sorted by key and ``order``; a hot key fills several files.
+    bucket are sorted by key and ``order``; a hot key fills several files. Rows
+    that a change keeps are written by the task that reads them, in files like
+    those they were in; only rows that are new or were joined move.
     """
 
     def __init__(
@@ -82,18 +90,24 @@ class BucketStore:
         return sorted(r[BUCKET] for r in found.collect())
 
     def change(
-        self, keys: DataFrame, make: Callable[[DataFrame], DataFrame], source: int = 0
+        self, keys: DataFrame, make: Callable[[DataFrame], DataFrame | Parts], source: int = 0
     ) -> int:
         """Rewrite the buckets of ``keys`` as ``make`` of their rows, and switch to that; the new version.
 
-        ``make`` must give rows of those buckets alone. ``source`` is kept in
-        the manifest: the version of another table that this one follows.
+        ``make`` must give rows of those buckets alone. It may give them in two
+        parts, of which either may be None: rows that lie where they were read,
+        with no shuffle since, and others. ``source`` is kept in the manifest:
+        the version of another table that this one follows.
         """
         base = self.version()
         touched = self.touched(keys)
         kept = {b: w for b, w in self.manifest(base).items() if b not in touched}
         if touched:
-            kept |= self._write(make(self.read(base, touched)))
+            rows = self.read(base, touched)
+            made = make(rows)
+            if isinstance(made, tuple) and len(rows.inputFiles()) > MOST_FILES * len(touched):
+                made = reduce(DataFrame.unionByName, [part for part in made if part is not None])
+            kept |= self._write(*made[::-1]) if isinstance(made, tuple) else self._write(made)
         return self._switch(kept, base, source)
 
     def replace(self, df: DataFrame, source: int = 0) -> int:
@@ -101,12 +115,16 @@ class BucketStore:
         base = self.version()
         return self._switch(self._write(df), base, source)
 
-    def _write(self, df: DataFrame) -> dict[int, str]:
+    def _write(self, df: DataFrame | None, lying: DataFrame | None = None) -> dict[int, str]:
+        """Write ``df``, placed in ranges, and rows ``lying`` as they do; the write of each bucket that has rows."""
         write = uuid.uuid4().hex
         by = [BUCKET, self.key, *self.order]
-        placed = df.select(*self.schema.names).withColumn(BUCKET, bucket_of(self.key, self.buckets))
         path = f"{self.root}/data/write={write}"
-        placed.repartitionByRange(*by).sortWithinPartitions(*by).write.partitionBy(BUCKET).parquet(path)
+        for part, lies in ((df, False), (lying, True)):
+            if part is not None:
+                placed = part.select(*self.schema.names).withColumn(BUCKET, bucket_of(self.key, self.buckets))
+                placed = placed if lies else placed.repartitionByRange(*by)
+                placed.sortWithinPartitions(*by).write.mode("append").partitionBy(BUCKET).parquet(path)
         made = self.spark.read.schema(self.placed).parquet(path).select(BUCKET).distinct().collect()
         return {r[BUCKET]: write for r in made}
 
@@ -120,11 +138,11 @@ class BucketStore:
     def upsert(self, changes: DataFrame) -> int:
         """``state.upsert`` at rest."""
         changes = changes.filter(F.col(self.key).isNotNull())
-        return self.change(changes, lambda rows: state.upsert(rows, changes))
+        return self.change(changes, lambda rows: state.upsert_parts(rows, changes))
 
     def delete(self, ids: DataFrame) -> int:
         """Remove the rows of ``ids``: a resource, or all chunks of a binary."""
-        return self.change(ids, lambda rows: rows_with_keys(rows, ids, "left_anti", self.key))
+        return self.change(ids, lambda rows: parts_without_keys(rows, ids, self.key))
 
     def differing(self, old: int, new: int) -> list[int]:
         """Buckets that two versions read from different writes."""

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadloom.operators import resources
+from quadloom.operators.keyed import picked
 from quadloom.session import written
-from quadloom.sources.store import BucketStore
+from quadloom.sources.store import BucketStore, Parts
 
 CONTAINED = "container STRING, identifier STRING, interactionModel STRING"
 
@@ -48,11 +49,14 @@ class ContainmentView:
             by = ["container", "identifier", "interactionModel"]
             new = changes.filter("sign > 0").select(*by)
 
-            def apply(rows: DataFrame) -> DataFrame:
-                gone = changes.filter("sign < 0").select(*by)
+            gone = picked(changes.filter("sign < 0").select(*by), "gone")
+
+            def apply(rows: DataFrame) -> Parts:
+                far, near = gone.apart(rows, by)
+                keys = gone.hinted()
                 # by narrow keys of one row each, so no hot container is one task
-                left = rows.join(gone, [rows[c].eqNullSafe(gone[c]) for c in by], "left_anti")
-                return left.unionByName(new)
+                left = near.join(keys, [near[c].eqNullSafe(keys[c]) for c in by], "left_anti")
+                return (left, new) if gone.small else (far, left.unionByName(new))
 
             self.store.change(changes.select("container"), apply, source=now)
         return changes

@@ -4,11 +4,13 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quadloom import schemas
 from quadloom import vocab as v
-from quadloom.operators import resources, state
+from quadloom.operators import keyed, resources, state
+from quadloom.sources import store as store_module
 from quadloom.sources.store import BucketStore
 from quadloom.sources.views import ContainmentView, containment_changes
 
@@ -78,6 +80,48 @@ def test_expired_versions_and_an_empty_table(spark, tmp_path):
     assert len(files(tmp_path)) == 1
 
 
+@pytest.mark.parametrize("way", ["broadcast", "filter", "shuffle"])
+def test_kept_rows_are_written_where_they_are_read(spark, rows, tmp_path, monkeypatch, way):
+    """A change moves narrow rows, its own and what may meet them; the result is that of whole rewriting."""
+    if way != "broadcast":
+        monkeypatch.setattr(keyed, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(keyed, "FILTER_BITS", 1 << 20 if way == "filter" else 0)
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.sha1(F.concat_ws("/", "id", i))), "")
+    named = F.when(F.col("id") % 97 == 0, None).otherwise(F.concat(F.lit("r"), (F.col("id") % 1_500).cast("string")))
+    made = spark.range(0, 2_000, 1, 4).select(
+        named.alias("identifier"), F.lit(None).cast("string").alias("interactionModel"), text.alias("quads"),
+        F.lit(T).cast("timestamp_ntz").alias("created"), F.col("id").alias("seq"),
+    )
+    store = BucketStore(spark, str(tmp_path / "s"), made.schema, 4)
+    store.replace(made)
+    whole = store.read(1)
+    new = whole.filter("seq % 100 = 1").withColumn("interactionModel", F.lit("new")).withColumn("seq", F.col("seq") + F.when(F.col("seq") % 200 == 1, 5).otherwise(-5))
+    gone = whole.filter("seq % 100 = 2").select("identifier")
+    none, quantiles = spark._jvm.java.util.ArrayList(), spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+    stages = lambda: spark._jsc.sc().statusStore().stageList(none, False, False, quantiles, none)
+    last = max(stages().apply(i).stageId() for i in range(stages().size()))
+    store.upsert(new)
+    store.delete(gone)
+    seen = stages()
+    moved = sum(seen.apply(i).shuffleWriteBytes() for i in range(seen.size()) if seen.apply(i).stageId() > last)
+    assert way == "shuffle" or moved < 2_000 * 2_000 / 4
+    assert rows(store.read()) == rows(state.delete(state.upsert(whole, new), gone))
+    # one key order in each file
+    at = Window.partitionBy("f").orderBy("n")
+    lying = store.read().select("identifier", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n"))
+    assert lying.withColumn("before", F.lag("identifier").over(at)).filter("before > identifier").count() == 0
+
+
+def test_many_small_files_are_placed_anew(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "MOST_FILES", 3)
+    store = BucketStore(spark, str(tmp_path / "s"), ROW, 2)
+    store.replace(table(spark, [f"r{i}" for i in range(20)]))
+    for n in range(8):
+        store.upsert(table(spark, ["r1", "r2", "r3", "r4", f"x{n}"], n, n + 2))
+        assert len(store.read().inputFiles()) <= 3 * 2 + 8
+    assert rows(store.read(), "identifier") == sorted([(f"r{i}",) for i in range(20)] + [(f"x{n}",) for n in range(8)])
+
+
 MODELS = [v.LDP_RDF_SOURCE, v.LDP_BASIC_CONTAINER, None]
 
 
