@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from quadloom.functions import keys
 from quadloom.functions import nquads as nq
 from quadloom.operators import quads as q
-from quadloom.operators.keyed import distinct_keys, rows_with_keys
+from quadloom.operators.keyed import distinct_keys, picked, rows_with_keys
 from quadloom.schemas import QUAD_COLUMNS
-from quadloom.session import written
 from quadloom.vocab import DEFAULTS, LDP_CONTAINS, PREFER_CONTAINMENT, STORABLE_MODELS, Settings
 
 
@@ -89,21 +88,19 @@ def assemble(
     """All quads of resources: mutable, append-only, containment and type quads.
 
     Identifiers without a row in ``resources`` yield nothing. ``ids`` limits
-    the answer, and is told from the rest by narrow rows (identifier, whether
-    it is a container), which are written once: their size then tells the
-    optimizer how to meet each table. ``index`` is a saved containment index,
-    if there is one.
+    the answer. What is wanted is told from the rest by narrow rows
+    (identifier, whether it is a container), which are written once and
+    measured: texts do not move until they are quads (``Picked.met``).
+    ``index`` is a saved containment index, if there is one.
     """
     index = children(resources) if index is None else index
-    found = resources
     standing = resources.select("identifier", keys.is_container("interactionModel").alias("container_"))
-    if ids is not None:
-        standing = written(rows_with_keys(standing, ids).distinct(), "standing")
-        found = resources.join(standing.select("identifier").distinct(), "identifier", "left_semi")
-    containers = standing.filter("container_").select("identifier")
-    standing = standing.select("identifier")
-    contained = containment_quads(index).join(containers, "identifier", "left_semi")
-    audited = immutable.join(standing, "identifier", "left_semi")
+    standing = standing if ids is None else rows_with_keys(standing, ids)
+    standing = picked(standing.distinct(), "standing")
+    found = resources if ids is None else standing.met(resources)
+    containers = picked(standing.rows.filter("container_").select("identifier"), "containers")
+    contained = containers.met(containment_quads(index))
+    audited = standing.met(immutable)
     # The type quad goes through the parser with the text, which saves a scan.
     texts = found.select("identifier", F.concat_ws("\n", "quads", q.type_line(settings)).alias("quads"))
     whole = q.ingest(texts, distinct=False)
