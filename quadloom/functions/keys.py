@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quadloom.functions.times import epoch_seconds, from_epoch_seconds
+from quadloom.functions.times import epoch_seconds, from_epoch_micros
 from quadloom.vocab import CONTAINER_MODELS, DEFAULTS, VERSION_MARK, Settings
 
 # Fixed value: a scheme, a colon, then none of the characters an IRI may not hold.
@@ -13,9 +13,6 @@ IRI_PATTERN = r"\A[A-Za-z][A-Za-z0-9+.-]*:[^\x00-\x20\x7F<>\"{}|\\^`]*\z"
 
 VERSION_PATTERN = r"(?s)\A(?:(?!\?version=).)*+\?version=([+-]?[0-9]+)\z"
 
-# Most seconds from 1970 that an instant can be away.
-_MOST_SECONDS = 9_223_372_036_854
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -83,7 +80,8 @@ def version_of_key(key: Column | str) -> Column:
     can hold, of 13 digits or more, give null too.
     """
     seconds = F.regexp_extract(_col(key), VERSION_PATTERN, 1).try_cast("bigint")
-    return from_epoch_seconds(F.when(seconds.between(-_MOST_SECONDS, _MOST_SECONDS), seconds))
+    # The product overflows to null where an instant would; with a comparison, every key would be matched more than once.
+    return from_epoch_micros(F.try_multiply(seconds, F.lit(1_000_000).cast("bigint")))
 
 
 def iri_or_null(text: Column | str) -> Column:

@@ -44,6 +44,11 @@ def from_epoch_seconds(seconds: Column | str) -> Column:
     return F.timestamp_add("SECOND", _col(seconds), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
 
 
+def from_epoch_micros(micros: Column | str) -> Column:
+    """The instant of a count of microseconds."""
+    return F.timestamp_add("MICROSECOND", _col(micros), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+
+
 def truncate_seconds(ts: Column | str) -> Column:
     """The instant cut down to a whole second (towards the past)."""
     return from_epoch_seconds(epoch_seconds(ts))

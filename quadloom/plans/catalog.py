@@ -307,7 +307,7 @@ def version_at_objects(spark, sf_dir):
 def version_quads_objects(spark, sf_dir):
     """Quads of chosen versions, which are written as objects and read from there."""
     path = work_folder(spark, "versions")
-    versions.encode_meta(fx.versions(spark, sf_dir), KEYED).write.parquet(path)
+    versions.encode_meta(fx.versions(spark, sf_dir, spread=True), KEYED).write.parquet(path)
     held = _decoded(spark.read.parquet(path))
     return versions.version_quads(held, fx.requests(spark, sf_dir), time="version", order=["modified"])
 
@@ -383,7 +383,7 @@ def _meta_text():
 
 @query
 def version_meta_encode(spark, sf_dir):
-    made = versions.encode_meta(fx.versions(spark, sf_dir), KEYED)
+    made = versions.encode_meta(fx.versions(spark, sf_dir, spread=True), KEYED)
     return made.select("key", _meta_text(), "body")
 
 
@@ -396,7 +396,7 @@ def version_meta_decode(spark, sf_dir):
 @query
 def version_meta_roundtrip(spark, sf_dir):
     """Versions written as objects and read back."""
-    made = versions.encode_meta(fx.versions(spark, sf_dir), KEYED)
+    made = versions.encode_meta(fx.versions(spark, sf_dir, spread=True), KEYED)
     read = versions.decode_meta(made, KEYED)
     return read.withColumn("metadataGraphs", _joined("metadataGraphs"))
 

@@ -28,6 +28,7 @@ FAR = 100_000_000_000
 START = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
 CHUNK = 1_024
 SMALL_CHUNK = 16
+TASKS_PER_CORE = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -231,8 +232,12 @@ def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops_of(table(spark, sf_dir, "events"))
 
 
-def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A version of a user resource for every event."""
+def versions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """A version of a user resource for every event.
+
+    ``spread`` deals the events, whose files are few, to several tasks a core:
+    for work that takes much longer than reading them.
+    """
     user = F.col("user_id")
     null = F.lit(None).cast("string")
 
@@ -253,7 +258,10 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(user % 3 == 0, nq.quad_line(term, _ex("audited"), nq.literal_term(F.col("event_type")), audit)),
     ]
     text = F.when(user % 11 != 0, F.concat_ws("\n", *lines))
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    if spread:
+        events = events.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, "event_id")
+    return events.select(
         identifier.alias("identifier"),
         F.when(user % 3 == 0, F.lit(v.LDP_NON_RDF_SOURCE)).otherwise(F.lit(v.LDP_RDF_SOURCE)).alias("interactionModel"),
         every(2, F.lit("data:/")).alias("container"),

@@ -101,6 +101,49 @@ def test_stored_queries_save_as_many_buckets_as_their_rows_need(spark, monkeypat
     assert len(used) == 2 and used[0] == used[1] > BUCKETS
 
 
+@pytest.mark.parametrize("bits", [1 << 20, 2_000, 0])
+def test_texts_move_as_quads_only(large, rows, monkeypatch, bits):
+    """Beyond a broadcast, what is asked for is told by a filter; what that lets through wrongly is taken out."""
+    n = 400
+    state = [
+        (None if i == 9 else f"data:/r{i % 390}", v.LDP_RDF_SOURCE if i % 4 else v.LDP_BASIC_CONTAINER, f"data:/r{i // 40 * 4}", None, None, T, T, i, f"<s> <p> <o{i}> .")
+        for i in range(n)
+    ]
+    added = [(None if i == 5 else f"data:/r{i % n}", T, f"<a> <p> <o{i}> .") for i in range(900)]
+    state, added = large.createDataFrame(state, schemas.RESOURCES), large.createDataFrame(added, schemas.IMMUTABLE)
+    asked = large.createDataFrame([(f"data:/r{i}",) for i in range(0, 600, 3)] + [(None,)], "identifier STRING")
+    got = {}
+    for name, ids in (("some", asked), ("all", None)):
+        monkeypatch.setattr(keyed, "BROADCAST_BYTES", 1 << 20)
+        got[name] = rows(resources.assemble(state, added, ids))
+        monkeypatch.setattr(keyed, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(keyed, "FILTER_BITS", bits)
+        monkeypatch.setattr(keyed, "BITS_PER_KEY", 1)
+        df = resources.assemble(state, added, ids)
+        assert rows(df) == got[name] and len(got[name]) > 300
+        if bits == 1 << 20:
+            monkeypatch.setattr(keyed, "BROADCAST_BYTES", 1 << 20)
+            held = keyed.picked(asked.filter("identifier IS NOT NULL").distinct(), "held")
+            monkeypatch.setattr(keyed, "BROADCAST_BYTES", 10_000)
+            assert not held.small and rows(held.met(added)) == rows(added.join(asked, "identifier", "left_semi"))
+            plan = held.met(added)._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(identifier" not in plan and "SortMergeJoin" not in plan
+
+
+def test_objects_of_versions_are_made_by_many_tasks(spark, rows, monkeypatch, tmp_path):
+    """However few files the events are in."""
+    path = str(tmp_path / "events")
+    spark.range(2_000).selectExpr("id event_id", "id % 7 user_id", "'click' event_type", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) ts").coalesce(1).write.parquet(path)
+    monkeypatch.setattr(catalog.fx, "table", lambda spark, sf_dir, name: spark.read.parquet(path))
+    monkeypatch.setattr(catalog.fx, "requests", lambda spark, sf_dir: None)
+    monkeypatch.setattr(catalog, "work_folder", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(catalog.versions, "version_quads", lambda held, *_, **__: held)
+    held = catalog.version_quads_objects(spark, "")
+    assert held.count() == 2_000
+    assert len(list((tmp_path / "versions").glob("*.parquet"))) > spark.sparkContext.defaultParallelism
+    assert rows(catalog.fx.versions(spark, "")) == rows(catalog.fx.versions(spark, "", spread=True))
+
+
 def test_as_of_moves_nothing_of_stored_versions(large, rows, tmp_path):
     pick = random.Random(3)
     spans = 1_000
